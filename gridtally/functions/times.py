@@ -42,9 +42,24 @@ def minutes_before(moment: Column, minutes: Column) -> Column:
     return F.timestamp_add("MINUTE", -minutes, moment)
 
 
+def seconds_since_1970(wall: Column) -> Column:
+    """Seconds between 1970-01-01 and a zone-free timestamp, counted without any zone."""
+    days = F.unix_date(wall.cast("date")).cast("long")
+    return days * 86400 + F.hour(wall) * 3600 + F.minute(wall) * 60 + F.second(wall)
+
+
+def offset_seconds(utc_offset: Column) -> Column:
+    """Seconds of an offset such as ``-05:00``; NULL for any other text."""
+    hours = F.substring(utc_offset, 2, 2).try_cast("int")
+    minutes = F.substring(utc_offset, 5, 2).try_cast("int")
+    size = F.when(F.substring(utc_offset, 4, 1) == ":", hours * 3600 + minutes * 60)
+    sign = F.substring(utc_offset, 1, 1)
+    return F.when(sign == "-", -size).when(sign == "+", size)
+
+
 def epoch(wall: Column, utc_offset: Column) -> Column:
     """Epoch seconds of a wall-clock time and the offset that was sent with it."""
-    return F.unix_seconds(F.concat(wall.cast("string"), utc_offset).try_cast("timestamp"))
+    return seconds_since_1970(wall) - offset_seconds(utc_offset)
 
 
 def epoch_of(text: Column) -> Column:
@@ -54,8 +69,8 @@ def epoch_of(text: Column) -> Column:
 
 def zone_epoch(wall: Column, zone: str) -> Column:
     """Epoch seconds of a wall-clock time in a named zone."""
-    utc = F.convert_timezone(F.lit(zone), F.lit("UTC"), wall)
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), utc)
+    utc = wall if zone == "UTC" else F.convert_timezone(F.lit(zone), F.lit("UTC"), wall)
+    return seconds_since_1970(utc)
 
 
 def run_date(run_ts: datetime) -> str:

@@ -26,27 +26,26 @@ def name_documents(docs: DataFrame, part_date: str | None = None) -> DataFrame:
 def explode_intervals(named: DataFrame, earliest: str = config.EARLIEST_BLOCK_DATE) -> DataFrame:
     """One row per interval of every block that starts on or after ``earliest``."""
     head = [c for c in named.columns if c != "interval_reading"]
-    return (
+    block = [
+        F.col("block._IntervalLength").alias("intervallength"),
+        F.col("block._StartTime").alias("blockstarttime"),
+        F.col("block._EndTime").alias("blockendtime"),
+        F.col("block._NumberIntervals").alias("numberintervals"),
+    ]
+    interval = [
+        F.col("ivl._EndTime").alias("int_endtime"),
+        F.col("ivl._GatewayCollectedTime").alias("int_gatewaycollectedtime"),
+        F.col("ivl._BlockSequenceNumber").alias("int_blocksequencenumber"),
+        F.col("ivl._IntervalSequenceNumber").alias("int_intervalsequencenumber"),
+        F.col("ivl.Reading").alias("int_reading"),
+    ]
+    blocks = (
         named.select(*head, F.explode("interval_reading").alias("block"))
         .filter(times.wall_date(F.col("block._StartTime")) >= F.lit(earliest).cast("date"))
-        .select(
-            *head,
-            F.col("block._IntervalLength").alias("intervallength"),
-            F.col("block._StartTime").alias("blockstarttime"),
-            F.col("block._EndTime").alias("blockendtime"),
-            F.col("block._NumberIntervals").alias("numberintervals"),
-            F.explode("block.Interval").alias("ivl"),
-        )
-        .select(
-            "*",
-            F.col("ivl._EndTime").alias("int_endtime"),
-            F.col("ivl._GatewayCollectedTime").alias("int_gatewaycollectedtime"),
-            F.col("ivl._BlockSequenceNumber").alias("int_blocksequencenumber"),
-            F.col("ivl._IntervalSequenceNumber").alias("int_intervalsequencenumber"),
-            F.col("ivl.Reading").alias("int_reading"),
-        )
-        .drop("ivl")
+        .select(*head, *block, F.col("block.Interval").alias("intervals"))
     )
+    kept = [c for c in blocks.columns if c != "intervals"]
+    return blocks.select(*kept, F.explode("intervals").alias("ivl")).select(*kept, *interval)
 
 
 def derive_interval_times(

@@ -46,16 +46,12 @@ def select_batch_files(
     path = F.col("path")
     root_end = F.instr(path, F.lit(root)) + F.lit(len(root))
     below = F.substr(path, root_end)
-    level1 = F.split_part(below, F.lit("/"), F.lit(2))
-    files = (
-        listing.filter(F.contains(path, F.lit(root + "/")))
-        .withColumns(
-            {
-                "dir": F.concat(F.substr(path, F.lit(1), root_end - 1), F.lit("/"), level1),
-                "name": F.split_part(below, F.lit("/"), F.lit(-1)),
-                "depth": F.length(below) - F.length(F.replace(below, F.lit("/"), F.lit(""))),
-            }
-        )
+    files = listing.filter(F.contains(path, F.lit(root + "/"))).withColumns(
+        {
+            "dir": F.concat(F.substr(path, F.lit(1), root_end - 1), F.substring_index(below, "/", 2)),
+            "name": F.substring_index(below, "/", -1),
+            "depth": F.length(below) - F.length(F.replace(below, F.lit("/"), F.lit(""))),
+        }
     )
     landed = (F.col("modificationTime") >= start) & (F.col("modificationTime") < end)
     is_marker = (F.col("name") == marker) & landed & (F.col("depth") <= max_depth)

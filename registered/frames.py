@@ -32,24 +32,34 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem")
-    end = F.timestamp_add(
-        "MINUTE",
-        F.col("l_linenumber") * 15,
-        F.timestamp_add("DAY", F.lit(SHIFT_DAYS), F.col("l_shipdate")),
-    )
     minutes = F.when(F.col("l_returnflag") == "N", 60).otherwise(15)
     zone = F.when(F.col("l_linestatus") == "O", "Z").otherwise("-05:00")
+    shifted = F.timestamp_add("DAY", F.lit(SHIFT_DAYS), F.col("l_shipdate"))
 
     def iso(moment: Column) -> Column:
         return F.concat(times.iso_wall(moment), zone)
 
+    li = (
+        table(spark, sf, "lineitem")
+        .withColumn("end", F.timestamp_add("MINUTE", F.col("l_linenumber") * 15, shifted))
+        .withColumns(
+            {
+                "end_text": iso(F.col("end")),
+                "start_text": iso(times.minutes_before(F.col("end"), minutes)),
+                "collected": iso(
+                    F.timestamp_add("MINUTE", F.col("l_quantity").cast("int"), F.col("end"))
+                ),
+                "length": minutes.cast("string"),
+                "sequence": F.col("l_linenumber").cast("string"),
+            }
+        )
+    )
+
     def reading(channel: str, amount: Column, unit: str) -> Column:
-        text = amount.cast("string")
         return F.struct(
             F.lit(channel).alias("_Channel"),
-            text.alias("_RawValue"),
-            text.alias("_Value"),
+            amount.cast("string").alias("_RawValue"),
+            amount.cast("string").alias("_Value"),
             F.lit(unit).alias("_UOM"),
             F.lit(None).cast("string").alias("_BlockEndValue"),
         )
@@ -61,20 +71,18 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
         reading("103", F.col("l_discount"), "kVARh"),
         reading("109", taxed, "V"),
     )
-    sequence = F.col("l_linenumber").cast("string")
-    collected = F.timestamp_add("MINUTE", F.col("l_quantity").cast("int"), end)
     interval = F.struct(
-        iso(end).alias("_EndTime"),
-        sequence.alias("_BlockSequenceNumber"),
-        iso(collected).alias("_GatewayCollectedTime"),
-        sequence.alias("_IntervalSequenceNumber"),
+        F.col("end_text").alias("_EndTime"),
+        F.col("sequence").alias("_BlockSequenceNumber"),
+        F.col("collected").alias("_GatewayCollectedTime"),
+        F.col("sequence").alias("_IntervalSequenceNumber"),
         readings.alias("Reading"),
     )
     block = F.struct(
         F.lit("1").alias("_NumberIntervals"),
-        iso(end).alias("_EndTime"),
-        iso(times.minutes_before(end, minutes)).alias("_StartTime"),
-        minutes.cast("string").alias("_IntervalLength"),
+        F.col("end_text").alias("_EndTime"),
+        F.col("start_text").alias("_StartTime"),
+        F.col("length").alias("_IntervalLength"),
         F.array(interval).alias("Interval"),
     )
     return li.select(
