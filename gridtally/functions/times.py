@@ -7,7 +7,8 @@ gives NULL.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -81,7 +82,6 @@ def batch_label(batch_end: datetime) -> str:
     return batch_end.strftime(config.BATCH_LABEL_FORMAT)
 
 
-def batch_bound(text: str, zone: str) -> Column:
+def batch_bound(text: str, zone: str) -> datetime:
     """A batch window bound: wall-clock text in the tenant's zone, as an instant."""
-    wall = F.lit(text).cast("timestamp_ntz")
-    return F.timestamp_seconds(zone_epoch(wall, zone))
+    return datetime.fromisoformat(text).replace(tzinfo=ZoneInfo(zone)).astimezone(timezone.utc)

@@ -43,24 +43,19 @@ def quality_report(
     distinct: dict[str, str] | None = None,
     flags: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Row, distinct and condition counts per group.
+    """Row, distinct and condition counts per group, in one aggregate.
 
-    Readings are first counted per group and distinct-counted columns. That
-    result is smaller by the number of readings per device, channel and day,
-    so the distinct counts expand and shuffle devices instead of readings.
+    Only the distinct (group, device) and (group, channel) pairs of each input
+    partition are shuffled; all other counts are combined before that.
     """
     distinct = distinct or {"unique_meters": "serialnumber", "unique_channels": "aep_channel_id"}
     flags = flags or quality_flags()
-    partial = df.groupBy(*by, *distinct.values()).agg(
-        F.count("*").alias("total_records"),
-        *[F.count_if(condition).alias(name) for name, condition in flags.items()],
-    )
     return (
-        partial.groupBy(*by)
+        df.groupBy(*by)
         .agg(
-            F.sum("total_records").alias("total_records"),
+            F.count("*").alias("total_records"),
             *[F.count_distinct(column).alias(name) for name, column in distinct.items()],
-            *[F.sum(name).alias(name) for name in flags],
+            *[F.count_if(condition).alias(name) for name, condition in flags.items()],
         )
         .orderBy(*by)
     )

@@ -17,7 +17,7 @@ from gridtally.session import work_path
 from gridtally.sinks.staging import batch_metrics, stage
 from gridtally.sinks.tables import publish_incremental, write_merge
 from gridtally.sources.documents import read_documents
-from gridtally.sources.files import batch_directories, limit_files, list_files, select_batch_files
+from gridtally.sources.files import delivered_files, limit_files, marked_directories
 from gridtally.sources.tables import unit_map
 
 
@@ -69,18 +69,15 @@ def run_batch(
     incremental publish both read the latter.
     """
     zone = tenant.dimension_zone
-    files = select_batch_files(
-        list_files(spark, base),
-        base,
-        times.batch_bound(batch_start, zone),
-        times.batch_bound(batch_end, zone),
+    directories = marked_directories(
+        spark, base, times.batch_bound(batch_start, zone), times.batch_bound(batch_end, zone)
     )
-    if max_files is None:
-        paths = batch_directories(files)
-    else:
-        paths = [row["path"] for row in limit_files(files, max_files).collect()]
-    if not paths:
+    files = delivered_files(spark, base, directories)
+    if files.isEmpty():
         return BatchResult(empty=True)
+    paths = directories
+    if max_files is not None:
+        paths = [row["path"] for row in limit_files(files, max_files).collect()]
 
     documents = stage(read_documents(spark, paths), work_path(spark, "documents"))
     label = times.batch_label(datetime.fromisoformat(batch_end))

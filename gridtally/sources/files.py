@@ -1,11 +1,18 @@
 """Which delivered files belong to a batch.
 
-A listing is a DataFrame of ``path``, ``length`` and ``modificationTime``; the
-selection is a semi-join on it, so it scales with the listing.
+``select_batch_files`` works on any listing with ``path``, ``length`` and
+``modificationTime``, such as a stored file inventory. Spark's own file sources
+leave out empty files, and markers usually are empty, so for a live store
+``marked_directories`` finds the markers while listing and ``delivered_files``
+then lists the selected directories only.
 """
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+from urllib.parse import unquote
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,21 +22,31 @@ from gridtally import config
 MAX_DIRECTORIES = 10_000
 
 
-def list_files(spark: SparkSession, base: str) -> DataFrame:
-    """All files under ``base``; file contents are not read."""
+def list_files(spark: SparkSession, paths: list[str], name_glob: str = "*") -> DataFrame:
+    """All non-empty files under the paths; file contents are not read."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .load(base)
+        .option("pathGlobFilter", name_glob)
+        .load(paths)
         .select("path", "length", "modificationTime")
     )
 
 
+def _below(path: Column, base: str) -> tuple[Column, Column]:
+    """The level-1 directory of a path under ``base``, and the path relative to ``base``."""
+    root = base.rstrip("/")
+    root_end = F.instr(path, F.lit(root)) + F.lit(len(root))
+    relative = F.substr(path, root_end)
+    head = F.substr(path, F.lit(1), root_end - 1)
+    return F.concat(head, F.substring_index(relative, "/", 2)), relative
+
+
 def select_batch_files(
     listing: DataFrame,
     base: str,
-    start: Column,
-    end: Column,
+    start: datetime,
+    end: datetime,
     marker: str = config.MARKER_FILE,
     max_depth: int = config.MARKER_MAX_DEPTH,
     min_size: int = config.DATA_FILE_MIN_SIZE,
@@ -42,16 +59,10 @@ def select_batch_files(
     ``min_size`` and has ``ext`` anywhere in its name, at any depth.
     Directories without data files do not show up.
     """
-    root = base.rstrip("/")
-    path = F.col("path")
-    root_end = F.instr(path, F.lit(root)) + F.lit(len(root))
-    below = F.substr(path, root_end)
-    files = listing.filter(F.contains(path, F.lit(root + "/"))).withColumns(
-        {
-            "dir": F.concat(F.substr(path, F.lit(1), root_end - 1), F.substring_index(below, "/", 2)),
-            "name": F.substring_index(below, "/", -1),
-            "depth": F.length(below) - F.length(F.replace(below, F.lit("/"), F.lit(""))),
-        }
+    directory, relative = _below(F.col("path"), base)
+    depth = F.length(relative) - F.length(F.replace(relative, F.lit("/"), F.lit("")))
+    files = listing.filter(F.contains(F.col("path"), F.lit(base.rstrip("/") + "/"))).withColumns(
+        {"dir": directory, "name": F.substring_index(relative, "/", -1), "depth": depth}
     )
     landed = (F.col("modificationTime") >= start) & (F.col("modificationTime") < end)
     is_marker = (F.col("name") == marker) & landed & (F.col("depth") <= max_depth)
@@ -60,14 +71,60 @@ def select_batch_files(
     return files.filter(~is_marker & is_data).join(selected, "dir", "left_semi").select("dir", "path")
 
 
+def marked_directories(
+    spark: SparkSession,
+    base: str,
+    start: datetime,
+    end: datetime,
+    marker: str = config.MARKER_FILE,
+    max_depth: int = config.MARKER_MAX_DEPTH,
+    most: int = MAX_DIRECTORIES,
+) -> list[str]:
+    """Level-1 directories whose marker landed in [start, end); fails beyond ``most``.
+
+    Only paths that can be a marker are listed, and the time window is applied
+    while listing.
+    """
+
+    def moment(value: datetime) -> str:
+        return value.astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f")
+
+    found = set()
+    for level in range(1, max_depth):
+        markers = (
+            spark.read.format("binaryFile")
+            .option("timeZone", "UTC")
+            # this bound is exclusive; file times have whole milliseconds
+            .option("modifiedAfter", moment(start - timedelta(milliseconds=1)))
+            .option("modifiedBefore", moment(end))
+        )
+        try:
+            paths = markers.load(base.rstrip("/") + "/*" * level + "/" + marker).inputFiles()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        found.update(unquote(path).rsplit("/", level)[0] for path in paths)
+    if len(found) > most:
+        raise ValueError(f"more than {most} directories selected")
+    return sorted(found)
+
+
+def delivered_files(
+    spark: SparkSession,
+    base: str,
+    directories: list[str],
+    min_size: int = config.DATA_FILE_MIN_SIZE,
+    ext: str = config.DATA_FILE_EXT,
+) -> DataFrame:
+    """Data files (``dir``, ``path``) of the given directories."""
+    if not directories:
+        return spark.createDataFrame([], "dir string, path string")
+    directory, _ = _below(F.col("path"), base)
+    files = list_files(spark, directories, f"*{ext}*").filter(F.col("length") > min_size)
+    return files.select(directory.alias("dir"), "path")
+
+
 def limit_files(files: DataFrame, n: int) -> DataFrame:
     """The first ``n`` files by directory and path."""
     return files.orderBy("dir", "path").limit(n)
-
-
-def batch_directories(files: DataFrame, max_directories: int = MAX_DIRECTORIES) -> list[str]:
-    """The selected directories, to be handed to the scan; fails beyond the bound."""
-    rows = files.select("dir").distinct().limit(max_directories + 1).collect()
-    if len(rows) > max_directories:
-        raise ValueError(f"more than {max_directories} directories selected")
-    return sorted(r["dir"] for r in rows)

@@ -110,6 +110,18 @@ def sample_ordered(spark: SparkSession, sf: str) -> DataFrame:
     return acceptance.sample_rows(consume(spark, sf), 150, columns)
 
 
+def sql_view(spark: SparkSession, sf: str) -> DataFrame:
+    """The latest run per SQL text on a registered view."""
+    consume(spark, sf).createOrReplaceTempView("consume_rows")
+    return spark.sql(
+        """SELECT serialnumber, aep_channel_id, substr(endtimeperiod, 1, 10) AS day, value,
+                  CASE WHEN value BETWEEN 10 AND 50 THEN 'PASS' ELSE 'FAIL' END AS value_check
+           FROM consume_rows
+           WHERE aep_opco = 'oh' AND hdp_insert_dttm >= TIMESTAMP_NTZ '2024-01-02 00:00:00'
+             AND run_date = (SELECT max(run_date) FROM consume_rows WHERE aep_opco = 'oh')"""
+    )
+
+
 FROM = frames.FROM_CONSUME
 
 QUERIES = {
@@ -184,6 +196,13 @@ QUERIES = {
         f"""{FROM} SELECT {frames.SHOWN_SQL} FROM consume WHERE aep_opco = 'oh'
             AND run_date = (SELECT max(run_date) FROM consume WHERE aep_opco = 'oh')""",
     ),
+    "sql_view": (
+        sql_view,
+        f"""{FROM} SELECT serialnumber, aep_channel_id, left(endtimeperiod, 10) AS day, value,
+                   CASE WHEN value BETWEEN 10 AND 50 THEN 'PASS' ELSE 'FAIL' END AS value_check
+            FROM consume WHERE aep_opco = 'oh' AND hdp_insert_dttm >= TIMESTAMP '2024-01-02'
+              AND run_date = (SELECT max(run_date) FROM consume WHERE aep_opco = 'oh')""",
+    ),
     "ordered_rows": (
         ordered_rows,
         f"""{FROM} SELECT {frames.SHOWN_SQL} FROM consume
