@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 from gridtally.operators.keys import BROADCAST_ROWS, all_present, assert_unique, fits_broadcast
 
+# Copies of a lookup row that is too many to broadcast; a busy key spreads over as many tasks.
+SALTS = 16
+
 _FROM, _TO, _SLOT = "__from", "__to", "__slot"
+_SALT, _DIM_SALT = "__salt", "__dim_salt"
 
 
 def lookup_left(
@@ -17,24 +21,32 @@ def lookup_left(
     defaults: dict[str, Column] | None = None,
     unique: bool = True,
     broadcast_rows: int = BROADCAST_ROWS,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Left join to a lookup; ``on`` maps fact columns to lookup key columns.
 
     A lookup of at most ``broadcast_rows`` rows is broadcast, so a channel that
     holds most of the readings costs nothing extra. A larger one is joined by
-    shuffle, where the adaptive skew join splits hot keys. With ``unique`` the
-    job fails if the lookup would multiply readings.
+    shuffle on key and salt: each lookup row has one copy per salt, and the
+    readings of one channel spread over all of them by the partition they come
+    from, which stays the same when a task is run again. With ``unique`` the job
+    fails if the lookup would multiply readings.
     """
     keys = list(on.values())
     usable = dim.filter(all_present(keys))
     if unique:
         usable = assert_unique(usable, keys, "lookup")
-    if fits_broadcast(dim.select(*keys), broadcast_rows):
-        usable = F.broadcast(usable)
     renamed = {k: f"__key_{k}" for k in keys}
     usable = usable.withColumnsRenamed(renamed)
     condition = [F.col(f) == F.col(renamed[k]) for f, k in on.items()]
-    joined = fact.join(usable, condition, "left").drop(*renamed.values())
+    if fits_broadcast(dim.select(*keys), broadcast_rows):
+        usable = F.broadcast(usable)
+    else:
+        every = F.sequence(F.lit(0), F.lit(salts - 1))
+        usable = usable.withColumn(_DIM_SALT, F.explode(every))
+        fact = fact.withColumn(_SALT, F.pmod(F.spark_partition_id(), F.lit(salts)))
+        condition.append(F.col(_SALT) == F.col(_DIM_SALT))
+    joined = fact.join(usable, condition, "left").drop(*renamed.values(), _SALT, _DIM_SALT)
     for name, value in (defaults or {}).items():
         joined = joined.withColumn(name, F.coalesce(F.col(name), value))
     return joined

@@ -23,7 +23,7 @@ def assert_unique(df: DataFrame, keys: list[str], what: str) -> DataFrame:
     The check clusters and sorts by the keys, which a sort-merge join on the
     same keys then reuses, so it adds no shuffle to such a join.
     """
-    seen = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    seen = F.row_number().over(Window.partitionBy(*keys).orderBy(keys[0]))
     shown = F.concat_ws(",", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
     twice = F.raise_error(F.concat(F.lit(f"{what}: more than one row for key "), shown))
     return (

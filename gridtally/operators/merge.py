@@ -12,7 +12,15 @@ from gridtally.functions import times
 from gridtally.operators.keys import all_present, assert_unique
 
 ACTION = "merge_action"
-_IN_TARGET, _IN_SOURCE = "__in_target", "__in_source"
+
+
+def _packed(df: DataFrame, side: str, keys: list[str], groups: dict[str, list[str]]) -> DataFrame:
+    """Keys, a presence marker, and one struct per group of columns that are chosen together."""
+    return df.select(
+        *[F.col(k).alias(f"__{side}_{k}") for k in keys],
+        *[F.struct(*members).alias(f"__{side}_{name}") for name, members in groups.items()],
+        F.lit(True).alias(f"__{side}"),
+    )
 
 
 def merge_upsert(
@@ -37,39 +45,47 @@ def merge_upsert(
     columns = target.columns
     source = source.select(*columns)
     complete = all_present(keys)
-
-    known = target.filter(complete).withColumn(_IN_TARGET, F.lit(True))
-    fresh = assert_unique(source.filter(complete), keys, "merge source")
-    fresh = fresh.withColumnsRenamed({c: f"__new_{c}" for c in columns})
-    fresh = fresh.withColumn(_IN_SOURCE, F.lit(True))
-    same = [F.col(k) == F.col(f"__new_{k}") for k in keys]
-    joined = known.join(fresh, same, "full_outer")
-
-    in_target, in_source = F.col(_IN_TARGET).isNotNull(), F.col(_IN_SOURCE).isNotNull()
+    groups = {
+        "changed": [c for c in columns if c in update_cols and c not in keys],
+        "fixed": [c for c in columns if c not in update_cols and c not in keys],
+    }
+    groups = {name: members for name, members in groups.items() if members}
+
+    known = _packed(target.filter(complete), "old", keys, groups)
+    fresh = _packed(assert_unique(source.filter(complete), keys, "merge source"), "new", keys, groups)
+    same = [F.col(f"__old_{k}") == F.col(f"__new_{k}") for k in keys]
+    in_target, in_source = F.col("__old").isNotNull(), F.col("__new").isNotNull()
+
+    def pick(name: str) -> Column:
+        old, new = F.col(f"__old_{name}"), F.col(f"__new_{name}")
+        if name == "fixed":
+            return F.when(in_target, old).otherwise(new)
+        return F.when(in_source, new).otherwise(old)
+
+    did = F.when(in_target & in_source, "updated").when(in_source, "inserted").otherwise("kept")
+    joined = known.join(fresh, same, "full_outer").select(
+        did.alias(ACTION),
+        *[F.coalesce(f"__old_{k}", f"__new_{k}").alias(k) for k in keys],
+        *[pick(name).alias(f"__{name}") for name in groups],
+    )
+    place = {c: f"__{name}.{c}" for name, members in groups.items() for c in members}
 
     def merged(name: str) -> Column:
-        old, new = F.col(name), F.col(f"__new_{name}")
-        updated = on_update.get(name, new if name in update_cols else old)
-        return (
-            F.when(in_target & in_source, updated)
-            .when(in_source, on_insert.get(name, new))
-            .otherwise(old)
-            .alias(name)
-        )
-
-    did = (
-        F.when(in_target & in_source, "updated").when(in_source, "inserted").otherwise("kept")
-    ).alias(ACTION)
-    extra = [did] if action else []
-    result = joined.select(*[merged(c) for c in columns], *extra)
+        value = F.col(place.get(name, name))
+        for label, changes in (("updated", on_update), ("inserted", on_insert)):
+            if name in changes:
+                value = F.when(F.col(ACTION) == label, changes[name]).otherwise(value)
+        return value.alias(name)
 
     def unmatched(df: DataFrame, label: str) -> DataFrame:
-        return df.withColumn(ACTION, F.lit(label)) if action else df
+        return df.withColumn(ACTION, F.lit(label))
 
-    loose_source = source.filter(~complete).withColumns(on_insert)
-    return result.unionByName(unmatched(target.filter(~complete), "kept")).unionByName(
-        unmatched(loose_source, "inserted")
+    result = (
+        joined.select(*[merged(c) for c in columns], ACTION)
+        .unionByName(unmatched(target.filter(~complete), "kept"))
+        .unionByName(unmatched(source.filter(~complete).withColumns(on_insert), "inserted"))
     )
+    return result if action else result.drop(ACTION)
 
 
 def retention_cutoff(run_ts: datetime, days: int = config.RETENTION_DAYS) -> str:

@@ -13,7 +13,7 @@ from gridtally.config import Tenant
 from gridtally.functions import times
 from gridtally.operators.flatten import flatten_readings
 from gridtally.plans import views
-from gridtally.session import work_path
+from gridtally.session import drop_path, work_path
 from gridtally.sinks.staging import batch_metrics, stage
 from gridtally.sinks.tables import publish_incremental, write_merge
 from gridtally.sources.documents import read_documents
@@ -60,13 +60,15 @@ def run_batch(
     incremental_path: str,
     max_files: int | None = None,
     days: int = config.RETENTION_DAYS,
+    keep_work: bool = False,
 ) -> BatchResult:
     """Process the directories whose marker landed in [batch_start, batch_end).
 
     The window is wall-clock text in the tenant's dimension zone. ``run_ts``
     (with a time zone) stamps every row and names the run. Raw documents and
-    deduplicated rows are written once to the shared folder; the upsert and the
-    incremental publish both read the latter.
+    deduplicated rows are written once to the shared folder, where the upsert
+    and the incremental publish both read the latter, and are deleted at the
+    end unless ``keep_work`` is set.
     """
     zone = tenant.dimension_zone
     directories = marked_directories(
@@ -79,11 +81,12 @@ def run_batch(
     if max_files is not None:
         paths = [row["path"] for row in limit_files(files, max_files).collect()]
 
-    documents = stage(read_documents(spark, paths), work_path(spark, "documents"))
+    work = [work_path(spark, "documents"), work_path(spark, "readings")]
+    documents = stage(read_documents(spark, paths), work[0])
     label = times.batch_label(datetime.fromisoformat(batch_end))
     output = stage(
         transform(documents, units, validity, tenant, run_ts, label),
-        work_path(spark, "readings"),
+        work[1],
         partition_by=config.CONSUME_PARTITIONS,
     )
     usage_dates = write_merge(
@@ -95,10 +98,14 @@ def run_batch(
     expired = publish_incremental(
         views.incremental_rows(output, tenant, run_ts), incremental_path, tenant.code, run_ts, days
     )
-    return BatchResult(
+    result = BatchResult(
         empty=False,
         documents=batch_metrics(documents),
         readings=batch_metrics(output),
         usage_dates=sorted(usage_dates, key=str),
         expired_runs=expired,
     )
+    if not keep_work:
+        for path in work:
+            drop_path(spark, path)
+    return result

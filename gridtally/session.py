@@ -38,6 +38,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one intermediate table."""
     return f"{shared_folder(spark)}/gridtally/{name}-{uuid.uuid4().hex}"

@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 from gridtally.session import shared_folder
 
 
-def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Replace exactly the partitions that occur in ``df``.
+def by_partition(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Rows grouped by table partition, for few, evenly sized files.
 
-    Rebalancing groups rows by partition for few, evenly sized files and splits
-    a partition that is too large for one task.
+    A partition too large for one task is split over several.
     """
+    return df.hint("rebalance", *[F.col(c) for c in partition_by])
+
+
+def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Replace exactly the partitions that occur in ``df``."""
     (
-        df.hint("rebalance", *[F.col(c) for c in partition_by])
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
@@ -29,12 +32,13 @@ def stage(
     partition_by: list[str] | None = None,
     max_partitions: int | None = None,
 ) -> DataFrame:
-    """Write ``df`` as Parquet and read it back with the same column types."""
-    if partition_by:
-        write_partitions(df, path, partition_by)
-    else:
-        bounded = df if max_partitions is None else df.coalesce(max_partitions)
-        bounded.write.mode("overwrite").parquet(path)
+    """Write ``df`` as Parquet and read it back with the same column types.
+
+    The rows are written where they are; ``max_partitions`` bounds the number
+    of write tasks.
+    """
+    bounded = df if max_partitions is None else df.coalesce(max_partitions)
+    bounded.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 

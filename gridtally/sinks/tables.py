@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gridtally import config
 from gridtally.functions import times
 from gridtally.operators.merge import merge_upsert, retention_cutoff
-from gridtally.sinks.staging import write_partitions
+from gridtally.sinks.staging import by_partition, write_partitions
 from gridtally.sources.tables import read_or_empty
 
 # More touched partitions than this point to a wrong partition column.
@@ -24,8 +24,7 @@ MAX_PARTITIONS = 10_000
 
 def append(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Add rows to a partitioned path, columns matched by name."""
-    rebalanced = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    rebalanced.write.mode("append").partitionBy(*partition_by).parquet(path)
+    by_partition(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def append_table(df: DataFrame, table: str) -> None:
@@ -68,7 +67,7 @@ def write_merge(
         stored = read_or_empty(source.sparkSession, path, schema)
         target = stored.filter(in_partitions(partition_by[0], touched))
         merged = merge_upsert(target, source, keys, update_cols, on_update, on_insert)
-        write_partitions(merged, path, partition_by)
+        write_partitions(by_partition(merged, partition_by), path, partition_by)
     return touched
 
 
@@ -118,9 +117,9 @@ def drop_expired_runs(
     files = spark.sparkContext._jvm.org.apache.hadoop.fs
     root = files.Path(f"{path}/{tenant_col}={tenant}")
     system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not system.exists(root):
-        return []
     dropped = []
+    if not system.exists(root):
+        return dropped
     for entry in system.listStatus(root):
         column, _, value = entry.getPath().getName().partition("=")
         if column == run_col and value < cutoff:
@@ -152,8 +151,9 @@ def publish_incremental(
 ) -> list[str]:
     """Drop expired runs, then add this run's new rows under its run date.
 
-    ``rows`` are incremental rows. The run's own partition is written as a
-    whole, so publishing the same run again does not double it.
+    ``rows`` are incremental rows. They all go to the run's own partition, so
+    they are written without a shuffle, and publishing the same run again
+    replaces it.
     """
     dropped = drop_expired_runs(rows.sparkSession, path, tenant, run_ts, days)
     stamped = rows.filter(F.col("aep_opco") == tenant).withColumn(
