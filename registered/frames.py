@@ -32,6 +32,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
+    return as_documents(table(spark, sf, "lineitem"))
+
+
+def as_documents(lineitem: DataFrame) -> DataFrame:
     minutes = F.when(F.col("l_returnflag") == "N", 60).otherwise(15)
     zone = F.when(F.col("l_linestatus") == "O", "Z").otherwise("-05:00")
     shifted = F.timestamp_add("DAY", F.lit(SHIFT_DAYS), F.col("l_shipdate"))
@@ -40,8 +44,7 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
         return F.concat(times.iso_wall(moment), zone)
 
     li = (
-        table(spark, sf, "lineitem")
-        .withColumn("end", F.timestamp_add("MINUTE", F.col("l_linenumber") * 15, shifted))
+        lineitem.withColumn("end", F.timestamp_add("MINUTE", F.col("l_linenumber") * 15, shifted))
         .withColumns(
             {
                 "end_text": iso(F.col("end")),

@@ -108,8 +108,8 @@ def range_or_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 def point_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """One device and channel within one usage date."""
-    day = frames.consume(spark, sf).filter(F.col("aep_usage_dt") == "2024-01-10")
-    rows = quality.point_lookup(day, serialnumber="700000008", aep_channel_id="click")
+    day = frames.consume(spark, sf).filter(F.col("aep_usage_dt") == "2024-01-01")
+    rows = quality.point_lookup(day, serialnumber="700000008", aep_channel_id="error")
     return rows.orderBy("event_id").limit(1).select("event_id", "serialnumber", "value")
 
 
@@ -223,8 +223,8 @@ QUERIES = {
     "point_lookup": (
         point_lookup,
         f"""{frames.FROM_CONSUME} SELECT event_id, serialnumber, value FROM consume
-            WHERE aep_usage_dt = DATE '2024-01-10' AND serialnumber = '700000008'
-              AND aep_channel_id = 'click' ORDER BY event_id LIMIT 1""",
+            WHERE aep_usage_dt = DATE '2024-01-01' AND serialnumber = '700000008'
+              AND aep_channel_id = 'error' ORDER BY event_id LIMIT 1""",
     ),
     "full_rows": (full_rows, "SELECT * FROM customer"),
     "text_functions": (
