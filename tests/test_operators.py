@@ -197,6 +197,57 @@ def test_slotted_validity_join_equals_brute_force(spark, slots):
     assert rows(joined.select("id", "premise")) == sorted(expected, key=str)
 
 
+@pytest.fixture
+def fixed_partitions(spark):
+    """Twenty shuffle partitions that are neither merged nor split at run time."""
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "20",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def largest_share(df):
+    """The largest part of the rows that one task holds."""
+    # the hash needs every column, so that no join can be optimised away
+    tasks = df.groupBy(F.spark_partition_id().alias("task")).agg(
+        F.count("*").alias("n"), F.max(F.xxhash64(*df.columns)).alias("hash")
+    )
+    return tasks.agg(F.max("n") / F.sum("n"), F.max("hash")).first()[0]
+
+
+def test_a_hot_device_spreads_over_tasks(spark, fixed_partitions):
+    key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("d"), F.col("id") % 5000))
+    fact = spark.range(0, 60000, 1, 16).select(
+        key.alias("meter"), ((F.col("id") * 7919) % 200000).alias("at")
+    )
+    dim = fact.select(F.col("meter").alias("device")).distinct().select(
+        "device", F.lit(0).cast("long").alias("lo"), F.lit(10**11).alias("hi")
+    )
+    plain = fact.join(dim, F.col("meter") == F.col("device"), "left")
+    assert largest_share(plain) > 0.33
+    valid = validity_join(fact, dim, ("meter", "device"), "at", [("lo", "hi")], broadcast_rows=0)
+    assert largest_share(valid) < 0.15
+    found = lookup_left(fact, dim.drop("hi"), {"meter": "device"}, broadcast_rows=0)
+    assert largest_share(found) < 0.15
+    assert valid.count() == found.count() == 60000
+
+
+def test_hot_null_keys_bypass_the_merge_join(spark, fixed_partitions):
+    rows_ = spark.range(0, 60000, 1, 16).select(
+        F.when(F.col("id") % 3 != 0, F.col("id")).alias("id"), F.col("id").alias("v")
+    )
+    merged = merge_upsert(rows_, rows_, ["id"], ["v"])
+    assert largest_share(merged) < 0.15
+    assert merged.count() == 80000
+
+
 def test_validity_join_without_any_epoch(spark):
     fact = spark.createDataFrame([("d", None)], "meter string, at long")
     dim = spark.createDataFrame([("d", "A", 0, 9, 0, 9)], DIM)
