@@ -4,6 +4,7 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry_points
+import registered
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,13 +15,13 @@ def con():
 
 
 def test_every_query_has_a_check():
-    assert set(entry_points.oracle_sql()) == set(entry_points.queries())
+    assert set(registered.ORACLES) == set(registered.QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(registered.QUERIES))
 def test_query_equals_sql(spark, con, name):
-    df = entry_points.queries()[name](spark, SF)
-    assert differences(con, df, entry_points.oracle_sql()[name]) is None
+    df = registered.QUERIES[name](spark, SF)
+    assert differences(con, df, registered.ORACLES[name]) is None
 
 
 def test_entry(spark):
@@ -29,5 +30,5 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", ["dedup_readings", "interval_times", "batch_select", "batch_window"])
 def test_results_do_not_depend_on_the_session_zone(spark, con, any_zone, name):
-    df = entry_points.queries()[name](spark, SF)
-    assert differences(con, df, entry_points.oracle_sql()[name]) is None
+    df = registered.QUERIES[name](spark, SF)
+    assert differences(con, df, registered.ORACLES[name]) is None
