@@ -7,9 +7,10 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gridtally.llm import bpe
-from gridtally.llm.tables import ship, slices, table
+from gridtally.llm import bpe, langid, quality, secrets, toxicity
+from gridtally.llm.tables import fold, ship, slices, table
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -44,7 +45,48 @@ def bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of the line labels for every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.assess(docs, model)
+
+
+def toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
+    return toxicity.assess(docs, model).select(
+        "doc_id",
+        F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "passages",
+    )
+
+
+def language_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the documents outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.learn(docs, fold("doc_id", 4) != 2)
+    return langid.predict(docs, model).select(
+        "doc_id",
+        F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
+        "lang_pred",
+        "score",
+    )
+
+
+def secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets and linked credentials of every document."""
+    return secrets.find(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_quality": quality_lines,
+    "op3_toxicity": toxic_segments,
+    "op5_language": language_words,
+    "op6_secrets": secret_links,
     "op9_bpe": bpe_roundtrip,
 }
 ORACLES: dict[str, str] = {}

@@ -1,0 +1,69 @@
+import random
+
+import numpy as np
+import pytest
+
+pytest.importorskip("tokenizers")
+public_tokenizers = pytest.importorskip("public_tokenizers")
+
+from tokenizers import Tokenizer  # noqa: E402
+
+from gridtally.llm import bpe  # noqa: E402
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+ALPHABET = [
+    " ", " ", "  ", "\n", "\t", " \n", "a", "b'll", "1", "é", "　", "\x85", "\x1c", "<|endoftext|>",
+    "!", "'s", "​", "ß", "the", "ing", "aaaa", "\x00", "😀",
+]
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return bpe.load_vocabulary(PATH)
+
+
+def test_ids_equal_the_library(vocabulary):
+    encoder, library = bpe.Encoder(vocabulary), Tokenizer.from_file(PATH)
+    rng = random.Random(7)
+    texts = ["".join(rng.choices(ALPHABET, k=rng.randint(0, 20))) for _ in range(3000)]
+    texts += ["a" * 5000, " " * 3000, "ab" * 3000, "".join(chr(c) for c in range(1, 3000))]
+    for text, expected in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == expected.ids, text
+
+
+def test_every_token_is_its_own_encoding(vocabulary):
+    encoder = bpe.Encoder(vocabulary)
+    special = set(vocabulary["special"].values())
+    for i, token in enumerate(vocabulary["tokens"]):
+        if i not in special:
+            assert encoder.piece_ids(token) == [i]
+
+
+def test_full_memory_tables_change_nothing(vocabulary, monkeypatch):
+    plain = bpe.Encoder(vocabulary)
+    for name in ("MEMO_WORDS", "MEMO_PIECES", "MEMO_PAIRS"):
+        monkeypatch.setattr(bpe, name, 3)
+    small = bpe.Encoder(vocabulary)
+    text = "the thing is that these things, though theirs, thin out. " * 5
+    assert small.encode(text) == plain.encode(text)
+
+
+def test_round_trip_of_rows(spark):
+    texts = [None, "", "plain words", "é<|endoftext|>x", "long " * 20_000, "plain words"]
+    docs = spark.createDataFrame([(i, t, [1]) for i, t in enumerate(texts)], "doc_id long, text string, ids array<int>")
+    library = Tokenizer.from_file(PATH)
+    coded = bpe.encode(docs, PATH)
+    rows = {r.doc_id: r for r in bpe.decode(coded, PATH).collect()}
+    for i, text in enumerate(texts):
+        assert rows[i].ids == library.encode(text or "", add_special_tokens=False).ids
+        assert rows[i].text == (text or "")
+    assert bpe.encode(docs.limit(0), PATH).count() == 0
+
+
+def test_null_ids_and_broken_bytes(spark, vocabulary):
+    broken = bpe.Encoder(vocabulary).encode("é")
+    ids = np.frombuffer(broken, "<u4").tolist()
+    byte = [i for i, t in enumerate(vocabulary["tokens"]) if t == b"\xc3"]
+    coded = spark.createDataFrame([(1, None), (2, byte), (None, ids)], "doc_id long, ids array<int>")
+    rows = {r.doc_id: r.text for r in bpe.decode(coded, PATH).collect()}
+    assert rows == {1: "", 2: "�", None: "é"}
