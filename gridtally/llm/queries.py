@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtally.llm import bpe, langid, quality, secrets, toxicity
+from gridtally.llm import bpe, langid, minhash, mixture, quality, secrets, toxicity
 from gridtally.llm.tables import fold, ship, slices, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -82,11 +82,26 @@ def secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find(table(spark, sf_dir, "documents"))
 
 
+def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the target mix takes of every document."""
+    return mixture.mix(table(spark, sf_dir, "documents"))
+
+
+def minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of near copies of every document."""
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES = {
     "op1_quality": quality_lines,
+    "op2_mixture": mixed_sources,
     "op3_toxicity": toxic_segments,
     "op5_language": language_words,
     "op6_secrets": secret_links,
     "op9_bpe": bpe_roundtrip,
+    "op10_minhash": minhash_groups,
+}
+ORACLES = {
+    "op2_mixture": mixture.ORACLE_SQL,
 }
-ORACLES: dict[str, str] = {}
