@@ -9,8 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtally.llm import bpe, langid, minhash, mixture, quality, secrets, toxicity
+from gridtally.llm import bpe, langid, minhash, mixture, quality, secrets, toxicity, warc
 from gridtally.llm.tables import fold, ship, slices, table
+from gridtally.session import work_path
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -93,10 +94,23 @@ def minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to an archive and read back by byte ranges."""
+    files = warc.write(table(spark, sf_dir, "pages"), work_path(spark, "warc"))
+    return warc.read(files).select(
+        F.col("record_id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 QUERIES = {
     "op1_quality": quality_lines,
     "op2_mixture": mixed_sources,
     "op3_toxicity": toxic_segments,
+    "op4_warc": warc_records,
     "op5_language": language_words,
     "op6_secrets": secret_links,
     "op9_bpe": bpe_roundtrip,
@@ -104,4 +118,5 @@ QUERIES = {
 }
 ORACLES = {
     "op2_mixture": mixture.ORACLE_SQL,
+    "op4_warc": warc.ORACLE_SQL,
 }
