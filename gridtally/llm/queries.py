@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtally.llm import bpe, langid, minhash, mixture, quality, secrets, toxicity, warc
+from gridtally.llm import bpe, langid, minhash, mixture, quality, secrets, toxicity, vectors, warc
 from gridtally.llm.tables import fold, ship, slices, table
 from gridtally.session import work_path
 
@@ -106,6 +106,11 @@ def warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vector_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and group of every vector."""
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_quality": quality_lines,
     "op2_mixture": mixed_sources,
@@ -113,6 +118,7 @@ QUERIES = {
     "op4_warc": warc_records,
     "op5_language": language_words,
     "op6_secrets": secret_links,
+    "op7_vectors": vector_groups,
     "op9_bpe": bpe_roundtrip,
     "op10_minhash": minhash_groups,
 }
