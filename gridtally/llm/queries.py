@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtally.llm import bpe, langid, minhash, mixture, quality, secrets, toxicity, vectors, warc
+from gridtally.llm import bpe, htmldiff, langid, minhash, mixture, quality, secrets, toxicity, vectors, warc
 from gridtally.llm.tables import fold, ship, slices, table
 from gridtally.session import work_path
 
@@ -111,6 +111,11 @@ def vector_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return htmldiff.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_quality": quality_lines,
     "op2_mixture": mixed_sources,
@@ -119,6 +124,7 @@ QUERIES = {
     "op5_language": language_words,
     "op6_secrets": secret_links,
     "op7_vectors": vector_groups,
+    "op8_html": page_texts,
     "op9_bpe": bpe_roundtrip,
     "op10_minhash": minhash_groups,
 }
