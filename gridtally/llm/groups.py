@@ -65,3 +65,17 @@ def components(edges: DataFrame) -> DataFrame:
         now.select(F.col("a").alias("node"), F.col("b").alias("component"))
         .union(now.select("b", "b").distinct())
     )
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``kept`` (doc_id, text_hash) names, repeated rows once.
+
+    Rows are told apart by id and text; columns and their order stay.
+    """
+    mark = "kept_hash"
+    while mark in docs.columns:
+        mark += "_"
+    names = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_text")).distinct()
+    marked = docs.withColumn(mark, F.xxhash64(text_col))
+    same = F.col(id_col).eqNullSafe(F.col("kept_id")) & (F.col(mark) == F.col("kept_text"))
+    return marked.join(names, same, "left_semi").dropDuplicates([id_col, mark]).select(docs.columns)

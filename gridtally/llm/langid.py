@@ -18,7 +18,7 @@ other columns are not read, texts of any length are read whole.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -80,11 +80,12 @@ def grams(word: bytes) -> list[np.ndarray]:
 def count_grams(scan: Scan, lang: np.ndarray, tally: Tally) -> None:
     """Add the n-grams of all words; ``lang`` has the language number of each text."""
     letters = np.where(LETTER[scan.data], scan.data, np.uint8(SPACE))
-    points = points_of(letters.tobytes())
+    points = points_of(b" " + letters.tobytes())
     first = np.cumsum(scan.data & 0xC0 != 0x80)  # code points up to each byte
     space = points == SPACE
     here, local = np.unique(lang, return_inverse=True)
-    local = np.repeat(local, np.diff(first[scan.doc_end], prepend=0))[: len(points)]
+    local = np.repeat(local, np.diff(first[scan.doc_end], prepend=0))
+    local = np.concatenate((local[:1], local))  # for the border before the first word
     for n, place in gram_places(points):
         good = within_words(space, n)
         keys = place[good] + (local[: len(place)][good] << GRAM_BITS)
@@ -150,16 +151,38 @@ def predict(
     docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(id, lang_pred, score) of every row."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    schema = f"`{id_col}` {kind}, lang_pred string, score double"
+
+    def shape(batch: pa.RecordBatch, names: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(names, pa.string()), pa.array(score, pa.float64())],
+            names=[id_col, "lang_pred", "score"],
+        )
+
+    return _identified(docs.select(id_col, text_col), 1, model, shape, schema)
+
+
+def keep(docs: DataFrame, model: dict, least_score: float, text_col: str = "text") -> DataFrame:
+    """The rows whose language is known with at least this score; all columns stay."""
+
+    def shape(batch: pa.RecordBatch, names: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+        return batch.filter(pa.array((names != UNKNOWN) & (score >= least_score)))
+
+    return _identified(docs, docs.columns.index(text_col), model, shape, docs.schema)
+
+
+def _identified(docs: DataFrame, text_place: int, model: dict, shape: Callable, schema) -> DataFrame:
+    """What ``shape`` makes of each batch, its languages and their scores."""
     spark = docs.sparkSession
     ship(spark)
-    kind = docs.schema[id_col].dataType.simpleString()
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, table, known = (shared.value[k] for k in ("langs", "score", "known"))
         names = np.array([*langs, UNKNOWN], dtype=object)
         _memo.clear()
-        for batch, texts in text_chunks(batches, 1):
+        for batch, texts in text_chunks(batches, text_place):
             scan = Scan(texts, lower=True, letters=True)
             places = word_places(scan)
             points = table[places].astype(np.float64)
@@ -193,13 +216,9 @@ def predict(
                 if not any(c.isalpha() for c in texts[i].decode()):
                     best[i] = len(langs)
             score = np.where(best == len(langs), 0.0, score)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(names[best], pa.string()), pa.array(score, pa.float64())],
-                names=[id_col, "lang_pred", "score"],
-            )
+            yield shape(batch, names[best], score)
 
-    schema = f"`{id_col}` {kind}, lang_pred string, score double"
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def _ascii_words(scan: Scan) -> np.ndarray:

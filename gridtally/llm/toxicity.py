@@ -36,9 +36,10 @@ from gridtally.llm.words import Scan, mix, text_chunks
 
 BITS = 20
 SAMPLE = 20_000
-PRIOR_WORDS = 20_000.0
+#: The prior weighs as much as this share of the toxic texts' tokens.
+PRIOR_SHARE = 0.05
 ERRORS = 3.0
-DRIFT = 0.2
+DRIFT = 1.0
 STEMS = (4, 5, 6, 7)
 EULER = 0.5772156649015329
 
@@ -142,7 +143,7 @@ def _count(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str) -> np
 def token_odds(total: np.ndarray) -> np.ndarray:
     """Log-odds by place, drawn towards nothing by their standard error."""
     corpus, clean, toxic = total
-    prior = PRIOR_WORDS * (corpus + 0.01) / (corpus + 0.01).sum()
+    prior = PRIOR_SHARE * toxic.sum() * (corpus + 0.01) / (corpus + 0.01).sum()
     a, b = toxic + prior, clean + prior
     odds = np.log(a / (a.sum() - a)) - np.log(b / (b.sum() - b))
     error = np.sqrt(1 / a + 1 / b)
