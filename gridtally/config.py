@@ -143,16 +143,16 @@ CONSUME_COLUMNS = _names(
     """
 )
 
-# Columns a matched merge row keeps from the table.
-INSERT_ONLY_COLUMNS = _names(
+# Columns that a matched merge row takes from the source.
+UPDATE_COLUMNS = _names(
     """
-    serialnumber source aep_devicecode isvirtual_meter timezoneoffset aep_premise_nb
-    aep_service_point aep_srvc_dlvry_id name_register isvirtual_register toutier toutiername
-    aep_derived_uom aep_raw_uom aep_billable_ind aep_data_quality_cd aep_data_validation
-    aep_tarf_pnt_nb hdp_insert_dttm aep_opco aep_usage_dt aep_meter_bucket
+    aep_srvc_qlty_idntfr aep_channel_id aep_sec_per_intrvl aep_meter_alias aep_meter_program
+    aep_usage_type aep_timezone_cd endtimeperiod starttimeperiod value aep_raw_value scalarfloat
+    aep_acct_cls_cd aep_acct_type_cd aep_mtr_pnt_nb aep_comp_mtr_mltplr aep_endtime_utc
+    aep_mtr_removal_ts aep_mtr_install_ts aep_city aep_zip aep_state hdp_update_user
+    hdp_update_dttm authority
     """
 )
-UPDATE_COLUMNS = [c for c in CONSUME_COLUMNS if c not in INSERT_ONLY_COLUMNS]
 
 INCREMENTAL_COLUMNS = _names(
     """
@@ -189,17 +189,6 @@ CONSUME_PARTITIONS = ["aep_usage_dt"]
 INCREMENTAL_PARTITIONS = ["aep_opco", "run_date"]
 AUDIT_COLUMNS = ["hdp_insert_dttm", "hdp_update_dttm"]
 
-# Carried next to the view columns until one row per business key is chosen.
-TIE_BREAKERS = _names(
-    """
-    int_gatewaycollectedtime int_blocksequencenumber int_intervalsequencenumber
-    starttimeperiod value aep_raw_value aep_mtr_install_ts aep_service_point
-    """
-)
-CARRIED_COLUMNS = _names(
-    "int_gatewaycollectedtime int_blocksequencenumber int_intervalsequencenumber"
-)
-
 
 def table_schema(columns: list[str], **overrides: str) -> str:
     """DDL of a stored table, with the usage date typed as a date."""

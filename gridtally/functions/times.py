@@ -28,10 +28,13 @@ def wall_date(text: Column) -> Column:
 
 
 def offset(text: Column) -> Column:
-    """The trailing UTC offset; a ``Z`` suffix counts as ``+00:00``."""
-    return F.when(F.endswith(text, F.lit("Z")), F.lit("+00:00")).otherwise(
-        F.substring(text, -6, 6)
-    )
+    """The offset behind the wall time as ``±hh:mm``; NULL if there is none.
+
+    ``Z``, ``±hh:mm`` and ``±hhmm`` are offsets, also behind a fraction of a second.
+    """
+    tail = F.regexp_extract(text, r"^.{19}(?:\.\d+)?(Z|[+-]\d\d:?\d\d)$", 1)
+    compact = F.concat(F.substring(tail, 1, 3), F.lit(":"), F.substring(tail, -2, 2))
+    return F.when(tail == "Z", F.lit("+00:00")).when(tail != "", compact)
 
 
 def iso_wall(moment: Column) -> Column:
@@ -74,6 +77,12 @@ def zone_epoch(wall: Column, zone: str) -> Column:
     return seconds_since_1970(utc)
 
 
+def epoch_text(seconds: Column) -> Column:
+    """Epoch seconds as ``yyyy-MM-dd HH:mm:ss`` in UTC, whatever the session zone is."""
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("SECOND", seconds, start).cast("string")
+
+
 def run_date(run_ts: datetime) -> str:
     return run_ts.strftime(config.RUN_DATE_FORMAT)
 

@@ -69,7 +69,9 @@ def derive_interval_times(
         .withColumns(
             {
                 "starttime": F.concat(times.iso_wall(start), F.col("interval_epoch")),
-                "endtime": F.concat(times.iso_wall(end), F.col("interval_epoch")),
+                "endtime": F.when(
+                    end.isNotNull(), F.concat(F.substring(end_col, 1, 19), F.col("interval_epoch"))
+                ),
                 "unix_endtime": times.epoch(end, F.col("interval_epoch")),
             }
         )

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridtally.operators.keys import BROADCAST_ROWS, all_present, assert_unique, fits_broadcast
+from gridtally.functions import times
+from gridtally.operators.keys import all_present, assert_unique
 
-# Copies of a lookup row that is too many to broadcast; a busy key spreads over as many tasks.
-SALTS = 16
+_FROM, _TO, _CUT, _END, _PART_KEY, _RANK = "__from", "__to", "__cut", "__end", "__part_key", "__rank"
 
-_FROM, _TO, _SLOT = "__from", "__to", "__slot"
-_SALT, _DIM_SALT = "__salt", "__dim_salt"
+
+def _hinted(df: DataFrame, strategy: str | None) -> DataFrame:
+    return df if strategy is None else df.hint(strategy)
 
 
 def lookup_left(
@@ -20,16 +21,13 @@ def lookup_left(
     on: dict[str, str],
     defaults: dict[str, Column] | None = None,
     unique: bool = True,
-    broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    strategy: str | None = None,
 ) -> DataFrame:
     """Left join to a lookup; ``on`` maps fact columns to lookup key columns.
 
-    A lookup of at most ``broadcast_rows`` rows is broadcast, so a channel that
-    holds most of the readings costs nothing extra. A larger one is joined by
-    shuffle on key and salt: each lookup row has one copy per salt, and the
-    readings of one channel spread over all of them by the partition they come
-    from, which stays the same when a task is run again. With ``unique`` the job
+    Spark broadcasts the lookup if its bytes are below the session's threshold and
+    shuffles otherwise, where adaptive skew handling splits the readings of a busy
+    key. ``strategy`` is a join hint that overrides this. With ``unique`` the job
     fails if the lookup would multiply readings.
     """
     keys = list(on.values())
@@ -37,16 +35,9 @@ def lookup_left(
     if unique:
         usable = assert_unique(usable, keys, "lookup")
     renamed = {k: f"__key_{k}" for k in keys}
-    usable = usable.withColumnsRenamed(renamed)
+    usable = _hinted(usable.withColumnsRenamed(renamed), strategy)
     condition = [F.col(f) == F.col(renamed[k]) for f, k in on.items()]
-    if fits_broadcast(dim.select(*keys), broadcast_rows):
-        usable = F.broadcast(usable)
-    else:
-        every = F.sequence(F.lit(0), F.lit(salts - 1))
-        usable = usable.withColumn(_DIM_SALT, F.explode(every))
-        fact = fact.withColumn(_SALT, F.pmod(F.spark_partition_id(), F.lit(salts)))
-        condition.append(F.col(_SALT) == F.col(_DIM_SALT))
-    joined = fact.join(usable, condition, "left").drop(*renamed.values(), _SALT, _DIM_SALT)
+    joined = fact.join(usable, condition, "left").drop(*renamed.values())
     for name, value in (defaults or {}).items():
         joined = joined.withColumn(name, F.coalesce(F.col(name), value))
     return joined
@@ -68,6 +59,33 @@ def _bounded(dim: DataFrame, intervals: list[tuple[str, str]]) -> DataFrame:
     )
 
 
+def disjoint_validity(
+    dim: DataFrame, key: str, intervals: list[tuple[str, str]], order: list[Column]
+) -> DataFrame:
+    """Validity rows cut to parts of which at most one covers any moment of a key.
+
+    Where rows overlap, the first one in ``order`` is valid; the columns settle
+    what the order leaves open, so the choice does not depend on the input order.
+    Works on the dimension alone. The part is in the added bound columns.
+    """
+    rows = _bounded(dim, intervals).filter(F.col(key).isNotNull()).distinct()
+    border = F.explode(F.array(F.col(_FROM), F.col(_TO) + 1)).alias(_CUT)
+    cuts = rows.select(F.col(key).alias(_PART_KEY), border).distinct()
+    following = F.lead(_CUT).over(Window.partitionBy(_PART_KEY).orderBy(_CUT)) - 1
+    parts = cuts.withColumn(_END, following).filter(F.col(_END).isNotNull())
+    covered = parts.join(
+        rows,
+        (F.col(_PART_KEY) == F.col(key)) & (F.col(_FROM) <= F.col(_CUT)) & (F.col(_TO) >= F.col(_END)),
+    )
+    rest = [F.col(c).desc_nulls_last() for c in dim.columns]
+    first = F.row_number().over(Window.partitionBy(_PART_KEY, _CUT).orderBy(*order, *rest))
+    return (
+        covered.withColumn(_RANK, first)
+        .filter(F.col(_RANK) == 1)
+        .select(*dim.columns, F.col(_CUT).alias(_FROM), F.col(_END).alias(_TO))
+    )
+
+
 def validity_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -75,51 +93,30 @@ def validity_join(
     at: str,
     intervals: list[tuple[str, str]],
     how: str = "left",
-    slots: int = 64,
-    broadcast_rows: int = BROADCAST_ROWS,
+    order: list[Column] | None = None,
+    strategy: str | None = None,
 ) -> DataFrame:
     """Join readings to the dimension rows that are valid at the reading's epoch.
 
     ``on`` is (fact key, dimension key) and ``intervals`` lists (low, high)
-    column pairs, all inclusive. Overlapping validity rows multiply readings.
-
-    A small dimension is broadcast. Otherwise the time span of the readings is
-    cut into ``slots`` equal parts, and the join runs on (key, slot): a reading
-    has one slot, a dimension row one copy per slot it touches. Rows valid only
-    outside the span drop out before the shuffle, the readings of one busy
-    device spread over the slots, and each reading only meets the validity rows
-    of its own slot.
+    column pairs, all inclusive. Overlapping validity rows multiply readings,
+    unless ``order`` says which of them is valid.
+
+    An equi join on the key with the interval as a further condition. Readings
+    are read once and no validity row is copied. Spark broadcasts a small
+    dimension by its bytes; otherwise adaptive skew handling splits the readings
+    of a busy device over several tasks, whatever their epochs are. ``strategy``
+    is a join hint that overrides the choice.
     """
     fact_key, dim_key = on
-    valid = _bounded(dim, intervals).filter(F.col(dim_key).isNotNull())
+    if order is None:
+        valid = _bounded(dim, intervals).filter(F.col(dim_key).isNotNull())
+    else:
+        valid = disjoint_validity(dim, dim_key, intervals, order)
+    valid = _hinted(valid.withColumnRenamed(dim_key, "__dim_key"), strategy)
     inside = F.col(at).between(F.col(_FROM), F.col(_TO))
     same_key = F.col(fact_key) == F.col("__dim_key")
-
-    if fits_broadcast(valid.select(dim_key), broadcast_rows):
-        small = F.broadcast(valid.withColumnRenamed(dim_key, "__dim_key"))
-        return fact.join(small, same_key & inside, how).drop("__dim_key", _FROM, _TO)
-
-    first, last = fact.agg(F.min(at), F.max(at)).first()
-    first, last = first or 0, last or 0
-    width = (last - first) // slots + 1
-
-    def slot(value: Column) -> Column:
-        return F.floor((value - F.lit(first)) / F.lit(width)).cast("int")
-
-    touched = F.sequence(
-        slot(F.greatest(F.col(_FROM), F.lit(first))), slot(F.least(F.col(_TO), F.lit(last)))
-    )
-    valid = (
-        valid.filter((F.col(_TO) >= first) & (F.col(_FROM) <= last))
-        .withColumn("__dim_slot", F.explode(touched))
-        .withColumnRenamed(dim_key, "__dim_key")
-    )
-    # Readings without an epoch match nothing; their own slot keeps them apart.
-    slotted = fact.withColumn(_SLOT, F.coalesce(slot(F.col(at)), F.lit(-1)))
-    same_slot = F.col(_SLOT) == F.col("__dim_slot")
-    return slotted.join(valid, same_key & same_slot & inside, how).drop(
-        "__dim_key", "__dim_slot", _SLOT, _FROM, _TO
-    )
+    return fact.join(valid, same_key & inside, how).drop("__dim_key", _FROM, _TO)
 
 
 def window_flag(at: Column, low: Column, high: Column, yes: str, no: str) -> Column:
@@ -133,22 +130,26 @@ def validity_diagnose(
     on: tuple[str, str],
     at: str,
     intervals: dict[str, tuple[str, str]],
-    broadcast_rows: int = BROADCAST_ROWS,
+    chosen: list[str],
 ) -> DataFrame:
-    """Readings with every validity row of their device and a YES/NO flag per interval.
+    """Readings of the chosen keys with every validity row and a YES/NO flag per interval.
 
-    ``intervals`` maps the flag column to a (low, high) pair. Meant for chosen
-    readings: the result has one row per reading and validity row.
+    ``intervals`` maps the flag column to a (low, high) pair. The result has one
+    row per reading and validity row of a device, so the devices must be named;
+    both sides are cut to them before the join. The reading's epoch and all bounds
+    are also given as text in UTC, with ``_text`` added to their names.
     """
     fact_key, dim_key = on
-    rows = dim.filter(F.col(dim_key).isNotNull())
-    if fits_broadcast(rows.select(dim_key), broadcast_rows):
-        rows = F.broadcast(rows)
+    rows = dim.filter(F.col(dim_key).isin(chosen))
+    fact = fact.filter(F.col(fact_key).isin(chosen))
+    bounds = [c for pair in intervals.values() for c in pair]
+    texts = {f"{c}_text": times.epoch_text(F.col(c)) for c in dict.fromkeys([at, *bounds])}
     flags = {
         name: window_flag(F.col(at), F.col(lo), F.col(hi), "YES", "NO")
         for name, (lo, hi) in intervals.items()
     }
-    return fact.join(rows, F.col(fact_key) == F.col(dim_key), "inner").withColumns(flags)
+    joined = fact.join(rows, F.col(fact_key) == F.col(dim_key), "inner")
+    return joined.withColumns(flags | texts)
 
 
 def validity_check(

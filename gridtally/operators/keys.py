@@ -1,4 +1,4 @@
-"""Key checks and size checks shared by the join-like operators."""
+"""Key checks shared by the join-like operators."""
 
 from __future__ import annotations
 
@@ -7,9 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A dimension of more rows than this is never broadcast.
-BROADCAST_ROWS = 50_000
-
 _SEEN = "__seen"
 
 
@@ -31,8 +28,3 @@ def assert_unique(df: DataFrame, keys: list[str], what: str) -> DataFrame:
         .filter(F.when(F.col(_SEEN) > 1, twice.cast("boolean")).otherwise(True))
         .drop(_SEEN)
     )
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the frame has at most ``max_rows`` rows; runs one count."""
-    return max_rows > 0 and df.count() <= max_rows

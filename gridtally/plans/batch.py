@@ -42,9 +42,8 @@ def transform(
 ) -> DataFrame:
     """Raw documents to one output row per business key."""
     dim = views.prepare_validity_dim(validity, tenant.company_codes, tenant.dimension_zone)
-    readings = flatten_readings(documents, label)
-    rows = views.readings_view(readings, unit_map(units, tenant.code), dim, tenant, run_ts)
-    return views.dedup_readings(rows)
+    readings = views.dedup_readings(flatten_readings(documents, label))
+    return views.readings_view(readings, unit_map(units, tenant.code), dim, tenant, run_ts)
 
 
 def run_batch(

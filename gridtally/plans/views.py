@@ -12,18 +12,17 @@ from gridtally.config import Tenant
 from gridtally.functions import times, values
 from gridtally.operators.dedup import dedup_latest, newest_first
 from gridtally.operators.joins import lookup_left, validity_join
-from gridtally.operators.keys import BROADCAST_ROWS
 
 
 def enrich_units(
     readings: DataFrame,
     units: DataFrame,
     unique: bool = True,
-    broadcast_rows: int = BROADCAST_ROWS,
+    strategy: str | None = None,
 ) -> DataFrame:
     """Adds derived unit, register name, quality code and multiplier flag by channel."""
     joined = lookup_left(
-        readings, units, {"channel": "aep_channel_id"}, unique=unique, broadcast_rows=broadcast_rows
+        readings, units, {"channel": "aep_channel_id"}, unique=unique, strategy=strategy
     )
     return joined.withColumns(
         {
@@ -78,20 +77,27 @@ def prepare_validity_dim(
 
 
 def enrich_premise(
-    readings: DataFrame, validity_dim: DataFrame, broadcast_rows: int = BROADCAST_ROWS
+    readings: DataFrame, validity_dim: DataFrame, strategy: str | None = None
 ) -> DataFrame:
-    """Adds the meter and premise attributes valid at the reading's end."""
+    """Adds the meter and premise attributes valid at the reading's end.
+
+    Of overlapping validity rows the one installed last is valid, then the one whose
+    account began last.
+    """
     return validity_join(
         readings,
         validity_dim,
         on=("metername", "mfr_devc_ser_nbr"),
         at="unix_endtime",
         intervals=config.VALIDITY_INTERVALS,
-        broadcast_rows=broadcast_rows,
+        order=newest_first(
+            ["unix_mtr_inst_ts", "unix_acct_turn_on_dt", "prem_nb", "bill_acct_nb"]
+        ),
+        strategy=strategy,
     )
 
 
-# Stage view columns that are another column under a new name.
+# Stage view columns that are another column under a new name.
 STAGE_RENAMES = {
     "serialnumber": "metername",
     "aep_raw_value": "value",
@@ -126,6 +132,7 @@ def stage_view(enriched: DataFrame, tenant: Tenant) -> DataFrame:
     )
 
 
+# Standard view columns that are a stage column under a new name.
 STANDARD_RENAMES = {
     "timezoneoffset": "interval_epoch",
     "aep_channel_id": "channel",
@@ -178,11 +185,29 @@ def output_view(standard: DataFrame, carry: list[str] | None = None) -> DataFram
     return standard.select(*[typed(c) for c in config.OUTPUT_COLUMNS], *(carry or []))
 
 
-def dedup_readings(output: DataFrame) -> DataFrame:
-    """One row per business key: the latest stamp, then the latest collected reading."""
-    ties = [c for c in config.TIE_BREAKERS if c in output.columns]
-    order = newest_first(["hdp_insert_dttm", *ties])
-    return dedup_latest(output, config.BUSINESS_KEY, order).drop(*config.CARRIED_COLUMNS)
+def dedup_readings(readings: DataFrame) -> DataFrame:
+    """Flat readings, one per business key: the one collected last.
+
+    All columns of the business key come from the reading, so the choice is made
+    on the narrow rows, before anything is joined. Collection times compare as
+    instants and sequence numbers as numbers; all other columns settle ties.
+    """
+    key = {
+        "__day": values.usage_date(F.col("starttime")),
+        "__meter": F.trim("metername"),
+        "__unit": values.clean_unit(F.col("uom")),
+    }
+    newest = [
+        times.epoch_of(F.col("int_gatewaycollectedtime")),
+        F.col("int_blocksequencenumber").try_cast("bigint"),
+        F.col("int_intervalsequencenumber").try_cast("bigint"),
+        F.col("starttime"),
+        F.col("value").try_cast("double"),
+        F.col("rawvalue").try_cast("double"),
+    ]
+    order = [c.desc_nulls_last() for c in newest] + newest_first(sorted(readings.columns))
+    keyed = readings.withColumns(key)
+    return dedup_latest(keyed, [*key, "channel", "endtime"], order).drop(*key)
 
 
 def readings_view(
@@ -191,18 +216,11 @@ def readings_view(
     validity_dim: DataFrame,
     tenant: Tenant,
     run_ts: datetime,
-    broadcast_rows: int = BROADCAST_ROWS,
+    strategy: str | None = None,
 ) -> DataFrame:
-    """Flat readings to output rows, before deduplication, with the tie-break columns."""
-    enriched = enrich_premise(
-        enrich_units(readings, units, broadcast_rows=broadcast_rows),
-        validity_dim,
-        broadcast_rows=broadcast_rows,
-    )
-    standard = standard_view(
-        stage_view(enriched, tenant), tenant, run_ts, carry=config.CARRIED_COLUMNS
-    )
-    return output_view(standard, carry=config.CARRIED_COLUMNS)
+    """Flat readings to output rows, one for one."""
+    enriched = enrich_premise(enrich_units(readings, units, strategy=strategy), validity_dim, strategy)
+    return output_view(standard_view(stage_view(enriched, tenant), tenant, run_ts))
 
 
 def consume_rows(output: DataFrame) -> DataFrame:

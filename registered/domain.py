@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from gridtally.functions import values
 from gridtally.operators.dedup import dedup_latest
 from gridtally.operators.flatten import derive_interval_times
-from gridtally.plans import views
 from registered import frames
 
 
@@ -19,11 +18,16 @@ def flatten_readings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def interval_times(spark: SparkSession, sf: str) -> DataFrame:
-    """Start, end, offset and epoch of an interval from its end text and length."""
+    """Start, end, offset and epoch of an interval from its end text and length; offsets
+    come in all forms, or not at all."""
+    sent = F.element_at(
+        F.array(*(F.lit(x) for x in ("-05:00", "Z", "-0500", "+05:30", "", "EST"))),
+        (F.col("l_linenumber") % 6 + 1).cast("int"),
+    )
     li = frames.table(spark, sf, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
-        F.concat(F.date_format(F.col("l_shipdate").cast("date"), "yyyy-MM-dd"), F.lit("T00:05:00-05:00")).alias(
+        F.concat(F.date_format(F.col("l_shipdate").cast("date"), "yyyy-MM-dd"), F.lit("T00:05:00"), sent).alias(
             "int_endtime"
         ),
         F.col("l_quantity").cast("int").cast("string").alias("intervallength"),
@@ -61,7 +65,7 @@ def derive_partitions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dedup_readings(spark: SparkSession, sf: str) -> DataFrame:
-    return frames.plain(views.dedup_readings(frames.output(spark, sf)))
+    return frames.plain(frames.deduped(spark, sf))
 
 
 def dedup_latest_event(spark: SparkSession, sf: str) -> DataFrame:
@@ -75,12 +79,14 @@ QUERIES = {
     "flatten_readings": (flatten_readings, f"WITH {frames.READINGS_SQL} SELECT * FROM readings"),
     "interval_times": (
         interval_times,
-        """SELECT l_orderkey, l_linenumber, '-05:00' AS interval_epoch,
+        """SELECT l_orderkey, l_linenumber, o.text AS interval_epoch,
                   strftime(l_shipdate + INTERVAL 5 MINUTE - CAST(l_quantity AS INTEGER) * INTERVAL 1 MINUTE,
-                           '%Y-%m-%dT%H:%M:%S-05:00') AS starttime,
-                  strftime(l_shipdate, '%Y-%m-%dT00:05:00-05:00') AS endtime,
-                  CAST(epoch(l_shipdate) AS BIGINT) + 18300 AS unix_endtime
-           FROM lineitem""",
+                           '%Y-%m-%dT%H:%M:%S') || o.text AS starttime,
+                  strftime(l_shipdate, '%Y-%m-%dT00:05:00') || o.text AS endtime,
+                  CAST(epoch(l_shipdate) AS BIGINT) + 300 - o.seconds AS unix_endtime
+           FROM lineitem LEFT JOIN (VALUES (0, '-05:00', -18000), (1, '+00:00', 0), (2, '-05:00', -18000),
+                                           (3, '+05:30', 19800)) AS o(place, text, seconds)
+             ON l_linenumber % 6 = o.place""",
     ),
     "scale_value": (
         scale_value,
@@ -101,7 +107,7 @@ QUERIES = {
             SELECT metername, macid, channel, left(starttime, 10) AS aep_usage_dt,
                    right(metername, 2) AS aep_meter_bucket FROM readings""",
     ),
-    "dedup_readings": (dedup_readings, f"{frames.TO_OUTPUT} SELECT * FROM deduped"),
+    "dedup_readings": (dedup_readings, f"{frames.TO_DEDUPED} SELECT * FROM output"),
     "dedup_latest": (
         dedup_latest_event,
         """SELECT user_id, event_type, day, event_id, value FROM (

@@ -43,17 +43,23 @@ def as_documents(lineitem: DataFrame) -> DataFrame:
     def iso(moment: Column) -> Column:
         return F.concat(times.iso_wall(moment), zone)
 
+    # The collection time of half of the readings is sent with another offset.
+    moment = F.timestamp_add("MINUTE", F.col("l_quantity").cast("int") % 3, F.col("end"))
+    ahead = F.timestamp_add("HOUR", F.lit(1), moment)
+    ahead_zone = F.when(F.col("l_linestatus") == "O", "+01:00").otherwise("-0400")
+
     li = (
         lineitem.withColumn("end", F.timestamp_add("MINUTE", F.col("l_linenumber") * 15, shifted))
         .withColumns(
             {
                 "end_text": iso(F.col("end")),
                 "start_text": iso(times.minutes_before(F.col("end"), minutes)),
-                "collected": iso(
-                    F.timestamp_add("MINUTE", F.col("l_quantity").cast("int"), F.col("end"))
-                ),
+                "collected": F.when(
+                    F.col("l_partkey") % 2 == 1, F.concat(times.iso_wall(ahead), ahead_zone)
+                ).otherwise(iso(moment)),
                 "length": minutes.cast("string"),
-                "sequence": F.col("l_linenumber").cast("string"),
+                "sequence": (F.col("l_orderkey") % 15).cast("string"),
+                "block_sequence": F.col("l_linenumber").cast("string"),
             }
         )
     )
@@ -76,7 +82,7 @@ def as_documents(lineitem: DataFrame) -> DataFrame:
     )
     interval = F.struct(
         F.col("end_text").alias("_EndTime"),
-        F.col("sequence").alias("_BlockSequenceNumber"),
+        F.col("block_sequence").alias("_BlockSequenceNumber"),
         F.col("collected").alias("_GatewayCollectedTime"),
         F.col("sequence").alias("_IntervalSequenceNumber"),
         readings.alias("Reading"),
@@ -173,16 +179,20 @@ def validity_dim(spark: SparkSession, sf: str) -> DataFrame:
     return views.prepare_validity_dim(validity(spark, sf), TENANT.company_codes)
 
 
+def deduped(spark: SparkSession, sf: str) -> DataFrame:
+    """Output rows of the chosen readings."""
+    chosen = views.dedup_readings(readings(spark, sf))
+    units_of_tenant = unit_map(units(spark), TENANT.code)
+    return views.readings_view(chosen, units_of_tenant, validity_dim(spark, sf), TENANT, RUN_TS)
+
+
 def staged(spark: SparkSession, sf: str) -> DataFrame:
     enriched = views.enrich_premise(unit_readings(spark, sf), validity_dim(spark, sf))
     return views.stage_view(enriched, TENANT)
 
 
 def output(spark: SparkSession, sf: str) -> DataFrame:
-    standard = views.standard_view(
-        staged(spark, sf), TENANT, RUN_TS, carry=config.CARRIED_COLUMNS
-    )
-    return views.output_view(standard, carry=config.CARRIED_COLUMNS)
+    return views.output_view(views.standard_view(staged(spark, sf), TENANT, RUN_TS))
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -203,7 +213,7 @@ base AS (
          CASE WHEN l_linestatus = 'O' THEN 'Z' ELSE '-05:00' END AS raw_zone,
          CASE WHEN l_linestatus = 'O' THEN '+00:00' ELSE '-05:00' END AS zone,
          CASE WHEN l_linestatus = 'O' THEN 0 ELSE 18000 END AS behind,
-         l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax
+         l_linenumber, l_orderkey, l_partkey, l_quantity, l_extendedprice, l_discount, l_tax
   FROM lineitem
 ),
 channels AS (
@@ -222,16 +232,36 @@ readings AS (
          strftime(end_ts, '%Y-%m-%dT%H:%M:%S') || zone AS endtime,
          zone AS interval_epoch,
          CAST(epoch(end_ts) AS BIGINT) + behind AS unix_endtime,
-         strftime(end_ts + CAST(l_quantity AS INTEGER) * INTERVAL 1 MINUTE, '%Y-%m-%dT%H:%M:%S')
-           || raw_zone AS int_gatewaycollectedtime,
+         strftime(end_ts + (CAST(l_quantity AS INTEGER) % 3) * INTERVAL 1 MINUTE
+                  + (l_partkey % 2) * INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%S')
+           || CASE WHEN l_partkey % 2 = 0 THEN raw_zone
+                   WHEN raw_zone = 'Z' THEN '+01:00' ELSE '-0400' END AS int_gatewaycollectedtime,
          CAST(l_linenumber AS VARCHAR) AS int_blocksequencenumber,
-         CAST(l_linenumber AS VARCHAR) AS int_intervalsequencenumber,
+         CAST(l_orderkey % 15 AS VARCHAR) AS int_intervalsequencenumber,
          channel, CAST(amount AS VARCHAR) AS value, uom,
          '{LABEL}' AS part_date
   FROM channels
   WHERE CAST(end_ts - minutes * INTERVAL 1 MINUTE AS DATE) >= DATE '2015-03-01'
 )"""
 
+# One reading per business key: instants and numbers are compared, not their text.
+CHOSEN_SQL = READINGS_SQL.replace("\nreadings AS (", "\nevery_reading AS (") + """,
+readings AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (
+      PARTITION BY left(starttime, 10), metername, channel, uom, endtime
+      ORDER BY epoch(strptime(left(int_gatewaycollectedtime, 19), '%Y-%m-%dT%H:%M:%S'))
+                 - CASE substr(int_gatewaycollectedtime, 20) WHEN 'Z' THEN 0 WHEN '+01:00' THEN 3600
+                        WHEN '-0400' THEN -14400 WHEN '-05:00' THEN -18000 END DESC,
+               CAST(int_blocksequencenumber AS BIGINT) DESC,
+               CAST(int_intervalsequencenumber AS BIGINT) DESC, starttime DESC,
+               CAST(value AS DOUBLE) DESC, blockendtime DESC, blockstarttime DESC,
+               int_blocksequencenumber DESC, int_gatewaycollectedtime DESC,
+               int_intervalsequencenumber DESC, intervallength DESC, macid DESC, utildeviceid DESC) AS rn
+    FROM every_reading)
+  WHERE rn = 1
+)"""
+
 UNITS_SQL = """
 unit_map(key, uom_name, template, quality, flag) AS (
   VALUES ('101', 'kwh', 'E-KWH-mtr_ivl_len-TOT', 'TOT', 'Y'),
@@ -320,8 +350,7 @@ standard AS (
          aep_city, aep_zip, aep_state,
          CAST(1768478400 AS BIGINT) AS hdp_insert_dttm, CAST(1768478400 AS BIGINT) AS hdp_update_dttm,
          hdp_update_user, left(aep_premise_nb, 2) AS authority, left(starttime, 10) AS aep_usage_dt,
-         'new' AS data_type, aep_opco, aep_meter_bucket,
-         int_gatewaycollectedtime, int_blocksequencenumber, int_intervalsequencenumber
+         'new' AS data_type, aep_opco, aep_meter_bucket
   FROM stage
 )"""
 
@@ -336,24 +365,13 @@ output AS (
          CAST(NULL AS VARCHAR) AS aep_billable_ind, CAST(NULL AS VARCHAR) AS aep_data_quality_cd,
          CAST(NULL AS VARCHAR) AS aep_data_validation
   FROM standard
-),
-deduped AS (
-  SELECT * EXCLUDE (rn, int_gatewaycollectedtime, int_blocksequencenumber, int_intervalsequencenumber)
-  FROM (
-    SELECT *, row_number() OVER (
-      PARTITION BY aep_usage_dt, aep_meter_bucket, serialnumber, aep_channel_id, aep_raw_uom, endtimeperiod
-      ORDER BY hdp_insert_dttm DESC, int_gatewaycollectedtime DESC, int_blocksequencenumber DESC,
-               int_intervalsequencenumber DESC, starttimeperiod DESC, value DESC NULLS LAST,
-               aep_raw_value DESC, aep_mtr_install_ts DESC NULLS LAST,
-               aep_service_point DESC NULLS LAST) AS rn
-    FROM output)
-  WHERE rn = 1
 )"""
 
 TO_UNITS = f"WITH {READINGS_SQL}, {UNITS_SQL}"
 TO_STAGE = f"{TO_UNITS}, {VALIDITY_SQL}, {STAGE_SQL}"
 TO_STANDARD = f"{TO_STAGE}, {STANDARD_SQL}"
 TO_OUTPUT = f"{TO_STANDARD}, {OUTPUT_SQL}"
+TO_DEDUPED = TO_OUTPUT.replace(READINGS_SQL, CHOSEN_SQL)
 
 
 # --- A consume-like table from events ---------------------------------------

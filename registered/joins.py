@@ -28,7 +28,7 @@ def lookup_units(spark: SparkSession, sf: str) -> DataFrame:
 def lookup_units_shuffled(spark: SparkSession, sf: str) -> DataFrame:
     """The same lookup without a broadcast."""
     units = unit_map(frames.units(spark), frames.TENANT.code)
-    joined = views.enrich_units(frames.readings(spark, sf), units, broadcast_rows=0)
+    joined = views.enrich_units(frames.readings(spark, sf), units, strategy="merge")
     return joined.select(*READING_COLUMNS)
 
 
@@ -38,9 +38,9 @@ def validity_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def validity_join_slotted(spark: SparkSession, sf: str) -> DataFrame:
-    """The same join by device and time slot, as used for a large dimension."""
+    """The same join by shuffle, as used for a large dimension."""
     joined = views.enrich_premise(
-        frames.unit_readings(spark, sf), frames.validity_dim(spark, sf), broadcast_rows=0
+        frames.unit_readings(spark, sf), frames.validity_dim(spark, sf), strategy="merge"
     )
     return joined.select("metername", "endtime", "channel", "value", "macid", *PREMISE_COLUMNS)
 
@@ -57,6 +57,7 @@ def prepared_validity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 WINDOWS = {"in_mtr_window": config.VALIDITY_INTERVALS[0], "in_acct_window": config.VALIDITY_INTERVALS[1]}
+CHOSEN_DEVICES = ["900000001", "900000004", "900000007"]
 CHECKS = {
     "meter_window_check": config.VALIDITY_INTERVALS[0],
     "account_window_check": config.VALIDITY_INTERVALS[1],
@@ -64,15 +65,17 @@ CHECKS = {
 
 
 def diagnosed(spark: SparkSession, sf: str) -> DataFrame:
-    """Readings against both validity rows of their device."""
+    """Readings of three devices against both validity rows of their device."""
     rows = validity_diagnose(
         frames.unit_readings(spark, sf),
         frames.validity_dim(spark, sf),
         on=("metername", "mfr_devc_ser_nbr"),
         at="unix_endtime",
         intervals=WINDOWS,
+        chosen=CHOSEN_DEVICES,
     )
-    return rows.select("metername", "endtime", "channel", "value", "macid", "prem_nb", *WINDOWS)
+    shown = ["metername", "endtime", "channel", "value", "macid", "prem_nb"]
+    return rows.select(*shown, *WINDOWS, *(c for c in rows.columns if c.endswith("_text")))
 
 
 def checked(spark: SparkSession, sf: str) -> DataFrame:
@@ -228,6 +231,10 @@ SELECT o_orderkey, "column", dev, staged, consumed,
 FROM u
 """
 
+EPOCHS = ["unix_endtime", *(c for pair in config.VALIDITY_INTERVALS for c in pair)]
+TEXTS = ", ".join(
+    f"strftime(make_timestamp({c} * 1000000), '%Y-%m-%d %H:%M:%S') AS {c}_text" for c in EPOCHS
+)
 UNITS_SQL = f"{frames.TO_UNITS} SELECT {', '.join(READING_COLUMNS)} FROM unit_readings"
 
 QUERIES = {
@@ -245,8 +252,9 @@ QUERIES = {
                    CASE WHEN unix_endtime BETWEEN unix_mtr_inst_ts AND unix_mtr_rmvl_ts
                         THEN 'YES' ELSE 'NO' END AS in_mtr_window,
                    CASE WHEN unix_endtime BETWEEN unix_acct_turn_on_dt AND unix_acct_turn_off_dt
-                        THEN 'YES' ELSE 'NO' END AS in_acct_window
-            FROM unit_readings JOIN validity ON metername = mfr_devc_ser_nbr""",
+                        THEN 'YES' ELSE 'NO' END AS in_acct_window, {TEXTS}
+            FROM unit_readings JOIN validity ON metername = mfr_devc_ser_nbr
+            WHERE metername IN ('900000001', '900000004', '900000007')""",
     ),
     "validity_check": (
         checked,

@@ -41,7 +41,7 @@ def standard_view(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def output_view(spark: SparkSession, sf: str) -> DataFrame:
-    return frames.plain(frames.output(spark, sf).drop(*config.CARRIED_COLUMNS))
+    return frames.plain(frames.output(spark, sf))
 
 
 def tenant_rows(spark: SparkSession, sf: str) -> DataFrame:

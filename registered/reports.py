@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtally.operators import quality
-from gridtally.plans import acceptance, views
+from gridtally.plans import acceptance
 from registered import frames
 
 QUALITY_SELECT = """
@@ -26,7 +26,7 @@ count(*) FILTER (authority IS NULL) AS null_authority_count
 
 def batch_quality_report(spark: SparkSession, sf: str) -> DataFrame:
     """The whole batch on documents: flatten, enrich, standardise, deduplicate, report by date."""
-    return quality.quality_report(views.dedup_readings(frames.output(spark, sf)))
+    return quality.quality_report(frames.deduped(spark, sf))
 
 
 def event_quality_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -66,8 +66,8 @@ def audit_stamps(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "batch_quality_report": (
         batch_quality_report,
-        f"""{frames.TO_OUTPUT}
-            SELECT aep_usage_dt, {QUALITY_SELECT} FROM deduped GROUP BY 1 ORDER BY 1""",
+        f"""{frames.TO_DEDUPED}
+            SELECT aep_usage_dt, {QUALITY_SELECT} FROM output GROUP BY 1 ORDER BY 1""",
     ),
     "event_quality_report": (
         event_quality_report,

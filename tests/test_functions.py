@@ -159,7 +159,7 @@ def test_layouts():
     assert len(config.OUTPUT_COLUMNS) == 48
     assert len(config.CONSUME_COLUMNS) == 47
     assert len(config.INCREMENTAL_COLUMNS) == 47
-    assert len(config.INSERT_ONLY_COLUMNS) == 22
+    assert len(set(config.CONSUME_COLUMNS) - set(config.UPDATE_COLUMNS)) == 22
     assert len(config.UPDATE_COLUMNS) == 25
     assert set(config.CONSUME_COLUMNS) == set(config.OUTPUT_COLUMNS) - {"data_type"}
     assert set(config.INCREMENTAL_COLUMNS) == set(config.OUTPUT_COLUMNS) - {

@@ -8,6 +8,7 @@ from gridtally.operators import quality
 from gridtally.operators.dedup import dedup_latest, dedup_removed, duplicate_counts, newest_first
 from gridtally.operators.flatten import flatten_readings
 from gridtally.operators.joins import (
+    disjoint_validity,
     lookup_left,
     validity_check,
     validity_diagnose,
@@ -87,39 +88,41 @@ def units(spark, *channels):
     return spark.createDataFrame(data, "c string, u string, n string, q string, f string")
 
 
-@pytest.mark.parametrize("broadcast_rows", [100, 0])
-def test_lookup_misses_take_the_default(spark, broadcast_rows):
+@pytest.mark.parametrize("strategy", [None, "broadcast", "merge"])
+def test_lookup_misses_take_the_default(spark, strategy):
     fact = spark.createDataFrame([("1",), ("2",), (None,)], "channel string")
     joined = lookup_left(
-        fact, units(spark, "1"), {"channel": "c"}, {"u": F.lit("UNK")}, broadcast_rows=broadcast_rows
+        fact, units(spark, "1"), {"channel": "c"}, {"u": F.lit("UNK")}, strategy=strategy
     )
     assert rows(joined.select("channel", "u")) == [("1", "kwh"), ("2", "UNK"), (None, "UNK")]
 
 
-@pytest.mark.parametrize("broadcast_rows", [100, 0])
-def test_lookup_repeats_fail_or_fan_out(spark, broadcast_rows):
+@pytest.mark.parametrize("strategy", [None, "broadcast", "merge"])
+def test_lookup_repeats_fail_or_fan_out(spark, strategy):
     fact = spark.createDataFrame([("1",), ("2",)], "channel string")
     repeated = units(spark, "1", "1")
     with pytest.raises(Exception, match="more than one row for key 1"):
         lookup_left(
-            fact, repeated, {"channel": "c"}, broadcast_rows=broadcast_rows
+            fact, repeated, {"channel": "c"}, strategy=strategy
         ).collect()
     fanned = lookup_left(
-        fact, repeated, {"channel": "c"}, unique=False, broadcast_rows=broadcast_rows
+        fact, repeated, {"channel": "c"}, unique=False, strategy=strategy
     )
     assert fanned.count() == 3
 
 
-def test_lookup_strategy_follows_the_size(spark):
+def test_lookup_strategy_follows_the_bytes(spark):
     fact = spark.range(100).select(F.col("id").cast("string").alias("channel"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        def plan(limit):
-            joined = lookup_left(fact, units(spark, "1"), {"channel": "c"}, broadcast_rows=limit)
-            return joined._jdf.queryExecution().executedPlan().toString()
 
-        assert "BroadcastHashJoin" in plan(1)
-        assert "BroadcastHashJoin" not in plan(0)
+    def plan(limit):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        known = spark.range(3).select(F.col("id").cast("string").alias("c"))
+        joined = lookup_left(fact, known, {"channel": "c"})
+        return joined._jdf.queryExecution().executedPlan().toString()
+
+    try:
+        assert "BroadcastHashJoin" in plan("10m")
+        assert "BroadcastHashJoin" not in plan("-1")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -130,7 +133,7 @@ INTERVALS = [("lo1", "hi1"), ("lo2", "hi2")]
 DIM = "device string, premise string, lo1 long, hi1 long, lo2 long, hi2 long"
 
 
-@pytest.mark.parametrize("broadcast_rows", [100, 0])
+@pytest.mark.parametrize("strategy", [None, "broadcast", "merge"])
 @pytest.mark.parametrize(
     "at, premises",
     [
@@ -143,7 +146,7 @@ DIM = "device string, premise string, lo1 long, hi1 long, lo2 long, hi2 long"
         (10**9, ["B"]),  # open end
     ],
 )
-def test_validity_bounds_are_inclusive(spark, broadcast_rows, at, premises):
+def test_validity_bounds_are_inclusive(spark, strategy, at, premises):
     dim = spark.createDataFrame(
         [
             ("d", "A", 100, 200, 50, 200),
@@ -157,13 +160,13 @@ def test_validity_bounds_are_inclusive(spark, broadcast_rows, at, premises):
     )
     fact = spark.createDataFrame([("d", at)], "meter string, at long")
     joined = validity_join(
-        fact, dim, ("meter", "device"), "at", INTERVALS, broadcast_rows=broadcast_rows
+        fact, dim, ("meter", "device"), "at", INTERVALS, strategy=strategy
     )
     assert sorted([r.premise for r in joined.collect()], key=str) == premises
 
 
-@pytest.mark.parametrize("slots", [1, 3, 64])
-def test_slotted_validity_join_equals_brute_force(spark, slots):
+@pytest.mark.parametrize("strategy", ["broadcast", "merge"])
+def test_validity_join_equals_brute_force(spark, strategy):
     fact = spark.range(600).select(
         # one device has a third of the readings
         F.when(F.col("id") < 200, "hot").otherwise(F.concat(F.lit("d"), F.col("id") % 7)).alias("meter"),
@@ -180,7 +183,7 @@ def test_slotted_validity_join_equals_brute_force(spark, slots):
         (low + (F.col("n") * 31) % 500).alias("hi2"),
     )
     joined = validity_join(
-        fact, dim, ("meter", "device"), "at", INTERVALS, slots=slots, broadcast_rows=0
+        fact, dim, ("meter", "device"), "at", INTERVALS, strategy=strategy
     )
     expected = []
     dims = dim.collect()
@@ -222,21 +225,65 @@ def largest_share(df):
     return tasks.agg(F.max("n") / F.sum("n"), F.max("hash")).first()[0]
 
 
-def test_a_hot_device_spreads_over_tasks(spark, fixed_partitions):
+@pytest.fixture
+def skew_handling(spark):
+    """Adaptive skew handling with thresholds that fit a small table."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "20",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_a_hot_device_spreads_over_tasks(spark, skew_handling):
     key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("d"), F.col("id") % 5000))
-    fact = spark.range(0, 60000, 1, 16).select(
-        key.alias("meter"), ((F.col("id") * 7919) % 200000).alias("at")
-    )
+    # one reading is far off, as from a device with a bad clock
+    at = F.when(F.col("id") == 9, 253370782800).otherwise((F.col("id") * 7919) % 200000)
+    fact = spark.range(0, 60000, 1, 16).select(key.alias("meter"), at.alias("at"), "id")
     dim = fact.select(F.col("meter").alias("device")).distinct().select(
-        "device", F.lit(0).cast("long").alias("lo"), F.lit(10**11).alias("hi")
+        "device", F.lit(0).cast("long").alias("lo"), F.lit(10**12).alias("hi")
+    )
+    valid = validity_join(fact, dim, ("meter", "device"), "at", [("lo", "hi")])
+    assert "SortMergeJoin" in valid._jdf.queryExecution().executedPlan().toString()
+    found = lookup_left(fact, dim.drop("hi"), {"meter": "device"})
+    # the writes keep the tasks of the join; reading them back counts their rows
+    for joined in (valid, found):
+        assert joined.count() == 60000
+        sizes = joined.withColumn("task", F.spark_partition_id()).select("task", "id").collect()
+        counts = {}
+        for r in sizes:
+            counts[r.task] = counts.get(r.task, 0) + 1
+        assert max(counts.values()) < 0.15 * 60000
+
+
+def test_the_dimension_is_not_copied(spark):
+    rows_ = spark.range(1000).select(
+        F.col("id").cast("string").alias("device"), F.lit(0).cast("long").alias("lo"), F.lit(10**11).alias("hi")
+    )
+    parts = disjoint_validity(rows_, "device", [("lo", "hi")], newest_first(["lo"]))
+    assert parts.count() == 1000
+
+
+def test_overlapping_validity_rows_are_settled_by_their_columns(spark):
+    data = [("d", "A", 0, 100, 0, 100), ("d", "B", 50, 200, 50, 200), ("d", "C", 50, 80, 50, 80), ("d", "B", 50, 200, 50, 200)]
+    fact = spark.createDataFrame([("d", t) for t in (0, 49, 50, 80, 81, 100, 101, 200, 201)], "meter string, at long")
+    found = []
+    for order in (data, data[::-1]):
+        dim = spark.createDataFrame(order, DIM)
+        joined = validity_join(fact, dim, ("meter", "device"), "at", INTERVALS, order=newest_first(["lo1"]))
+        found.append(rows(joined.select("at", "premise")))
+    assert found[0] == found[1] == sorted(
+        [(0, "A"), (49, "A"), (50, "C"), (80, "C"), (81, "B"), (100, "B"), (101, "B"), (200, "B"), (201, None)], key=str
     )
-    plain = fact.join(dim, F.col("meter") == F.col("device"), "left")
-    assert largest_share(plain) > 0.33
-    valid = validity_join(fact, dim, ("meter", "device"), "at", [("lo", "hi")], broadcast_rows=0)
-    assert largest_share(valid) < 0.15
-    found = lookup_left(fact, dim.drop("hi"), {"meter": "device"}, broadcast_rows=0)
-    assert largest_share(found) < 0.15
-    assert valid.count() == found.count() == 60000
 
 
 def test_hot_null_keys_bypass_the_merge_join(spark, fixed_partitions):
@@ -251,7 +298,7 @@ def test_hot_null_keys_bypass_the_merge_join(spark, fixed_partitions):
 def test_validity_join_without_any_epoch(spark):
     fact = spark.createDataFrame([("d", None)], "meter string, at long")
     dim = spark.createDataFrame([("d", "A", 0, 9, 0, 9)], DIM)
-    joined = validity_join(fact, dim, ("meter", "device"), "at", INTERVALS, broadcast_rows=0)
+    joined = validity_join(fact, dim, ("meter", "device"), "at", INTERVALS, strategy="merge")
     assert [r.premise for r in joined.collect()] == [None]
 
 
@@ -259,8 +306,11 @@ def test_diagnose_and_check(spark):
     dim = spark.createDataFrame([("d", "A", 0, 100, 50, 100), ("e", "B", 0, None, 0, 9)], DIM)
     fact = spark.createDataFrame([("d", 40), ("z", 40)], "meter string, at long")
     flags = {"in_meter": ("lo1", "hi1"), "in_account": ("lo2", "hi2")}
-    found = validity_diagnose(fact, dim, ("meter", "device"), "at", flags)
+    found = validity_diagnose(fact, dim, ("meter", "device"), "at", flags, ["d", "z"])
     assert rows(found.select("meter", *flags)) == [("d", "YES", "NO")]
+    assert rows(found.select("at_text", "hi1_text")) == [("1970-01-01 00:00:40", "1970-01-01 00:01:40")]
+    none = validity_diagnose(fact, dim, ("meter", "device"), "at", flags, ["z"])
+    assert none.count() == 0
     checked = validity_check(dim, F.lit(50), flags)
     assert rows(checked.select("device", *flags)) == [("d", "PASS", "PASS"), ("e", "FAIL", "FAIL")]
 
