@@ -14,8 +14,10 @@ def all_present(columns: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
 
 
-def assert_unique(df: DataFrame, keys: list[str], what: str) -> DataFrame:
-    """The same rows; the job fails as soon as a key shows up twice.
+def assert_unique(
+    df: DataFrame, keys: list[str], what: str, where: Column | None = None
+) -> DataFrame:
+    """The same rows; the job fails as soon as a key shows up twice, among rows ``where``.
 
     The check clusters and sorts by the keys, which a sort-merge join on the
     same keys then reuses, so it adds no shuffle to such a join.
@@ -23,8 +25,9 @@ def assert_unique(df: DataFrame, keys: list[str], what: str) -> DataFrame:
     seen = F.row_number().over(Window.partitionBy(*keys).orderBy(keys[0]))
     shown = F.concat_ws(",", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
     twice = F.raise_error(F.concat(F.lit(f"{what}: more than one row for key "), shown))
+    again = F.col(_SEEN) > 1 if where is None else (F.col(_SEEN) > 1) & where
     return (
         df.withColumn(_SEEN, seen)
-        .filter(F.when(F.col(_SEEN) > 1, twice.cast("boolean")).otherwise(True))
+        .filter(F.when(again, twice.cast("boolean")).otherwise(True))
         .drop(_SEEN)
     )

@@ -15,11 +15,17 @@ ACTION = "merge_action"
 
 
 def _packed(df: DataFrame, side: str, keys: list[str], groups: dict[str, list[str]]) -> DataFrame:
-    """Keys, a presence marker, and one struct per group of columns that are chosen together."""
+    """Keys, a presence marker, and one struct per group of columns that are chosen together.
+
+    ``__apart`` is 0 for complete keys. Rows with a NULL key match nothing; they get
+    a number of their own, so that they are dealt to all tasks of the join.
+    """
+    loose = F.xxhash64(F.lit(side), *df.columns)
     return df.select(
         *[F.col(k).alias(f"__{side}_{k}") for k in keys],
         *[F.struct(*members).alias(f"__{side}_{name}") for name, members in groups.items()],
         F.lit(True).alias(f"__{side}"),
+        F.when(all_present(keys), F.lit(0).cast("long")).otherwise(loose).alias(f"__{side}_apart"),
     )
 
 
@@ -37,23 +43,25 @@ def merge_upsert(
     A matched row takes ``update_cols`` from the source and keeps the rest; an
     inserted row takes every column. ``on_update`` and ``on_insert`` replace
     single columns, for example the user stamp. Keys match by plain equality,
-    so rows with a NULL key never match; they bypass the join instead of
-    meeting in one partition. A repeated source key fails the job. With
-    ``action`` the result says per row whether it was updated, inserted or kept.
+    so rows with a NULL key never match; they are spread over all tasks. Each
+    side is read once. A repeated source key fails the job. With ``action`` the
+    result says per row whether it was updated, inserted or kept.
     """
     on_update, on_insert = on_update or {}, on_insert or {}
     columns = target.columns
-    source = source.select(*columns)
-    complete = all_present(keys)
     groups = {
         "changed": [c for c in columns if c in update_cols and c not in keys],
         "fixed": [c for c in columns if c not in update_cols and c not in keys],
     }
     groups = {name: members for name, members in groups.items() if members}
 
-    known = _packed(target.filter(complete), "old", keys, groups)
-    fresh = _packed(assert_unique(source.filter(complete), keys, "merge source"), "new", keys, groups)
+    known = _packed(target, "old", keys, groups)
+    fresh = _packed(source.select(*columns), "new", keys, groups)
+    fresh = assert_unique(
+        fresh, [*(f"__new_{k}" for k in keys), "__new_apart"], "merge source", F.col("__new_apart") == 0
+    )
     same = [F.col(f"__old_{k}") == F.col(f"__new_{k}") for k in keys]
+    same.append(F.col("__old_apart") == F.col("__new_apart"))
     in_target, in_source = F.col("__old").isNotNull(), F.col("__new").isNotNull()
 
     def pick(name: str) -> Column:
@@ -77,15 +85,25 @@ def merge_upsert(
                 value = F.when(F.col(ACTION) == label, changes[name]).otherwise(value)
         return value.alias(name)
 
-    def unmatched(df: DataFrame, label: str) -> DataFrame:
-        return df.withColumn(ACTION, F.lit(label))
+    result = joined.select(*[merged(c) for c in columns], ACTION)
+    return result if action else result.drop(ACTION)
+
 
-    result = (
-        joined.select(*[merged(c) for c in columns], ACTION)
-        .unionByName(unmatched(target.filter(~complete), "kept"))
-        .unionByName(unmatched(source.filter(~complete).withColumns(on_insert), "inserted"))
+def merge_preview(
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    by: list[str],
+) -> DataFrame:
+    """What an upsert would update, insert and keep, counted by ``by``; nothing is written."""
+    columns = list(dict.fromkeys([*keys, *by]))
+    merged = merge_upsert(target.select(*columns), source.select(*columns), keys, [], action=True)
+    return merged.groupBy(*by).agg(
+        *[
+            F.count(F.when(F.col(ACTION) == name, True)).alias(name)
+            for name in ("updated", "inserted", "kept")
+        ]
     )
-    return result if action else result.drop(ACTION)
 
 
 def retention_cutoff(run_ts: datetime, days: int = config.RETENTION_DAYS) -> str:

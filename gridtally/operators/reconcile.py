@@ -97,17 +97,21 @@ def reconcile_against(
     """Compare every row of ``base`` with its row in each other table.
 
     A column is OK when all tables that have the row agree with the base, and
-    ``NO DATA`` when none has it. The left joins keep the base partitioned by
-    key, so each table is shuffled once.
+    ``NO DATA`` when none has it. Rows of the base with a NULL key match nothing
+    and bypass the joins. The left joins keep the base partitioned by key, so each
+    table is shuffled once.
     """
     skip = set(keys) | set(config.AUDIT_COLUMNS if ignore is None else ignore)
     columns = [c for c in base.columns if c not in skip]
-    joined = _packed(assert_unique(base, keys, base_name), keys, columns, base_name)
+    complete = all_present(keys)
+    joined = _packed(assert_unique(base.filter(complete), keys, base_name), keys, columns, base_name)
     for name, df in others.items():
         side = assert_unique(df.filter(all_present(keys)), keys, name)
         same = [F.col(f"__{base_name}_{k}") == F.col(f"__{name}_{k}") for k in keys]
         joined = joined.join(_packed(side, keys, columns, name), same, "left")
 
+    loose = _packed(base.filter(~complete), keys, columns, base_name)
+    joined = joined.unionByName(loose, allowMissingColumns=True)
     present = [F.col(f"__{n}").isNotNull() for n in others]
 
     def status(c: str) -> Column:
@@ -123,3 +127,26 @@ def reconcile_against(
 
     shown = [F.col(f"__{base_name}_{k}").alias(k) for k in keys]
     return _long(joined, shown, columns, [base_name, *others], status, only_differences)
+
+
+def reconcile_key(
+    base: DataFrame,
+    others: dict[str, DataFrame],
+    key: dict[str, object],
+    prune: dict[str, object] | None = None,
+    ignore: list[str] | None = None,
+    base_name: str = "dev",
+) -> DataFrame:
+    """``reconcile_against`` for one key; ``prune`` names partition values of that key.
+
+    Key and partition filters are applied to every table before anything is
+    joined, so stored tables read one partition and only the row's row groups.
+    """
+
+    def chosen(df: DataFrame) -> DataFrame:
+        for column, value in {**(prune or {}), **key}.items():
+            df = df.filter(F.col(column) == F.lit(value))
+        return df
+
+    picked = {name: chosen(df) for name, df in others.items()}
+    return reconcile_against(chosen(base), picked, list(key), ignore, base_name)

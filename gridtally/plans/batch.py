@@ -14,20 +14,27 @@ from gridtally.functions import times
 from gridtally.operators.flatten import flatten_readings
 from gridtally.plans import views
 from gridtally.session import drop_path, work_path
-from gridtally.sinks.staging import batch_metrics, stage
+from gridtally.sinks.staging import batch_metrics, stage, write_partitions
 from gridtally.sinks.tables import publish_incremental, write_merge
-from gridtally.sources.documents import read_documents
-from gridtally.sources.files import delivered_files, limit_files, marked_directories
+from gridtally.sources.documents import file_count, read_documents
+from gridtally.sources.files import marked_directories, refuse_hidden
 from gridtally.sources.tables import unit_map
 
 
 @dataclass(frozen=True)
 class BatchResult:
-    """What one batch did; ``empty`` means no file was selected and nothing written."""
+    """What one batch did; ``empty`` means that no document was delivered and
+    nothing was written. ``files`` counts the selected files, empty ones too.
+
+    ``rejected`` counts readings whose end time has no usable offset: they have no
+    instant, so they are not stored but written to the rejected path.
+    """
 
     empty: bool
+    files: int = 0
     documents: dict[str, int] = field(default_factory=dict)
     readings: dict[str, int] = field(default_factory=dict)
+    rejected: int = 0
     usage_dates: list = field(default_factory=list)
     expired_runs: list[str] = field(default_factory=list)
 
@@ -42,7 +49,8 @@ def transform(
 ) -> DataFrame:
     """Raw documents to one output row per business key."""
     dim = views.prepare_validity_dim(validity, tenant.company_codes, tenant.dimension_zone)
-    readings = views.dedup_readings(flatten_readings(documents, label))
+    placed = flatten_readings(documents, label).filter(F.col("unix_endtime").isNotNull())
+    readings = views.dedup_readings(placed)
     return views.readings_view(readings, unit_map(units, tenant.code), dim, tenant, run_ts)
 
 
@@ -57,7 +65,7 @@ def run_batch(
     validity: DataFrame,
     consume_path: str,
     incremental_path: str,
-    max_files: int | None = None,
+    rejected_path: str | None = None,
     days: int = config.RETENTION_DAYS,
     keep_work: bool = False,
 ) -> BatchResult:
@@ -67,44 +75,55 @@ def run_batch(
     (with a time zone) stamps every row and names the run. Raw documents and
     deduplicated rows are written once to the shared folder, where the upsert
     and the incremental publish both read the latter, and are deleted at the
-    end unless ``keep_work`` is set.
+    end, also of a batch that fails, unless ``keep_work`` is set. Readings without
+    an instant are counted and, if ``rejected_path`` is given, stored there by run.
     """
     zone = tenant.dimension_zone
     directories = marked_directories(
         spark, base, times.batch_bound(batch_start, zone), times.batch_bound(batch_end, zone)
     )
-    files = delivered_files(spark, base, directories)
-    if files.isEmpty():
+    if not directories:
+        return BatchResult(empty=True)
+    refuse_hidden(spark, directories)
+    scanned = read_documents(spark, directories)
+    files = file_count(scanned)
+    if not files:
         return BatchResult(empty=True)
-    paths = directories
-    if max_files is not None:
-        paths = [row["path"] for row in limit_files(files, max_files).collect()]
 
-    work = [work_path(spark, "documents"), work_path(spark, "readings")]
-    documents = stage(read_documents(spark, paths), work[0])
-    label = times.batch_label(datetime.fromisoformat(batch_end))
-    output = stage(
-        transform(documents, units, validity, tenant, run_ts, label),
-        work[1],
-        partition_by=config.CONSUME_PARTITIONS,
-    )
-    usage_dates = write_merge(
-        views.consume_rows(output),
-        consume_path,
-        on_update={"hdp_update_user": F.lit(config.UPDATE_USER)},
-        on_insert={"hdp_update_user": F.lit(config.INSERT_USER)},
-    )
-    expired = publish_incremental(
-        views.incremental_rows(output, tenant, run_ts), incremental_path, tenant.code, run_ts, days
-    )
-    result = BatchResult(
-        empty=False,
-        documents=batch_metrics(documents),
-        readings=batch_metrics(output),
-        usage_dates=sorted(usage_dates, key=str),
-        expired_runs=expired,
-    )
-    if not keep_work:
-        for path in work:
-            drop_path(spark, path)
-    return result
+    work = [work_path(spark, name) for name in ("documents", "rejected", "readings")]
+    try:
+        documents = stage(scanned, work[0])
+        if documents.isEmpty():
+            return BatchResult(empty=True, files=files)
+        label = times.batch_label(datetime.fromisoformat(batch_end))
+        lost = flatten_readings(documents, label).filter(F.col("unix_endtime").isNull())
+        rejected = stage(lost.withColumn("run_date", F.lit(times.run_date(run_ts))), work[1])
+        if rejected_path is not None:
+            write_partitions(rejected, rejected_path, ["run_date"])
+        output = stage(transform(documents, units, validity, tenant, run_ts, label), work[2])
+        usage_dates = write_merge(
+            views.consume_rows(output),
+            consume_path,
+            on_update={"hdp_update_user": F.lit(config.UPDATE_USER)},
+            on_insert={"hdp_update_user": F.lit(config.INSERT_USER)},
+        )
+        expired = publish_incremental(
+            views.incremental_rows(output, tenant, run_ts),
+            incremental_path,
+            tenant.code,
+            run_ts,
+            days,
+        )
+        return BatchResult(
+            empty=False,
+            files=files,
+            documents=batch_metrics(documents),
+            readings=batch_metrics(output),
+            rejected=rejected.count(),
+            usage_dates=sorted(usage_dates, key=str),
+            expired_runs=expired,
+        )
+    finally:
+        if not keep_work:
+            for path in work:
+                drop_path(spark, path)

@@ -35,6 +35,8 @@ def shared_folder(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="gridtally-")
         context.setCheckpointDir(folder)
+    elif folder.startswith("file:") and not context.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is local to each machine; name a shared folder")
     return folder.rstrip("/")
 
 

@@ -34,10 +34,12 @@ def stage(
 ) -> DataFrame:
     """Write ``df`` as Parquet and read it back with the same column types.
 
-    The rows are written where they are; ``max_partitions`` bounds the number
-    of write tasks.
+    Rows are grouped by table partition first, if there is any, so that a
+    partition has few files; else they are written where they are.
+    ``max_partitions`` bounds the number of write tasks.
     """
-    bounded = df if max_partitions is None else df.coalesce(max_partitions)
+    grouped = by_partition(df, partition_by) if partition_by else df
+    bounded = grouped if max_partitions is None else grouped.coalesce(max_partitions)
     bounded.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 

@@ -6,6 +6,7 @@ the row-level commands of a catalog table that supports them.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 from functools import reduce
 
@@ -16,10 +17,10 @@ from gridtally import config
 from gridtally.functions import times
 from gridtally.operators.merge import merge_upsert, retention_cutoff
 from gridtally.sinks.staging import by_partition, write_partitions
-from gridtally.sources.tables import read_or_empty
+from gridtally.sources.files import escaped
 
-# More touched partitions than this point to a wrong partition column.
-MAX_PARTITIONS = 10_000
+_SWAP = "_swap-"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def append(df: DataFrame, path: str, partition_by: list[str]) -> None:
@@ -32,18 +33,75 @@ def append_table(df: DataFrame, table: str) -> None:
     df.writeTo(table).append()
 
 
-def partition_values(df: DataFrame, column: str, most: int = MAX_PARTITIONS) -> list:
-    """The distinct values of a partition column; fails beyond the bound."""
-    rows = df.select(column).distinct().limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} values of {column}")
-    return [r[0] for r in rows]
+def partition_values(df: DataFrame, column: str) -> list:
+    """The distinct values of a partition column."""
+    return [r[0] for r in df.select(column).distinct().collect()]
 
 
-def in_partitions(column: str, touched: list) -> Column:
-    """A filter that prunes to the listed partitions, NULL included if listed."""
-    named = F.col(column).isin([v for v in touched if v is not None])
-    return named | F.col(column).isNull() if None in touched else named
+class _Folder:
+    """A folder of any file system that Spark knows."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        self.path = path.rstrip("/")
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._system = self._hadoop.Path(self.path).getFileSystem(conf)
+
+    def _at(self, name: str):
+        return self._hadoop.Path(f"{self.path}/{name}" if name else self.path)
+
+    def has(self, name: str = "") -> bool:
+        return self._system.exists(self._at(name))
+
+    def names(self, name: str = "") -> list[str]:
+        if not self.has(name):
+            return []
+        return [entry.getPath().getName() for entry in self._system.listStatus(self._at(name))]
+
+    def delete(self, name: str) -> None:
+        if self.has(name) and not self._system.delete(self._at(name), True):
+            raise OSError(f"could not delete {name} in {self.path}")
+
+    def move(self, name: str, to: str) -> None:
+        if not self._system.rename(self._at(name), self._at(to)):
+            raise OSError(f"could not move {name} to {to} in {self.path}")
+
+
+def partition_folder(column: str, value: object) -> str:
+    """The name of a partition's folder."""
+    if value is None or value == "":
+        return f"{column}={NULL_PARTITION}"
+    hostile = set('"#%\'*/:=?\\\x7f{[]^') | {chr(c) for c in range(1, 32)}
+    return f"{column}=" + "".join(f"%{ord(c):02X}" if c in hostile else c for c in str(value))
+
+
+def finish_swaps(spark: SparkSession, path: str) -> None:
+    """Put complete partitions that an interrupted upsert left aside into their place.
+
+    A set of new partitions counts as complete once its write has succeeded. Every
+    step can be repeated: what is still aside replaces what is in place.
+    """
+    folder = _Folder(spark, path)
+    for swap in sorted(n for n in folder.names() if n.startswith(_SWAP)):
+        entries = folder.names(swap)
+        if "_SUCCESS" in entries:
+            for name in entries:
+                if "=" in name:
+                    folder.delete(name)
+                    folder.move(f"{swap}/{name}", name)
+        folder.delete(swap)
+
+
+def read_partitions(spark: SparkSession, path: str, schema: str, column: str, values: list) -> DataFrame:
+    """The rows of the given partitions; no other folder is listed."""
+    folder = _Folder(spark, path)
+    there = [n for n in dict.fromkeys(partition_folder(column, v) for v in values) if folder.has(n)]
+    if not there:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema).option("basePath", path)
+    stored = reader.parquet(*[escaped(f"{path.rstrip('/')}/{n}") for n in there])
+    names = spark.createDataFrame([], schema).columns
+    return stored.select(*names)
 
 
 def write_merge(
@@ -58,16 +116,20 @@ def write_merge(
 ) -> list:
     """Upsert ``source`` into a partitioned path and return the touched partitions.
 
-    Only partitions that occur in the source are read and rewritten. The new
-    files replace the old ones when the job commits, so lost executors only
-    cost a recomputation. Pass a staged source: it is read more than once.
+    Only the folders of partitions that occur in the source are listed, read and
+    replaced. The new partitions are written aside first and then swapped in one by
+    one; a run that was interrupted in between is finished by the next one. Pass a
+    staged source: it is read more than once.
     """
+    spark = source.sparkSession
+    finish_swaps(spark, path)
     touched = partition_values(source, partition_by[0])
     if touched:
-        stored = read_or_empty(source.sparkSession, path, schema)
-        target = stored.filter(in_partitions(partition_by[0], touched))
+        target = read_partitions(spark, path, schema, partition_by[0], touched)
         merged = merge_upsert(target, source, keys, update_cols, on_update, on_insert)
-        write_partitions(by_partition(merged, partition_by), path, partition_by)
+        swap = f"{path.rstrip('/')}/{_SWAP}{uuid.uuid4().hex}"
+        by_partition(merged, partition_by).write.partitionBy(*partition_by).parquet(swap)
+        finish_swaps(spark, path)
     return touched
 
 
@@ -83,9 +145,10 @@ def merge_into_table(
 ) -> None:
     """The same upsert through MERGE INTO, for catalog tables with row-level operations."""
     touched = [v for v in partition_values(source, partition_col) if v is not None]
-    same = [F.col(f"{table}.{k}") == F.col(f"source.{k}") for k in keys]
+    stored = table.split(".")[-1]  # columns are qualified by the table's own name
+    same = [F.col(f"{stored}.{k}") == F.col(f"source.{k}") for k in keys]
     condition = reduce(
-        lambda a, b: a & b, [F.col(f"{table}.{partition_col}").isin(touched), *same]
+        lambda a, b: a & b, [F.col(f"{stored}.{partition_col}").isin(touched), *same]
     )
     updates = {c: F.col(f"source.{c}") for c in update_cols} | (on_update or {})
     inserts = {c: F.col(f"source.{c}") for c in columns} | (on_insert or {})
@@ -123,7 +186,8 @@ def drop_expired_runs(
     for entry in system.listStatus(root):
         column, _, value = entry.getPath().getName().partition("=")
         if column == run_col and value < cutoff:
-            system.delete(entry.getPath(), True)
+            if not system.delete(entry.getPath(), True):
+                raise OSError(f"could not delete {entry.getPath()}")
             dropped.append(value)
     return sorted(dropped)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gridtally import config
+from gridtally.sources.files import escaped
 
 
 def read_documents(
@@ -17,8 +18,9 @@ def read_documents(
 ) -> DataFrame:
     """One scan over all given files and directories, with a fixed schema.
 
-    Directories are searched in depth for names that contain ``ext``. By
-    default a malformed document fails the job.
+    Directories are searched in depth for names that contain ``ext``. They are
+    listed once, here: ``file_count`` and every read of the frame see the same
+    files. By default a malformed document fails the job.
     """
     options = {**config.XML_OPTIONS, "rowTag": row_tag, "mode": mode}
     return (
@@ -27,5 +29,10 @@ def read_documents(
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"*{ext}*")
         .schema(schema)
-        .load(paths)
+        .load([escaped(p) for p in paths])
     )
+
+
+def file_count(docs: DataFrame) -> int:
+    """How many files a scan reads; the names stay where they are."""
+    return len(docs._jdf.inputFiles())

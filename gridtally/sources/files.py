@@ -3,12 +3,16 @@
 ``select_batch_files`` works on any listing with ``path``, ``length`` and
 ``modificationTime``, such as a stored file inventory. Spark's own file sources
 leave out empty files, and markers usually are empty, so for a live store
-``marked_directories`` finds the markers while listing and ``delivered_files``
-then lists the selected directories only.
+``marked_directories`` finds the markers while listing; the documents of these
+directories are then listed once, by the scan that reads them.
+
+Spark skips names that begin with ``_`` or ``.``. Data under such a name would be
+lost without a word, so ``refuse_hidden`` fails on it.
 """
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timedelta, timezone
 from urllib.parse import unquote
 
@@ -18,8 +22,17 @@ from pyspark.sql import functions as F
 
 from gridtally import config
 
-# A batch has a few directories; more than this points to a wrong window.
-MAX_DIRECTORIES = 10_000
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as listings give it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") or "/")
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(target).toString()
+
+
+def escaped(path: str) -> str:
+    """The path as a pattern that matches only itself."""
+    return re.sub(r"([\\{}\[\]*?,])", r"\\\1", path)
 
 
 def list_files(spark: SparkSession, paths: list[str], name_glob: str = "*") -> DataFrame:
@@ -28,18 +41,33 @@ def list_files(spark: SparkSession, paths: list[str], name_glob: str = "*") -> D
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", name_glob)
-        .load(paths)
+        .load([escaped(p) for p in paths])
         .select("path", "length", "modificationTime")
     )
 
 
+def refuse_hidden(spark: SparkSession, directories: list[str], ext: str = config.DATA_FILE_EXT) -> None:
+    """Fails if a data file below the directories has a name that Spark skips."""
+    context = spark.sparkContext
+    for directory in directories:
+        level = escaped(directory)
+        while True:
+            pattern = context._jvm.org.apache.hadoop.fs.Path(level + "/*")
+            system = pattern.getFileSystem(context._jsc.hadoopConfiguration())
+            if not system.globStatus(pattern):
+                break
+            hidden = context._jvm.org.apache.hadoop.fs.Path(level + "/{_,.}*" + escaped(ext) + "*")
+            found = system.globStatus(hidden)
+            if found:
+                raise ValueError(f"{len(found)} data files with hidden names, such as {found[0].getPath()}")
+            level += "/*"
+
+
 def _below(path: Column, base: str) -> tuple[Column, Column]:
     """The level-1 directory of a path under ``base``, and the path relative to ``base``."""
     root = base.rstrip("/")
-    root_end = F.instr(path, F.lit(root)) + F.lit(len(root))
-    relative = F.substr(path, root_end)
-    head = F.substr(path, F.lit(1), root_end - 1)
-    return F.concat(head, F.substring_index(relative, "/", 2)), relative
+    relative = F.substr(path, F.lit(len(root) + 1))
+    return F.concat(F.lit(root), F.substring_index(relative, "/", 2)), relative
 
 
 def select_batch_files(
@@ -54,14 +82,14 @@ def select_batch_files(
 ) -> DataFrame:
     """Data files (``dir``, ``path``) of the directories whose marker landed in [start, end).
 
-    ``dir`` is the first level below ``base``. A marker counts down to
+    ``base`` is written as the listing writes it; ``dir`` is the first level below it. A marker counts down to
     ``max_depth`` separators below the base; a data file is larger than
     ``min_size`` and has ``ext`` anywhere in its name, at any depth.
     Directories without data files do not show up.
     """
     directory, relative = _below(F.col("path"), base)
     depth = F.length(relative) - F.length(F.replace(relative, F.lit("/"), F.lit("")))
-    files = listing.filter(F.contains(F.col("path"), F.lit(base.rstrip("/") + "/"))).withColumns(
+    files = listing.filter(F.startswith(F.col("path"), F.lit(base.rstrip("/") + "/"))).withColumns(
         {"dir": directory, "name": F.substring_index(relative, "/", -1), "depth": depth}
     )
     landed = (F.col("modificationTime") >= start) & (F.col("modificationTime") < end)
@@ -78,9 +106,8 @@ def marked_directories(
     end: datetime,
     marker: str = config.MARKER_FILE,
     max_depth: int = config.MARKER_MAX_DEPTH,
-    most: int = MAX_DIRECTORIES,
 ) -> list[str]:
-    """Level-1 directories whose marker landed in [start, end); fails beyond ``most``.
+    """Level-1 directories whose marker landed in [start, end).
 
     Only paths that can be a marker are listed, and the time window is applied
     while listing.
@@ -89,6 +116,7 @@ def marked_directories(
     def moment(value: datetime) -> str:
         return value.astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f")
 
+    root = qualified(spark, base)
     found = set()
     for level in range(1, max_depth):
         markers = (
@@ -99,14 +127,12 @@ def marked_directories(
             .option("modifiedBefore", moment(end))
         )
         try:
-            paths = markers.load(base.rstrip("/") + "/*" * level + "/" + marker).inputFiles()
+            paths = markers.load(escaped(root) + "/*" * level + "/" + escaped(marker)).inputFiles()
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             continue
         found.update(unquote(path).rsplit("/", level)[0] for path in paths)
-    if len(found) > most:
-        raise ValueError(f"more than {most} directories selected")
     return sorted(found)
 
 
@@ -117,11 +143,12 @@ def delivered_files(
     min_size: int = config.DATA_FILE_MIN_SIZE,
     ext: str = config.DATA_FILE_EXT,
 ) -> DataFrame:
-    """Data files (``dir``, ``path``) of the given directories."""
+    """Data files (``dir``, ``path``) of the given directories; fails on hidden ones."""
     if not directories:
         return spark.createDataFrame([], "dir string, path string")
-    directory, _ = _below(F.col("path"), base)
-    files = list_files(spark, directories, f"*{ext}*").filter(F.col("length") > min_size)
+    refuse_hidden(spark, directories, ext)
+    directory, _ = _below(F.col("path"), qualified(spark, base))
+    files = list_files(spark, directories, f"*{escaped(ext)}*").filter(F.col("length") > min_size)
     return files.select(directory.alias("dir"), "path")
 
 

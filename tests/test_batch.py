@@ -15,11 +15,12 @@ from gridtally.plans.batch import run_batch
 from gridtally.session import shared_folder, work_path
 from gridtally.sinks import tables
 from gridtally.sinks.staging import batch_metrics, materialize, stage
-from gridtally.sources.documents import read_documents
+from gridtally.sources.documents import file_count, read_documents
 from gridtally.sources.files import (
     delivered_files,
     limit_files,
     marked_directories,
+    refuse_hidden,
     select_batch_files,
 )
 from gridtally.sources.tables import read_extract, read_parquet, read_table
@@ -106,8 +107,6 @@ def test_selection(spark, base):
     names = sorted((r.dir[-3:], r.path.rsplit("/raw/", 1)[1]) for r in files.collect())
     assert names == [("/d1", "d1/a.xml"), ("/d1", "d1/sub/b.xml.part")]
     assert [r.path[-8:] for r in limit_files(files, 1).collect()] == ["d1/a.xml"]
-    with pytest.raises(ValueError, match="more than 1 directories"):
-        marked_directories(spark, base, *window, most=1)
 
 
 def test_window_end_is_open(spark, base):
@@ -171,7 +170,7 @@ def test_batches(spark, base, units, tmp_path):
         return table.select(*config.CONSUME_COLUMNS)
 
     first = run("2026-01-10 00:00:00", "2026-01-11 00:00:00", RUN_1, validity(spark))
-    assert first.documents["rows"] == 2
+    assert first.documents["rows"] == 2 and first.files == 3 and first.rejected == 0
     assert first.readings["rows"] == 8  # 2 meters, 2 hours, 2 complete channels
     rows = consumed().collect()
     assert len(rows) == 8 and {r.hdp_update_user for r in rows} == {"info-insert"}
@@ -246,12 +245,84 @@ def tuple_of(row, columns):
     return Row(**{c: row[c] for c in columns})
 
 
-def test_limited_batch(spark, base, units, tmp_path):
+def test_readings_without_an_instant_are_set_aside(spark, units, tmp_path):
+    root = tmp_path / "raw"
+    text = xml("900000010", 2.5)
+    landed(root / "d1" / "a.xml", text.replace('T01:00:00-05:00"', 'T01:00:00"'), at(10))
+    landed(root / "d1" / "index.txt", "", at(10))
     result = run_batch(
-        spark, base, TENANT, "2026-01-10 00:00:00", "2026-01-11 00:00:00", RUN_1, units,
-        validity(spark), str(tmp_path / "consume"), str(tmp_path / "incremental"), max_files=1,
+        spark, str(root), TENANT, "2026-01-10 00:00:00", "2026-01-11 00:00:00", RUN_1, units,
+        validity(spark), str(tmp_path / "c"), str(tmp_path / "i"), rejected_path=str(tmp_path / "r"),
+    )
+    assert result.rejected == 2 and result.readings["rows"] == 2
+    assert {r.run_date for r in spark.read.parquet(str(tmp_path / "r")).collect()} == {"20260111_150000"}
+
+
+def test_a_failed_batch_leaves_no_work_behind(spark, base, units, tmp_path):
+    folder = os.path.join(shared_folder(spark), "gridtally")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    twice = units.withColumn("name_register", F.lit("other")).union(units)
+    with pytest.raises(Exception, match="more than one row for key"):
+        run_batch(
+            spark, base, TENANT, "2026-01-10 00:00:00", "2026-01-11 00:00:00", RUN_1, twice,
+            validity(spark), str(tmp_path / "c"), str(tmp_path / "i"),
+        )
+    assert set(os.listdir(folder)) == before
+
+
+def test_odd_names(spark, tmp_path):
+    root = tmp_path / "in" / "box" / "in"  # the base's text occurs twice in its own path
+    for name in ("d[2]", "d{a,b}", "d*"):
+        landed(root / name / "a.xml", xml("900000010", 1), at(10))
+        landed(root / name / "index.txt", "", at(10))
+    window = bound("2026-01-10 00:00:00"), bound("2026-01-11 00:00:00")
+    for base in (str(root), f"file:{root}/"):
+        directories = marked_directories(spark, base, *window)
+        assert [d.rsplit("/", 1)[1] for d in directories] == ["d*", "d[2]", "d{a,b}"]
+        assert delivered_files(spark, base, directories).count() == 3
+        assert read_documents(spark, directories).count() == 3
+        assert file_count(read_documents(spark, directories[1:2])) == 1
+    listing = spark.createDataFrame(
+        [(p, 1, at(10)) for p in ("/in/inbox/in/d1/index.txt", "/in/inbox/in/d1/a.xml", "/other/in/inbox/in/d1/b.xml")],
+        "path string, length long, modificationTime timestamp",
     )
-    assert result.documents["rows"] == 1
+    found = select_batch_files(listing, "/in/inbox/in", *window).collect()
+    assert [tuple(r) for r in found] == [("/in/inbox/in/d1", "/in/inbox/in/d1/a.xml")]
+    landed(root / "d*" / "sub" / "_a.xml", xml("900000010", 1), at(10))
+    with pytest.raises(ValueError, match="hidden names"):
+        refuse_hidden(spark, directories)
+
+
+def test_an_interrupted_swap_is_finished(spark, tmp_path):
+    path, schema = tmp_path / "t", "id int, v int, day string"
+
+    def write(*data):
+        source = spark.createDataFrame(list(data), schema)
+        return tables.write_merge(
+            source, str(path), schema=schema, keys=["day", "id"], update_cols=["v"], partition_by=["day"]
+        )
+
+    def stored():
+        return sorted(tuple(r) for r in read_parquet(spark, str(path), schema).collect())
+
+    write((1, 1, "a"), (2, 2, "b"), (3, 3, "c/d"))
+    new = spark.createDataFrame([(1, 9, "a"), (2, 9, "b")], schema)
+    new.write.partitionBy("day").parquet(str(path / "_swap-1"))  # complete, nothing moved yet
+    (path / "day=a").rename(tmp_path / "gone")  # one old partition was already deleted
+    new.write.partitionBy("day").parquet(str(path / "_swap-0"))
+    (path / "_swap-0" / "_SUCCESS").unlink()  # this one was never complete
+    write((3, 4, "c/d"))
+    assert stored() == [(1, 9, "a"), (2, 9, "b"), (3, 4, "c/d")]
+    assert not [p for p in path.iterdir() if p.name.startswith("_swap")]
+
+
+def test_an_upsert_lists_only_its_partitions(spark, tmp_path):
+    schema = "id int, v int, day string"
+    source = spark.createDataFrame([(i, i, f"d{i % 20}") for i in range(100)], schema)
+    tables.write_merge(source, str(tmp_path), schema=schema, keys=["day", "id"], update_cols=["v"], partition_by=["day"])
+    read = tables.read_partitions(spark, str(tmp_path), schema, "day", ["d3", "none", None])
+    assert {f.split("day=")[1].split("/")[0] for f in read.inputFiles()} == {"d3"}
+    assert read.count() == 5 and read.columns == ["id", "v", "day"]
 
 
 def test_overlapping_validity_rows_leave_one_reading(spark, base, units):
@@ -305,8 +376,6 @@ def test_merge_rewrites_touched_partitions_only(spark, tmp_path):
         ("None", 3, 3), ("None", 4, 4), ("a", 1, 9), ("b", 2, 2)
     ]
     assert write() == []
-    with pytest.raises(ValueError, match="more than 1 values"):
-        tables.partition_values(spark.createDataFrame([("a",), ("b",)], "day string"), "day", 1)
 
 
 def test_catalog_tables(spark):
