@@ -10,10 +10,11 @@ at least ``MATCHES`` times are confirmed on their full sets.
 
 Lists are merged without listing all pairs of a group. First each class meets the
 most central class of each of its lists. What this links becomes components, and a
-list within one component is skipped. In the other lists all pairs of different
-components are tested, but for those whose shared shingles cannot reach the
-similarity: shingles that a class has alone bound its overlap with any other. All
-these rules leave out only pairs that cannot link or that are linked already, so the
+list within one component is skipped. Classes of the other lists are matched by
+their rarest shingles: two sets similar enough have one in common before either has
+left more behind than it may lack, so a class whose edits are its own meets nobody.
+Pairs of different components that pass must collide often enough as well. All these
+rules leave out only pairs that cannot link or that are linked already, so the
 components are those of all confirmed pairs.
 
 A pair of similarity 0.75 agrees in fewer than ``MATCHES`` coordinates with a chance
@@ -211,42 +212,52 @@ def _links(
         .select("node", F.coalesce("component", "node").alias("component")),
         "merged",
     )
-    member = listed.join(named, "node")
-    # Lists with several components; the members of the largest one need not meet.
-    parts = member.groupBy("key", "component").agg(F.count("*").alias("size"), F.min("n").alias("n"))
-    split = (
-        parts.groupBy("key")
-        .agg(
-            F.max(F.struct("size", "component")).alias("largest"),
-            F.count("*").alias("parts"),
-            F.min("n").alias("least_n"),
-        )
-        .filter(F.col("parts") > 1)
-        .select("key", F.col("largest.component").alias("largest"), "least_n")
-    )
-    open_lists = staged(member.select("key", "node", "n", "component").join(split, "key"), "open")
-    # What a class shares with any other class of an open list bounds its overlaps.
-    shingles = sets.join(open_lists.select("node").distinct(), "node", "left_semi").select(
-        "node", F.explode("shingles").alias("shingle")
+    # What a class shares with classes of lists that are open, rarest shingles first.
+    open_nodes = _open(listed, named).select("node").distinct()
+    shingles = sets.join(open_nodes, "node", "left_semi").select(
+        "node", F.size("shingles").alias("n"), F.explode("shingles").alias("key")
     )
-    common = shingles.groupBy("shingle").agg(F.count("*").alias("size")).filter(F.col("size") > 1)
-    bound = shingles.join(common.select("shingle"), "shingle").groupBy("node").agg(
-        F.count("*").alias("most")
+    common = shingles.groupBy("key").agg(F.count("*").alias("size")).filter(F.col("size") > 1)
+    alone = F.col("n") - F.size("shared")
+    # Before its first shingle in common with a similar class lies a quarter of a set at most.
+    prefix = F.expr("slice(shared, 1, greatest(0, int(n / 4) + 1 - (n - size(shared))))")
+    rare = (
+        shingles.join(common, "key")
+        .groupBy("node", "n")
+        .agg(F.sort_array(F.collect_list(F.struct("size", "key"))).alias("shared"))
+        .select("node", "n", alone.alias("alone"), F.posexplode(prefix).alias("place", "of"))
+        .select("node", "n", (F.col("alone") + F.col("place")).alias("place"), F.col("of.key").alias("key"))
     )
-    open_lists = staged(
-        open_lists.join(bound, "node").filter(7 * F.col("most") >= 3 * (F.col("n") + F.col("least_n"))),
-        "bounded",
-    )
-    left, right = open_lists.filter(F.col("component") != F.col("largest")).alias("x"), open_lists.alias("y")
+    rare = staged(_open(staged(rare, "rare"), named), "open")
+    left, right = rare.filter(F.col("component") != F.col("largest")).alias("x"), rare.alias("y")
+    least = 3 * (F.col("x.n") + F.col("y.n"))
     rest = left.join(
         right,
         (F.col("x.key") == F.col("y.key"))
         & (F.col("x.component") != F.col("y.component"))
-        & (7 * F.least("x.most", "y.most") >= 3 * (F.col("x.n") + F.col("y.n"))),
+        & (7 * (F.col("x.n") - F.col("x.place")) >= least)
+        & (7 * (F.col("y.n") - F.col("y.place")) >= least),
     ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     return first.union(_confirm(_ordered(rest), posted, sets))
 
 
+def _open(listed: DataFrame, named: DataFrame) -> DataFrame:
+    """The rows of lists with several components, with the largest component of the list.
+
+    Members of the largest one need not meet each other.
+    """
+    member = listed.join(named, "node")
+    split = (
+        member.groupBy("key", "component")
+        .agg(F.count("*").alias("size"))
+        .groupBy("key")
+        .agg(F.max(F.struct("size", "component")).alias("most"), F.count("*").alias("parts"))
+        .filter(F.col("parts") > 1)
+        .select("key", F.col("most.component").alias("largest"))
+    )
+    return member.join(split, "key")
+
+
 def _least_docs(component: DataFrame, classes: DataFrame) -> DataFrame:
     """(node, component_id): the least id of a component's texts."""
     member = component.join(classes.select("node", "least_doc"), "node")

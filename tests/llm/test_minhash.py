@@ -41,7 +41,7 @@ def result(spark, rows):
 
 
 def edited(rng, words, share):
-    return [w if rng.random() > share else f"x{rng.randrange(10**9)}" for w in words]
+    return [w if rng.random() > share else f"x{rng.randrange(10 ** rng.choice([1, 9]))}" for w in words]
 
 
 @pytest.fixture(scope="module")
