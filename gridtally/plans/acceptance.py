@@ -22,6 +22,14 @@ DETAIL_COLUMNS = (
 READING_ORDER = ["serialnumber", "aep_channel_id", "endtimeperiod"]
 
 
+def device_detail(table: DataFrame, serials: list[str], dates: list[str] | None = None) -> DataFrame:
+    """The readings of the named devices, with the columns that an operator looks at."""
+    rows = table.filter(F.col("serialnumber").isin(serials))
+    if dates is not None:
+        rows = rows.filter(F.col("aep_usage_dt").isin(dates))
+    return rows.select(*DETAIL_COLUMNS, "endtimeperiod").orderBy(*READING_ORDER)
+
+
 def tenant_rows(table: DataFrame, tenant: str, dates: list[str] | None = None) -> DataFrame:
     """One tenant's rows, of the given usage dates if any."""
     rows = table.filter(F.col("aep_opco") == tenant)

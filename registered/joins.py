@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from gridtally import config
 from gridtally.operators.dedup import dedup_latest
 from gridtally.operators.joins import validity_check, validity_diagnose
-from gridtally.operators.merge import ACTION, merge_upsert
-from gridtally.operators.reconcile import reconcile, reconcile_against
+from gridtally.operators.merge import ACTION, merge_preview, merge_upsert
+from gridtally.operators.reconcile import reconcile, reconcile_against, reconcile_key
 from gridtally.plans import views
 from gridtally.sources.tables import unit_map
 from registered import frames
@@ -163,6 +163,12 @@ FROM target t FULL JOIN source s
 """
 
 
+def previewed(spark: SparkSession, sf: str) -> DataFrame:
+    """What the second delivery would change, by usage date."""
+    target, source = deliveries(spark, sf)
+    return merge_preview(target, source, MERGE_KEYS, ["aep_usage_dt"])
+
+
 def order_copies(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Orders, a changed copy without the finished orders, and one without the low priority."""
     orders = frames.table(spark, sf, "orders").select(
@@ -209,6 +215,13 @@ def reconciled_three(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile_against(dev, others, ["o_orderkey"], ignore=["o_orderstatus"])
 
 
+def reconciled_key(spark: SparkSession, sf: str) -> DataFrame:
+    """One order in three tables."""
+    dev, staged, consumed = order_copies(spark, sf)
+    others = {"staged": staged, "consumed": consumed}
+    return reconcile_key(dev, others, {"o_orderkey": 7}, ignore=["o_orderstatus"])
+
+
 THREE_SQL = """
 WITH s AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS c1,
                   CASE WHEN o_orderpriority <> '1-URGENT' THEN o_orderpriority END AS c2
@@ -267,6 +280,14 @@ QUERIES = {
             FROM validity""",
     ),
     "merge_upsert": (merged, MERGE_SQL),
+    "merge_preview": (
+        previewed,
+        f"""SELECT aep_usage_dt, count(*) FILTER ({ACTION} = 'updated') AS updated,
+                   count(*) FILTER ({ACTION} = 'inserted') AS inserted,
+                   count(*) FILTER ({ACTION} = 'kept') AS kept
+            FROM ({MERGE_SQL}) GROUP BY 1""",
+    ),
+    "reconcile_key": (reconciled_key, THREE_SQL + " WHERE o_orderkey = 7"),
     "reconcile": (reconciled, RECONCILE_SQL),
     "reconcile_three_way": (reconciled_three, THREE_SQL),
 }

@@ -63,7 +63,19 @@ def audit_stamps(spark: SparkSession, sf: str) -> DataFrame:
     return quality.count_by(output, "hdp_update_user", "inserted", "updated")
 
 
+def device_detail(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored readings of two devices."""
+    rows = acceptance.device_detail(frames.deduped(spark, sf), ["900000001", "900000003"])
+    return frames.plain(rows)
+
+
 QUERIES = {
+    "device_detail": (
+        device_detail,
+        f"""{frames.TO_DEDUPED}
+            SELECT {", ".join(acceptance.DETAIL_COLUMNS)}, endtimeperiod FROM output
+            WHERE serialnumber IN ('900000001', '900000003')""",
+    ),
     "batch_quality_report": (
         batch_quality_report,
         f"""{frames.TO_DEDUPED}

@@ -36,7 +36,7 @@ def append_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Two appends to a partitioned path, columns matched by name."""
     path = work_path(spark, "append")
     orders = frames.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    done = F.col("o_orderstatus") == "F"
+    done = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
     tables.append(orders.filter(done), path, ["o_orderstatus"])
     tables.append(orders.filter(~done).select(*reversed(orders.columns)), path, ["o_orderstatus"])
     return read_parquet(spark, path, orders.schema).select(*orders.columns)

@@ -2,21 +2,31 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridtally import config
 from gridtally.functions import times
 from gridtally.operators import quality
 from gridtally.operators.flatten import flatten_readings
 from gridtally.session import work_path
 from gridtally.sinks.staging import stage
 from gridtally.sources.documents import read_documents
-from gridtally.sources.files import limit_files, select_batch_files
-from gridtally.sources.tables import read_parquet, union_sources
+from gridtally.sources.files import (
+    delivered_files,
+    limit_files,
+    marked_directories,
+    refuse_hidden,
+    select_batch_files,
+)
+from gridtally.sources.tables import read_extract, read_parquet, read_table, union_sources
 from registered import frames
 
 BASE = "store/raw"
 ZONE = "America/New_York"
+HOUR = timedelta(hours=1)
 
 
 def listing(spark: SparkSession, sf: str) -> DataFrame:
@@ -71,10 +81,11 @@ def batch_window(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def union_types(spark: SparkSession, sf: str) -> DataFrame:
-    """One frame per event type, put back together by column name."""
+    """One frame per event type and one for the rest, put back together by column name."""
     events = frames.table(spark, sf, "events").select("event_id", "event_type", "user_id", "value")
     kinds = ["click", "view", "purchase", "signup", "error"]
     parts = [events.filter(F.col("event_type") == k) for k in kinds]
+    parts.append(events.filter(~F.coalesce(F.col("event_type").isin(kinds), F.lit(False))))
     return union_sources(parts[:2] + [p.select(*reversed(p.columns)) for p in parts[2:]])
 
 
@@ -121,7 +132,10 @@ def xml_scan(spark: SparkSession, sf: str) -> DataFrame:
     path = work_path(spark, "xml")
     written = event_documents(spark, sf).write.format("xml")
     written.option("rootTag", "Root").option("rowTag", "MeterData").save(path)
-    docs = read_documents(spark, [path], ext="part-")
+    return _flat_events(read_documents(spark, [path], ext="part-"))
+
+
+def _flat_events(docs: DataFrame) -> DataFrame:
     return flatten_readings(docs).select(
         F.col("metername"),
         F.col("int_blocksequencenumber").alias("sequence"),
@@ -144,6 +158,62 @@ FROM events
 """
 
 
+def delivered(spark: SparkSession, sf: str) -> str:
+    """A store with a directory of XML files per event type and markers in two of them."""
+    base = work_path(spark, "store")
+    written = event_documents(spark, sf).withColumn(
+        "kind", F.coalesce(F.col("IntervalReadData")[0].Interval[0].Reading[0]._Channel, F.lit("none"))
+    )
+    out = written.write.format("xml").option("rootTag", "Root").option("rowTag", "MeterData")
+    out.partitionBy("kind").save(base)
+    context = spark.sparkContext
+    for name in MARKED:
+        marker = context._jvm.org.apache.hadoop.fs.Path(f"{base}/kind={name}/{config.MARKER_FILE}")
+        system = marker.getFileSystem(context._jsc.hadoopConfiguration())
+        system.create(marker).close()
+    return base
+
+
+MARKED = ["click", "view"]
+
+
+def live_selection(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents of the directories whose marker landed within the last hour."""
+    base, now = delivered(spark, sf), datetime.now(timezone.utc)
+    directories = marked_directories(spark, base, now - HOUR, now + HOUR)
+    refuse_hidden(spark, directories)
+    return _flat_events(read_documents(spark, directories))
+
+
+def empty_window(spark: SparkSession, sf: str) -> DataFrame:
+    """Files selected by a window in which no marker landed."""
+    base, now = delivered(spark, sf), datetime.now(timezone.utc)
+    directories = marked_directories(spark, base, now - 3 * HOUR, now - 2 * HOUR)
+    return quality.row_count(delivered_files(spark, base, directories), name="files")
+
+
+def catalog_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A table of the session catalog, with its data in the shared folder."""
+    path = work_path(spark, "catalog")
+    name = "orders_" + path.rsplit("-", 1)[1]
+    frames.table(spark, sf, "orders").write.option("path", path).saveAsTable(name)
+    return read_table(spark, name).select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+
+def extract_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Consume rows written as a CSV extract and read back; empty fields are NULL."""
+    path = work_path(spark, "extract")
+    consume = frames.consume(spark, sf)
+    cells = [
+        (F.col(c).cast("string") if c in consume.columns else F.lit(None).cast("string")).alias(c)
+        for c in config.EXTRACT_COLUMNS
+    ]
+    consume.select(*cells).write.option("header", True).csv(path)
+    shown = "serialnumber aep_usage_dt aep_channel_id aep_raw_uom endtimeperiod aep_derived_uom"
+    shown += " aep_premise_nb aep_meter_bucket hdp_update_user aep_city"
+    return read_extract(spark, path).select(*shown.split())
+
+
 def staged_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Readings staged by usage date and read back; the date column keeps its text type."""
     consume = frames.consume(spark, sf).select(
@@ -176,4 +246,19 @@ QUERIES = {
             SELECT {frames.SHOWN_SQL}, CAST(aep_usage_dt AS VARCHAR) AS aep_usage_dt FROM consume""",
     ),
     "staged_metrics": (staged_metrics, "SELECT count(*) AS documents FROM lineitem"),
+    "live_selection": (
+        live_selection,
+        XML_SQL + " WHERE event_type IN ('click', 'view')",
+    ),
+    "empty_window": (empty_window, "SELECT count(*) AS files FROM events WHERE false"),
+    "catalog_table": (
+        catalog_table, "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders"
+    ),
+    "extract_rows": (
+        extract_rows,
+        f"""{frames.FROM_CONSUME}
+            SELECT serialnumber, CAST(aep_usage_dt AS VARCHAR) AS aep_usage_dt, aep_channel_id,
+                   aep_raw_uom, endtimeperiod, aep_derived_uom, aep_premise_nb, aep_meter_bucket,
+                   hdp_update_user, CAST(NULL AS VARCHAR) AS aep_city FROM consume""",
+    ),
 }
