@@ -37,6 +37,33 @@ IntervalReadData ARRAY<STRUCT<
       _Channel: STRING, _RawValue: STRING, _Value: STRING, _UOM: STRING, _BlockEndValue: STRING>>>>>>
 """
 
+# Column of the flat readings for each field, by level of the document.
+DOCUMENT_FIELDS = {
+    "_MeterName": "metername",
+    "_UtilDeviceID": "utildeviceid",
+    "_MacID": "macid",
+    "IntervalReadData": "interval_reading",
+}
+BLOCK_FIELDS = {
+    "_IntervalLength": "intervallength",
+    "_StartTime": "blockstarttime",
+    "_EndTime": "blockendtime",
+    "_NumberIntervals": "numberintervals",
+}
+INTERVAL_FIELDS = {
+    "_EndTime": "int_endtime",
+    "_GatewayCollectedTime": "int_gatewaycollectedtime",
+    "_BlockSequenceNumber": "int_blocksequencenumber",
+    "_IntervalSequenceNumber": "int_intervalsequencenumber",
+    "Reading": "int_reading",
+}
+READING_FIELDS = {
+    "_Channel": "channel",
+    "_RawValue": "rawvalue",
+    "_Value": "value",
+    "_UOM": "uom",
+}
+
 # --- Fixed values: literals written to the tables ---------------------------
 
 EARLIEST_BLOCK_DATE = "2015-03-01"

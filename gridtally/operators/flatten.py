@@ -2,50 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtally import config
 from gridtally.functions import times, values
 from gridtally.operators.keys import all_present
 
-RAW_NAMES = {
-    "_MeterName": "metername",
-    "_UtilDeviceID": "utildeviceid",
-    "_MacID": "macid",
-    "IntervalReadData": "interval_reading",
-}
+
+def _fields(element: str, layout: dict[str, str]) -> list[Column]:
+    """The fields of a struct column under their flat names."""
+    return [F.col(f"{element}.{field}").alias(name) for field, name in layout.items()]
 
 
 def name_documents(docs: DataFrame, part_date: str | None = None) -> DataFrame:
     """Plain column names, plus the batch label when one is given."""
-    named = docs.withColumnsRenamed(RAW_NAMES)
+    named = docs.withColumnsRenamed(config.DOCUMENT_FIELDS)
     return named if part_date is None else named.withColumn("part_date", F.lit(part_date))
 
 
 def explode_intervals(named: DataFrame, earliest: str = config.EARLIEST_BLOCK_DATE) -> DataFrame:
     """One row per interval of every block that starts on or after ``earliest``."""
     head = [c for c in named.columns if c != "interval_reading"]
-    block = [
-        F.col("block._IntervalLength").alias("intervallength"),
-        F.col("block._StartTime").alias("blockstarttime"),
-        F.col("block._EndTime").alias("blockendtime"),
-        F.col("block._NumberIntervals").alias("numberintervals"),
-    ]
-    interval = [
-        F.col("ivl._EndTime").alias("int_endtime"),
-        F.col("ivl._GatewayCollectedTime").alias("int_gatewaycollectedtime"),
-        F.col("ivl._BlockSequenceNumber").alias("int_blocksequencenumber"),
-        F.col("ivl._IntervalSequenceNumber").alias("int_intervalsequencenumber"),
-        F.col("ivl.Reading").alias("int_reading"),
-    ]
     blocks = (
         named.select(*head, F.explode("interval_reading").alias("block"))
         .filter(times.wall_date(F.col("block._StartTime")) >= F.lit(earliest).cast("date"))
-        .select(*head, *block, F.col("block.Interval").alias("intervals"))
+        .select(*head, *_fields("block", config.BLOCK_FIELDS), F.col("block.Interval").alias("intervals"))
     )
     kept = [c for c in blocks.columns if c != "intervals"]
-    return blocks.select(*kept, F.explode("intervals").alias("ivl")).select(*kept, *interval)
+    exploded = blocks.select(*kept, F.explode("intervals").alias("ivl"))
+    return exploded.select(*kept, *_fields("ivl", config.INTERVAL_FIELDS))
 
 
 def derive_interval_times(
@@ -58,6 +44,7 @@ def derive_interval_times(
     clock change inside the interval does not shift it.
     """
     end = F.col("__end")
+    sent = F.replace(F.substring(end_col, 1, 19), F.lit(" "), F.lit("T"))
     start = times.minutes_before(end, values.as_int(F.col(minutes_col)))
     return (
         df.withColumns(
@@ -70,7 +57,7 @@ def derive_interval_times(
             {
                 "starttime": F.concat(times.iso_wall(start), F.col("interval_epoch")),
                 "endtime": F.when(
-                    end.isNotNull(), F.concat(F.substring(end_col, 1, 19), F.col("interval_epoch"))
+                    end.isNotNull(), F.concat(sent, F.col("interval_epoch"))
                 ),
                 "unix_endtime": times.epoch(end, F.col("interval_epoch")),
             }
@@ -86,15 +73,8 @@ def explode_readings(intervals: DataFrame) -> DataFrame:
     added = ["starttime", "endtime", "interval_epoch", "unix_endtime"]
     return (
         timed.select(*head, *added, F.explode("int_reading").alias("reading"))
-        .select(
-            *head,
-            *added,
-            F.col("reading._Channel").alias("channel"),
-            F.col("reading._RawValue").alias("rawvalue"),
-            F.col("reading._Value").alias("value"),
-            F.col("reading._UOM").alias("uom"),
-        )
-        .filter(all_present(["channel", "rawvalue", "value", "uom"]))
+        .select(*head, *added, *_fields("reading", config.READING_FIELDS))
+        .filter(all_present(list(config.READING_FIELDS.values())))
     )
 
 

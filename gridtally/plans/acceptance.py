@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridtally.operators import quality
 
+# Column lists of the checks.
 SAMPLE_COLUMNS = (
     "serialnumber aep_opco aep_usage_dt endtimeperiod starttimeperiod value "
     "aep_derived_uom aep_raw_uom aep_channel_id aep_meter_bucket"
