@@ -6,8 +6,8 @@ lines of a text together. A text is retained if the words of its content lines
 are at least a given share of all its words. Base rules count words, symbols,
 repeated lines and repeated passages over the whole text.
 
-The field is fitted on a bounded sample: ``TRAIN_DOCS`` labelled texts of each
-class with at most ``TRAIN_LINES`` lines, by the hash of their id. The lines of a
+The field is fitted on a bounded sample: about ``TRAIN_DOCS`` labelled texts of each
+class by the hash of their id, of which those with at most ``TRAIN_LINES`` lines. The lines of a
 text take its label. Everything else covers all rows.
 
 Defined cases: null or empty text has no words and fails the base rules. Without
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtally.llm.tables import ship
+from gridtally.llm.tables import sampled_labels, ship
 from gridtally.llm.words import Scan, repeated, text_chunks
 
 TRAIN_DOCS = 1500
@@ -181,14 +181,7 @@ def train(
 ) -> dict[str, np.ndarray]:
     """The field fitted on the bounded sample described above."""
     ship(docs.sparkSession)
-    known = labels.select(F.col(id_col).alias("train_id"), F.col(label_col).cast("int").alias("label"))
-    parts = [
-        known.filter((F.col("label") == y) & F.col("train_id").isNotNull())
-        .orderBy(F.xxhash64("train_id"), "train_id")
-        .limit(TRAIN_DOCS)
-        for y in (0, 1)
-    ]
-    sample = parts[0].union(parts[1])  # at most twice TRAIN_DOCS rows
+    sample, _ = sampled_labels(labels, id_col, label_col, TRAIN_DOCS)
     rows = docs.select(id_col, text_col).join(
         F.broadcast(sample), F.col(id_col) == F.col("train_id"), "inner"
     )

@@ -41,6 +41,28 @@ def fold(id_col: str, modulus: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus
 
 
+def sampled_labels(
+    labels: DataFrame, id_col: str, label_col: str, size: int, use: Column | None = None
+) -> tuple[DataFrame, dict[int, int]]:
+    """((train_id, label) of about ``size`` labelled rows of each class, all rows by class).
+
+    Classes are 0 and 1. A row is chosen by the hash of its id, so no row is sorted or
+    sent anywhere to choose: a class of more than ``size`` rows gives that number on
+    average, with a standard deviation of its square root at most. Repeated rows count
+    once.
+    """
+    known = labels.filter(F.col(id_col).isNotNull() & (F.lit(True) if use is None else use)).select(
+        F.col(id_col).alias("train_id"), F.col(label_col).cast("int").alias("label")
+    )
+    known = known.filter(F.col("label").isin(0, 1)).distinct()
+    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    place = F.pmod(F.xxhash64("train_id"), F.lit(1 << 40))
+    chosen = F.lit(False)
+    for label, n in counts.items():
+        chosen = chosen | ((F.col("label") == label) & (place < int((1 << 40) * min(1.0, size / n))))
+    return known.filter(chosen), counts
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The batches in slices of few rows, so that little is decoded at a time."""
     for batch in batches:

@@ -13,7 +13,7 @@ score is a logistic function of its greatest x and of the sum of its significant
 
 Tokens and beginnings are counted by hash in ``2**BITS`` places. The prior counts
 those of all texts. Class counts and calibration use
-a bounded sample: ``SAMPLE`` labelled texts of each class by the hash of their id,
+a bounded sample: about ``SAMPLE`` labelled texts of each class by the hash of their id,
 weighted by the true class sizes.
 
 Defined cases: null or empty text is scored like any text without a segment. Without
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridtally.llm.tables import ship
+from gridtally.llm.tables import sampled_labels, ship
 from gridtally.llm.words import Scan, mix, text_chunks
 
 BITS = 20
@@ -90,17 +90,6 @@ def segments(score: np.ndarray) -> list[tuple[int, int, float]]:
     return [(first, end, high - low) for first, end, low, high in found]
 
 
-def _sample(labels: DataFrame, id_col: str, label_col: str, use: Column) -> DataFrame:
-    known = labels.filter(use & F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("train_id"), F.col(label_col).cast("int").alias("label")
-    )
-    parts = [
-        known.filter(F.col("label") == y).orderBy(F.xxhash64("train_id"), "train_id").limit(SAMPLE)
-        for y in (0, 1)
-    ]
-    return parts[0].union(parts[1])
-
-
 def _count(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str) -> np.ndarray:
     """Words by place in all texts, in the clean and in the toxic ones of the sample."""
     rows = docs.select(id_col, text_col).join(
@@ -212,14 +201,7 @@ def learn(
     ``use`` tells by a label row's id whether it may teach.
     """
     ship(docs.sparkSession)
-    sample = _sample(labels, id_col, label_col, use)
-    sizes = {
-        r["label"]: r["n"]
-        for r in labels.filter(use & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
-        .groupBy(F.col(label_col).cast("int").alias("label"))
-        .agg(F.count("*").alias("n"))
-        .collect()
-    }
+    sample, sizes = sampled_labels(labels, id_col, label_col, SAMPLE, use)
     model: dict = {"odds": np.zeros(1 << BITS, dtype=np.float32), "rate": 1.0, "log_k": 0.0, "beta": None}
     if not (sizes.get(0) and sizes.get(1)):
         return model
@@ -227,7 +209,7 @@ def learn(
     rows = docs.select(id_col, text_col).join(
         F.broadcast(sample), F.col(id_col) == F.col("train_id"), "inner"
     )
-    first = _values(rows.select("label", text_col), model)  # at most twice SAMPLE rows
+    first = _values(rows.select("label", text_col), model)  # about twice SAMPLE rows
     n, top, label = first["n"], first["top"], first["label"]
     null = (label == 0) & (top > 0)
     model["rate"], model["log_k"] = extreme_values(top[null], n[null])
