@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from gridtally.llm.tables import sampled_labels, ship
 from gridtally.llm.words import Scan, repeated, text_chunks
 
-TRAIN_DOCS = 1500
-TRAIN_LINES = 64
-TRAIN_STEPS = 120
+TRAIN_DOCS = 1000
+TRAIN_LINES = 32
+TRAIN_STEPS = 80
 CONTENT_SHARE = 0.5
 MIN_WORDS = 20
 WINDOW = 8
@@ -52,7 +52,6 @@ LETTERS = UPPER | _marks("abcdefghijklmnopqrstuvwxyz")
 LETTERS[0xC0:] = 1  # the first byte of a longer character
 FIRST_BYTES = np.ones(256, dtype=np.int64)
 FIRST_BYTES[0x80:0xC0] = 0
-ENDS = _marks(".!?:;")
 
 
 def line_features(scan: Scan) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -66,7 +65,10 @@ def line_features(scan: Scan) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     words = before_end - np.searchsorted(scan.word_start, scan.line_start)
     _, again = repeated(scan.line_doc, scan.hashes(scan.line_start, scan.line_end))
     used = words > 0
-    last_byte = scan.data[scan.word_end[before_end[used] - 1] - 1]
+    hashes = scan.word_hashes()
+    as_before = np.concatenate(([0, 0], np.cumsum(hashes[1:] == hashes[:-1])))[: len(hashes) + 1]
+    first = before_end[used] - words[used]
+    stutter = as_before[before_end[used]] - as_before[np.minimum(first + 1, len(hashes))]
     n = words[used]
     chars = np.maximum(in_lines(FIRST_BYTES)[used], 1)
     letters = np.maximum(in_lines(LETTERS)[used], 1)
@@ -86,7 +88,7 @@ def line_features(scan: Scan) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             letters < 0.6 * chars,
             chars > 10 * n,
             again[used],
-            ENDS[last_byte] == 0,
+            stutter > 0.4 * n,
         ],
         axis=1,
     ).astype(np.float64)
