@@ -44,6 +44,7 @@ SPLIT_BYTES = 16 << 20
 #: A file is closed once it is longer.
 FILE_BYTES = 256 << 20
 READ_BYTES = 1 << 20
+PIECE_BYTES = 64 << 10
 HEADER_BYTES = 64 << 10
 DATE = "2024-01-01T00:00:00Z"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -171,10 +172,15 @@ class Reader:
     def __init__(self, file):
         self.file = file
         self.size = file.size()
+        self.start, self.buffer = 0, b""
 
     def _read(self, at: int, size: int) -> bytes:
-        self.file.seek(at)
-        return self.file.read(size)
+        """Bytes of the file, read ahead so that short records cost no reads of their own."""
+        end = min(at + size, self.size)
+        if at < self.start or end > self.start + len(self.buffer):
+            self.file.seek(at)
+            self.start, self.buffer = at, self.file.read(max(size, READ_BYTES))
+        return self.buffer[at - self.start : at - self.start + size]
 
     def member_at(self, at: int) -> tuple[dict[str, str], bytes, int] | None:
         """(header, block, place after the member) if a record begins here."""
@@ -182,7 +188,7 @@ class Reader:
         got, place, fields, start = bytearray(), at, None, 0
         while not unpack.eof:
             # Little is read until the header shows that this is a record.
-            piece = self._read(place, READ_BYTES if fields else 4096)
+            piece = self._read(place, PIECE_BYTES if fields else 4096)
             if not piece:
                 if fields:
                     raise ValueError(f"the record at byte {at} is cut off")
@@ -211,16 +217,16 @@ class Reader:
 
     def records(self, start: int, end: int) -> Iterator[tuple[int, dict[str, str], bytes]]:
         """(place, header, block) of the records that begin in [start, end)."""
-        at = start
+        at, end = start, min(end, self.size)
         while at < end:
-            window = self._read(at, min(READ_BYTES, end - at) + len(MAGIC) - 1)
-            hit = window.find(MAGIC)
-            if hit < 0:
-                at += max(len(window) - len(MAGIC) + 1, 1)
-                continue
-            at += hit
-            if at >= end:
-                return
+            if self._read(at, len(MAGIC)) != MAGIC:
+                # Not right behind a record: look for the next possible beginning.
+                window = self._read(at, min(READ_BYTES, end - at + len(MAGIC) - 1))
+                hit = window.find(MAGIC)
+                if hit < 0:
+                    at += max(len(window) - len(MAGIC) + 1, 1)
+                    continue
+                at += hit
             found = self.member_at(at)
             if found is None:
                 at += 1

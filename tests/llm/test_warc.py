@@ -26,7 +26,7 @@ def test_every_split_finds_every_record_once():
     data = b"".join(warc.member(warc.record(i, f"http://x/{i}", p, None)) for i, p in enumerate(payloads))
     assert data.count(warc.MAGIC) > len(payloads)
     assert gzip.decompress(data).count(b"WARC/1.1\r\n") == len(payloads)
-    for split in (7, 64, 1000, 30_000, len(data) + 5):
+    for split in (7, 64, 1000, 30_000, len(data) + 5, 1 << 60):
         reader = warc.Reader(pa.PythonFile(io.BytesIO(data), mode="r"))
         found = [r for s in range(0, len(data), split) for r in reader.records(s, s + split)]
         assert [f["warc-record-id"] for _, f, _ in found] == [f"<urn:page:{i}>" for i in range(len(payloads))]
