@@ -41,6 +41,8 @@ from gridtally.llm.tables import ship, slices, staged
 MAGIC = b"\x1f\x8b\x08"
 #: Bytes of a file that one task scans.
 SPLIT_BYTES = 16 << 20
+#: More ranges than this share tasks.
+MOST_TASKS = 50_000
 #: A file is closed once it is longer.
 FILE_BYTES = 256 << 20
 READ_BYTES = 1 << 20
@@ -249,7 +251,9 @@ def read(files: DataFrame, split_bytes: int = SPLIT_BYTES, with_payload: bool =
     ship(files.sparkSession)
     starts = F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long"))
     ranges = files.filter(F.col("bytes") > 0).select("file", F.explode(starts).alias("start"))
-    ranges = ranges.repartition(F.col("file"), F.col("start"))
+    # The rows are tiny, the work behind them is not: their number of tasks is set here.
+    n_ranges = files.agg(F.sum(F.ceil(F.col("bytes") / split_bytes))).first()[0] or 1
+    ranges = ranges.repartition(min(int(n_ranges), MOST_TASKS))
     names = ["file", "place", "record_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
