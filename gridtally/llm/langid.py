@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtally.llm.tables import ship
-from gridtally.llm.words import LETTER, Scan, Tally, text_chunks
+from gridtally.llm.words import LETTER, Scan, text_chunks
 
 WORD_BITS = 19
 GRAM_BITS = 17
@@ -77,21 +77,31 @@ def grams(word: bytes) -> list[np.ndarray]:
     ]
 
 
-def count_grams(scan: Scan, lang: np.ndarray, tally: Tally) -> None:
+class Counts:
+    """Counts by place for each language met, 2.5 MB for each."""
+
+    def __init__(self):
+        self.by_lang: dict[int, np.ndarray] = {}
+
+    def add(self, lang: int, places: np.ndarray) -> None:
+        if lang not in self.by_lang:
+            self.by_lang[lang] = np.zeros(GRAM_PLACE + (1 << GRAM_BITS), dtype=np.uint32)
+        np.add.at(self.by_lang[lang], places, np.uint32(1))
+
+
+def count_grams(scan: Scan, lang: np.ndarray, counts: Counts) -> None:
     """Add the n-grams of all words; ``lang`` has the language number of each text."""
     letters = np.where(LETTER[scan.data], scan.data, np.uint8(SPACE))
     points = points_of(b" " + letters.tobytes())
     first = np.cumsum(scan.data & 0xC0 != 0x80)  # code points up to each byte
     space = points == SPACE
-    here, local = np.unique(lang, return_inverse=True)
-    local = np.repeat(local, np.diff(first[scan.doc_end], prepend=0))
-    local = np.concatenate((local[:1], local))  # for the border before the first word
+    own = np.repeat(lang, np.diff(first[scan.doc_end], prepend=0))
+    own = np.concatenate((own[:1], own))  # for the border before the first word
     for n, place in gram_places(points):
         good = within_words(space, n)
-        keys = place[good] + (local[: len(place)][good] << GRAM_BITS)
-        counts = np.bincount(keys, minlength=len(here) << GRAM_BITS)
-        some = np.flatnonzero(counts)
-        tally.add((here[some >> GRAM_BITS] << 32) + GRAM_PLACE + (some & ((1 << GRAM_BITS) - 1)), counts[some])
+        place, of = place[good] + GRAM_PLACE, own[: len(place)][good]
+        for x in np.unique(lang).tolist():
+            counts.add(x, place[of == x])
 
 
 def word_places(scan: Scan) -> np.ndarray:
@@ -104,24 +114,28 @@ def learn(docs: DataFrame, use: Column, text_col: str = "text", lang_col: str =
     rows = docs.filter(use & F.col(lang_col).isNotNull()).select(text_col, lang_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally, number = Tally(), {}
+        counts, number = Counts(), {}
         for batch, texts in text_chunks(batches, 0):
             scan = Scan(texts, lower=True, letters=True)
             lang = np.array([number.setdefault(x, len(number)) for x in batch.column(1).to_pylist()])
-            tally.add((lang[scan.word_doc] << 32) + word_places(scan))
-            count_grams(scan, lang, tally)
-        keys, counts = tally.sums()
-        names = np.array(list(number), dtype=object)
-        for start in range(0, len(keys), 100_000):
-            part = slice(start, start + 100_000)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(names[keys[part] >> 32], pa.string()),
-                    pa.array(keys[part] & 0xFFFFFFFF, pa.int64()),
-                    pa.array(counts[part], pa.int64()),
-                ],
-                names=["lang", "place", "n"],
-            )
+            places = word_places(scan)
+            of = lang[scan.word_doc]
+            for x in np.unique(lang).tolist():
+                counts.add(x, places[of == x])
+            count_grams(scan, lang, counts)
+        names = list(number)
+        for x, found in counts.by_lang.items():
+            seen = np.flatnonzero(found)
+            for start in range(0, len(seen), 100_000):
+                part = seen[start : start + 100_000]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([names[x]] * len(part), pa.string()),
+                        pa.array(part, pa.int64()),
+                        pa.array(found[part], pa.int64()),
+                    ],
+                    names=["lang", "place", "n"],
+                )
 
     counted = (
         rows.mapInArrow(run, "lang string, place bigint, n bigint")

@@ -132,31 +132,3 @@ def repeated(doc: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray
     before[order] = same[:-1]
     often[order] = same[:-1] | same[1:]
     return often, before
-
-
-class Tally:
-    """Sums by key, kept small by adding up equal keys now and then."""
-
-    LIMIT = 2_000_000
-
-    def __init__(self):
-        self.keys, self.counts, self.size = [], [], 0
-
-    def add(self, keys: np.ndarray, counts: np.ndarray | None = None) -> None:
-        """Count the keys; or add the counts of distinct keys."""
-        found, count = np.unique(keys, return_counts=True) if counts is None else (keys, counts)
-        self.keys.append(found)
-        self.counts.append(count)
-        self.size += len(found)
-        if self.size > self.LIMIT:
-            keys, counts = self.sums()
-            self.keys, self.counts, self.size = [keys], [counts], 0
-            # What has been added up may fill more than half of the limit.
-            self.LIMIT = max(Tally.LIMIT, 2 * len(keys))
-
-    def sums(self) -> tuple[np.ndarray, np.ndarray]:
-        if not self.keys:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        keys, at = np.unique(np.concatenate(self.keys), return_inverse=True)
-        counts = np.bincount(at, weights=np.concatenate(self.counts).astype(float))
-        return keys, np.rint(counts).astype(np.int64)
