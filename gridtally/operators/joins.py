@@ -66,7 +66,8 @@ def disjoint_validity(
 
     Where rows overlap, the first one in ``order`` is valid; the columns settle
     what the order leaves open, so the choice does not depend on the input order.
-    Works on the dimension alone. The part is in the added bound columns.
+    Works on the dimension alone, at a cost that grows with the pairs of rows of a
+    key that overlap. The part is in the added bound columns.
     """
     rows = _bounded(dim, intervals).filter(F.col(key).isNotNull()).distinct()
     border = F.explode(F.array(F.col(_FROM), F.col(_TO) + 1)).alias(_CUT)
