@@ -7,9 +7,10 @@ subsequence, and a page loses the lines it shares: what neighbours repeat is tem
 Differencing alone gives wrong results in three cases, which the page's own marking
 settles. Lines inside the article element are never template: copies and quoted
 passages share them. Lines inside elements marked as menu, header, footer, sidebar,
-notice, advert, form or comments go even if no neighbour repeats them, and so do lines
-outside the article element of a page that has one. And a neighbour that shares nearly
-all of a page's text is a copy; the other neighbour is asked, or none.
+notice, advert, form or comments go even if no neighbour repeats them. And a neighbour
+that shares nearly all of a page's text is a copy; the other neighbour is asked. All
+other lines are decided by differencing, also on pages that have an article element.
+Only a page without a neighbour to ask loses the lines outside its article element.
 
 Hosts with very many pages are dealt to cells by a hash of the path, so that no host
 meets in one task; within a cell the nearest page is that of the cell. Cells depend
@@ -205,12 +206,12 @@ def shared_with(lines: list[Line], neighbour: list[Line] | None) -> set[int] | N
 def main_text(lines: list[Line], before: list[Line] | None, after: list[Line] | None) -> str:
     shared = shared_with(lines, before)
     if shared is None:
-        shared = shared_with(lines, after) or set()
-    marked = any(r == INSIDE for r, _ in lines)
-    keep = INSIDE if marked else OUTSIDE
-    return " ".join(
-        t for i, (r, t) in enumerate(lines) if r == keep and (r == INSIDE or i not in shared)
-    )
+        shared = shared_with(lines, after)
+    if shared is None:
+        # Nothing to difference against: the marking alone decides.
+        keep = INSIDE if any(r == INSIDE for r, _ in lines) else OUTSIDE
+        return " ".join(t for r, t in lines if r == keep)
+    return " ".join(t for i, (r, t) in enumerate(lines) if r == INSIDE or r == OUTSIDE and i not in shared)
 
 
 def _pack(lines: list[Line]) -> bytes:

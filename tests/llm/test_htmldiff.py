@@ -69,6 +69,13 @@ def test_neighbours_decide_where_nothing_is_marked():
     assert text(inside.format("x y z"), inside.format("u")) == "shared x y z"
 
 
+def test_differencing_decides_lines_outside_the_article():
+    cards = "<div>Top</div><h1>{0}</h1><p>long story {0}</p><article>teaser {0}</article><div>Bottom</div>"
+    a, b = page(cards.format("one")), page(cards.format("two"))
+    assert text(a, b) == text(a, None, b) == text(a, a, b) == "one long story one teaser one"
+    assert text(a) == text(a, a, a) == "teaser one"
+
+
 def result(spark, rows):
     pages = spark.createDataFrame([(*r, "h", 1) for r in rows], "page_id long, url string, html string, host string, cell int")
     return sorted((tuple(r) for r in htmldiff.extract(pages).collect()), key=repr)
