@@ -7,8 +7,11 @@ subsequence, and a page loses the lines it shares: what neighbours repeat is tem
 Differencing alone gives wrong results in three cases, which the page's own marking
 settles. Lines inside the article element are never template: copies and quoted
 passages share them. Lines inside elements marked as menu, header, footer, sidebar,
-notice, advert, form or comments go even if no neighbour repeats them. And a neighbour
-that shares nearly all of a page's text is a copy; the other neighbour is asked. All
+notice, advert, form or comments go even if no neighbour repeats them; a class or id
+does not mark html, body, main and article, nor what holds an article element outside
+of any other, nor what holds most of the text, in an article or on a page without one.
+And a neighbour that shares nearly all of a page's text is a copy; the other neighbour
+is asked. All
 other lines are decided by differencing, also on pages that have an article element.
 Only a page without a neighbour to ask loses the lines outside its article element.
 
@@ -64,19 +67,30 @@ NAMES = set(
     " newsletter subscribe signup login popup modal overlay widget pagination pager toc skip".split()
 )
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.IGNORECASE)
+#: Elements that hold the content whatever their classes and ids.
+CONTENT = set("html body main article".split())
 INSIDE, OUTSIDE, MARKED = "A", "B", "C"
 
 Line = tuple[str, str]
 
 
-def _is_boilerplate(name: str, attrs: str, in_article: bool) -> bool:
+def _by_tag(name: str, attrs: str, in_article: bool) -> bool:
+    """Whether the element's name or role marks it."""
     if name in DROPPED or name == "header" and not in_article:
         return True
+    return name not in CONTENT and any(
+        kind.lower() == "role" and ROLES & set(value.strip("\"'").lower().split())
+        for kind, value in ATTRIBUTE.findall(attrs)
+    )
+
+
+def _by_name(name: str, attrs: str, in_article: bool) -> bool:
+    """Whether a class or id marks the element."""
+    if name in CONTENT:
+        return False
     for kind, value in ATTRIBUTE.findall(attrs):
         words = value.strip("\"'").lower().split()
         if kind.lower() == "role":
-            if ROLES & set(words):
-                return True
             continue
         for word in words:
             parts = set(re.split(r"[-_]+", word))
@@ -89,8 +103,52 @@ def _is_article(name: str, attrs: str) -> bool:
     return name in ("article", "main") or name != "body" and 'role="main"' in attrs.lower()
 
 
+def _wrappers(tokens: list[re.Match]) -> tuple[set[int], set[int], bool]:
+    """The tokens that open an element which holds an article element, those that open
+    one with most of the text, and whether the page has an article element."""
+    stack: list[list] = []  # [name, token, articles before, text before, whether it is closed]
+    by_name: dict[str, list] = {}
+    articles = size = 0
+    spans: list[tuple[int, int, int]] = []  # (token, articles, text)
+
+    def end(entry: list) -> None:
+        entry[4] = True
+        spans.append((entry[1], articles - entry[2], size - entry[3]))
+
+    for k, token in enumerate(tokens):
+        if token["text"] is not None:
+            size += len(token["text"].strip())
+            continue
+        if token["name"] is None:
+            continue
+        name = token["name"].lower()
+        if name in VOID or token["attrs"].endswith("/"):
+            continue
+        same = by_name.setdefault(name, [])
+        if same and (token["close"] or name == "p"):
+            entry = same.pop()
+            end(entry)
+            if name in CONTENT:  # what is still open in it ends with it
+                while (inner := stack.pop()) is not entry:
+                    if not inner[4]:
+                        end(by_name[inner[0]].pop())
+        if not token["close"]:
+            entry = [name, k, articles, size, False]
+            articles += _is_article(name, token["attrs"])
+            if _is_article(name, token["attrs"]):
+                entry[2] = articles
+            stack.append(entry)
+            same.append(entry)
+    for entry in stack:
+        if not entry[4]:
+            end(entry)
+    return {k for k, held, _ in spans if held}, {k for k, _, text in spans if 2 * text > size}, articles > 0
+
+
 def lines_of(page: str | None) -> list[Line]:
     """(region, text) of each block of text, in page order."""
+    tokens = list(TOKEN.finditer(page or ""))
+    wrappers = None  # found when the first name is met
     found: list[Line] = []
     parts: list[str] = []
     article: list[str] = []  # open article elements
@@ -103,7 +161,19 @@ def lines_of(page: str | None) -> list[Line]:
                 found.append((region, text))
             parts.clear()
 
-    for token in TOKEN.finditer(page or ""):
+    def is_boilerplate(k: int, name: str, attrs: str) -> bool:
+        nonlocal wrappers
+        if _by_tag(name, attrs, bool(article)):
+            return True
+        if not _by_name(name, attrs, bool(article)):
+            return False
+        if wrappers is None:
+            wrappers = _wrappers(tokens)
+        holding, most, has_article = wrappers
+        # Articles in an article are comments; an advert may be longer than the article beside it.
+        return not (k in holding and "article" not in article or k in most and (article or not has_article))
+
+    for k, token in enumerate(tokens):
         if token["text"] is not None:
             parts.append(token["text"])
             continue
@@ -128,7 +198,7 @@ def lines_of(page: str | None) -> list[Line]:
         if closes:
             if article and name == article[-1]:
                 article.pop()
-        elif _is_boilerplate(name, token["attrs"], bool(article)):
+        elif is_boilerplate(k, name, token["attrs"]):
             skipped, depth = name, 1
         elif _is_article(name, token["attrs"]) or article and name == article[-1]:
             article.append(name)

@@ -76,6 +76,21 @@ def test_differencing_decides_lines_outside_the_article():
     assert text(a) == text(a, a, a) == "teaser one"
 
 
+def test_names_do_not_mark_what_holds_the_content():
+    story = "<article><p>the story</p></article><div class='side'>gone</div>"
+    assert text(f"<body class='right-sidebar'>{story}</body>") == "the story"
+    assert text(f"<html id='no-header'><div class='layout-with-sidebar'><div id='page-header'>{story}</div></div>") == "the story"
+    assert text("<main class='has-menu'>the <div class='ad'>gone</div>story</main>") == "the story"
+    assert text("<article class='post share'>the story</article>") == "the story"
+    plain = "<div class='with-sidebar'><p>menu</p><p>the story {0} is long</p></div><div class='ad'>buy {0}</div>"
+    assert text(plain.format(1), plain.format(2)) == "the story 1 is long"
+    # Comments in an article and a long advert beside one are marked as before.
+    assert text("<main><div class='has-sidebar'><article>the story</article></div><p class='ad'>gone</p></main>") == "the story"
+    assert text("<article>by me<div class='share-box'>the story</div></article>") == "by me the story"
+    assert text("<article>the story<section id='comments'><article>nice</article></section></article>") == "the story"
+    assert text("<div class='ad'>much longer than that</div><article>in</article>") == "in"
+
+
 def result(spark, rows):
     pages = spark.createDataFrame([(*r, "h", 1) for r in rows], "page_id long, url string, html string, host string, cell int")
     return sorted((tuple(r) for r in htmldiff.extract(pages).collect()), key=repr)
