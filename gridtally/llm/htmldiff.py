@@ -15,9 +15,10 @@ is asked. All
 other lines are decided by differencing, also on pages that have an article element.
 Only a page without a neighbour to ask loses the lines outside its article element.
 
-Hosts with very many pages are dealt to cells by a hash of the path, so that no host
-meets in one task; within a cell the nearest page is that of the cell. Cells depend
-on the data alone, so reruns agree.
+The sorted pages are cut into ranges of about equal count, whatever their hosts, and
+the last and first page of each range go to the next and previous range as well. So
+no host meets in one task and every page meets its nearest URL: the ranges, which come
+from a sample of the keys, decide no result.
 
 Defined cases: null html is empty, empty pages give empty text. A null URL counts as an
 empty host and path. Ties in the path go by page id. Repeated rows are copies. An
@@ -30,19 +31,22 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtally.llm.groups import HOT_SHARE
 from gridtally.llm.tables import ship, slices
 
 #: A neighbour with at least this share of equal text is a copy.
 COPY_SHARE = 0.9
-#: Pages of a host that are never dealt to several cells.
+#: Pages of a range at least, on average.
 CELL_PAGES = 64
+#: Keys sampled for each range.
+SAMPLE_KEYS = 60
 #: Bits of alignment table that are kept at a time.
 TABLE_BITS = 1 << 28
 
@@ -293,55 +297,96 @@ def _unpack(data: bytes) -> list[Line]:
     return [(x[0], x[1:]) for x in text.split("\n")] if text else []
 
 
+def _key(host: str, path: str, page: object) -> tuple:
+    """Sorts as Spark does: text by code points, a null id first."""
+    return host, path, page is not None, 0 if page is None else page
+
+
+def _ranges(keys: DataFrame) -> tuple[list[tuple], dict[tuple, list[int]]]:
+    """(first keys of all ranges but one, further ranges of the keys at their borders).
+
+    The driver holds a sample and two keys of each range, not more.
+    """
+    n = keys.count()
+    parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = max(1, min(parts, -(-n // CELL_PAGES)))
+    if cells == 1:
+        return [], {}
+    sample = sorted({_key(*r) for r in keys.sample(min(1.0, SAMPLE_KEYS * cells / n), 0).collect()})
+    bounds = sorted({sample[i * len(sample) // cells] for i in range(1, cells)} if sample else ())
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            cell = [bisect_right(bounds, _key(*r)) for r in zip(*(c.to_pylist() for c in batch.columns))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cell, pa.int32()), *batch.columns], names=["cell", *batch.schema.names]
+            )
+
+    kind = keys.schema["page_id"].dataType.simpleString()
+    key = F.struct("host", "path", "page_id")
+    ends = (
+        keys.mapInArrow(place, f"cell int, host string, path string, page_id {kind}")
+        .groupBy("cell")
+        .agg(F.min(key).alias("first"), F.max(key).alias("last"))
+        .collect()
+    )
+    guests = defaultdict(list)
+    ends.sort(key=lambda r: r["cell"])
+    for a, b in zip(ends, ends[1:]):
+        if a["last"]["host"] == b["first"]["host"]:
+            guests[_key(*a["last"])].append(b["cell"])
+            guests[_key(*b["first"])].append(a["cell"])
+    return bounds, dict(guests)
+
+
 def extract(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
 ) -> DataFrame:
     """(page_id, url, text, n_chars) of every row."""
-    ship(pages.sparkSession)
+    spark = pages.sparkSession
+    ship(spark)
     kind = pages.schema[id_col].dataType.simpleString()
     url = F.coalesce(F.col(url_col), F.lit(""))
     place = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)([^?#]*)"
     rows = pages.select(
-        F.col(id_col).alias("page_id"),
-        F.col(url_col).alias("url"),
         F.lower(F.regexp_extract(url, place, 1)).alias("host"),
         F.regexp_extract(url, place, 2).alias("path"),
+        F.col(id_col).alias("page_id"),
+        F.col(url_col).alias("url"),
         F.col(html_col).alias("html"),
     )
-    crowd = F.lit(max(pages.count() * HOT_SHARE, CELL_PAGES))
-    # Fewer than 1 / HOT_SHARE hosts have more pages than that.
-    hot = (
-        rows.groupBy("host")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") > crowd)
-        .select("host", F.ceil(F.col("n") / crowd).alias("cells"))
-    )
-    dealt = rows.join(F.broadcast(hot), "host", "left").select(
-        "page_id",
-        "url",
-        "host",
-        F.pmod(F.xxhash64("path", "page_id"), F.coalesce("cells", F.lit(1))).alias("cell"),
-        "path",
-        "html",
-    )
+    bounds, guests = _ranges(rows.select("host", "path", "page_id"))
+    shared = spark.sparkContext.broadcast((bounds, guests))
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bounds, guests = shared.value
         for batch in slices(batches):
-            packed = [_pack(lines_of(h)) for h in batch.column(5).to_pylist()]
+            keys = [_key(*r) for r in zip(*(c.to_pylist() for c in batch.columns[:3]))]
+            packed = [_pack(lines_of(h)) for h in batch.column(4).to_pylist()]
+            # (row, range, whether it is the row's own)
+            to = [(i, bisect_right(bounds, k), True) for i, k in enumerate(keys)]
+            to += [(i, cell, False) for i, k in enumerate(keys) for cell in guests.get(k, ())]
+            row, cell, own = zip(*to) if to else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:5], pa.array(packed, pa.binary())], names=[*batch.schema.names[:5], "packed"]
+                [
+                    pa.array(cell, pa.int32()),
+                    pa.array(own, pa.bool_()),
+                    *(c.take(pa.array(row, pa.int64())) for c in batch.columns[:4]),
+                    pa.array([packed[i] for i in row], pa.binary()),
+                ],
+                names=["cell", "own", *batch.schema.names[:4], "packed"],
             )
 
     parsed = (
-        dealt.mapInArrow(
-            parse, f"page_id {kind}, url string, host string, cell bigint, path string, packed binary"
+        rows.mapInArrow(
+            parse, f"cell int, own boolean, host string, path string, page_id {kind}, url string, packed binary"
         )
-        .repartition("host", "cell")
-        .sortWithinPartitions("host", "cell", "path", "page_id", "packed")
+        .repartitionById(len(bounds) + 1, "cell")
+        .sortWithinPartitions("host", "path", "page_id", "packed")
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = here = None  # (cell, id, url, lines)
+        before = here = None  # (host, id, url, lines, own)
         out: list[tuple] = []
 
         def done(row, prev, follow):
@@ -350,17 +395,18 @@ def extract(
             return row[1], row[2], text, len(text)
 
         for batch in slices(batches):
-            for page, url, host, cell, _, packed in zip(*(c.to_pylist() for c in batch.columns)):
-                row = ((host, cell), page, url, _unpack(packed))
-                if here:
+            for _, own, host, _, page, url, packed in zip(*(c.to_pylist() for c in batch.columns)):
+                row = (host, page, url, _unpack(packed), own)
+                if here and here[4]:
                     out.append(done(here, before, row))
                 before, here = here, row
                 if len(out) >= 256:
-                    yield _result(out, batch.schema.field(0).type)
+                    yield _result(out, batch.schema.field(4).type)
                     out = []
-            last = batch.schema.field(0).type
-        if here:
+            last = batch.schema.field(4).type
+        if here and here[4]:
             out.append(done(here, before, None))
+        if out:
             yield _result(out, last)
 
     return parsed.mapInArrow(compare, f"page_id {kind}, url string, text string, n_chars bigint")

@@ -136,6 +136,19 @@ def test_hot_host_is_dealt_out(spark, monkeypatch):
     assert [r[2] for r in found if "menu" in r[2]] == [] or all("story" in r[2] for r in found)
 
 
+def test_every_page_of_a_hot_host_meets_its_nearest_url(spark, monkeypatch):
+    monkeypatch.setattr(htmldiff, "CELL_PAGES", 5)
+    # Each section of three pages has a template of its own, and some pages are copies.
+    rows = [
+        (i, f"https://h/{i // 3:03}/{i}", f"<div>menu {i // 3}</div><p>{'story ' * 9}{i // 2 if i % 7 else 0}</p>")
+        for i in range(150)
+    ]
+    rows += [(None, "https://g/a", "<p>g</p>"), (7, rows[7][1], "<div>menu 2</div><p>other</p>"), rows[8]]
+    bounds, guests = htmldiff._ranges(spark.createDataFrame([("h", f"/{i:03}", i) for i in range(90)], "host string, path string, page_id long"))
+    assert len(bounds) > 1 and len(guests) == 2 * len(bounds)
+    assert result(spark, rows) == by_hand(rows)
+
+
 def test_articles_of_the_given_pages(spark):
     rows = spark.read.parquet(f"{SF}/pages.parquet").collect()
     found = {r.page_id: r.text for r in queries.QUERIES["op8_html"](spark, SF).collect()}
