@@ -5,10 +5,10 @@ each language. Any other word scores by its known character n-grams of the
 greatest length that has any, from ``LONGEST`` down to one. A text's language is
 the one with the greatest sum; ties go to the least code.
 
-Frequencies are kept by hash: ``2**WORD_BITS`` places for words and
-``2**GRAM_BITS`` for n-grams in each language, whatever the corpus holds. Only
-this table passes through the driver and is broadcast. Counts cover all training
-rows.
+Words and n-grams are counted by their whole 64-bit hash over all training rows, so a
+word that was not seen is taken for unseen however large the corpus is. The table has
+one row for each known word and each n-gram and goes through the driver to all tasks:
+it grows with the distinct words that occur ``KNOWN_COUNT`` times, not with the rows.
 
 Defined cases: text that is null or has no letter gives ``und`` and score 0, and so
 does any text if nothing was learned. Rows with a null language or a null id teach
@@ -25,18 +25,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridtally.llm.tables import ship
+from gridtally.llm.tables import ship, staged
 from gridtally.llm.words import LETTER, Scan, text_chunks
 
+#: The places of ``Counts``.
 WORD_BITS = 19
 GRAM_BITS = 17
 LONGEST = 5
-#: A word is known if its place was seen so often in all languages together.
+#: A word is known if it was seen so often in all languages together.
 KNOWN_COUNT = 3
 SMOOTHING = 0.5
 #: The score of a text counts its words as this many at most.
 SURE_WORDS = 10
-MEMO_WORDS = 100_000
+#: A task sends on what it has counted when its distinct words have so many bytes.
+HELD_BYTES = 8 << 20
+#: Distinct words whose n-grams are made at a time, in bytes.
+GRAM_BYTES = 1 << 18
 GRAM_PLACE = 1 << WORD_BITS
 UNKNOWN = "und"
 
@@ -44,15 +48,20 @@ UNKNOWN = "und"
 SPACE = 32
 
 
-def gram_places(points: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(n, place of the n code points from each one on), for n of 1 and up."""
+def gram_hashes(points: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(n, hash of the n code points from each one on), for n of 1 and up."""
     value = points.astype(np.uint64)
     for n in range(1, min(LONGEST, len(points)) + 1):
         if n > 1:
             value = value[:-1] * np.uint64(0x9E3779B97F4A7C15) + points[n - 1 :]
             value ^= value >> np.uint64(29)
-        place = (value + np.uint64(n)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - GRAM_BITS)
-        yield n, place.astype(np.int64)
+        yield n, (value + np.uint64(n)) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def gram_places(points: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """``gram_hashes`` cut to the places of ``Counts``."""
+    for n, value in gram_hashes(points):
+        yield n, (value >> np.uint64(64 - GRAM_BITS)).astype(np.int64)
 
 
 def within_words(space: np.ndarray, n: int) -> np.ndarray:
@@ -104,61 +113,132 @@ def count_grams(scan: Scan, lang: np.ndarray, counts: Counts) -> None:
             counts.add(x, place[of == x])
 
 
-def word_places(scan: Scan) -> np.ndarray:
-    return (scan.word_hashes() >> np.uint64(64 - WORD_BITS)).astype(np.int64)
+def grams_of(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(hash, number of its word) of the n-grams of all words, for n of 1 and up."""
+    points = points_of(b" " + b" ".join(words) + b" ")
+    space = points == SPACE
+    word = np.cumsum(space) - 1
+    for n, value in gram_hashes(points):
+        good = within_words(space, n)
+        yield value[good], word[: len(value)][good]
+
+
+def parts_of(words: list[bytes], size: int = GRAM_BYTES) -> Iterator[slice]:
+    """Slices of about ``size`` bytes; a longer word is alone."""
+    start = held = 0
+    for i, word in enumerate(words):
+        if held and held + len(word) > size:
+            yield slice(start, i)
+            start, held = i, 0
+        held += len(word) + 1
+    if start < len(words):
+        yield slice(start, len(words))
+
+
+def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and their sums."""
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), dtype=bool), keys[1:] != keys[:-1])))
+    return keys[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def gram_counts(words: list[bytes], n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, count) of the n-grams of words that occur ``n`` times each."""
+    keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for part in parts_of(words):
+        for value, word in grams_of(words[part]):
+            for to, x in zip((keys, counts), summed(value, n[part][word])):
+                to.append(x)
+    return summed(np.concatenate(keys), np.concatenate(counts))
 
 
 def learn(docs: DataFrame, use: Column, text_col: str = "text", lang_col: str = "lang") -> dict:
-    """Log frequencies by place and language from the rows where ``use`` is true."""
+    """Log frequencies by hash and language from the rows where ``use`` is true."""
     ship(docs.sparkSession)
     rows = docs.filter(use & F.col(lang_col).isNotNull()).select(text_col, lang_col)
 
+    def sent(held: dict[str, dict[int, list]]) -> Iterator[pa.RecordBatch]:
+        for lang, found in held.items():
+            words = [w for w, _ in found.values()]
+            n = np.array([c for _, c in found.values()], dtype=np.int64)
+            own = np.fromiter(found, dtype=np.uint64, count=len(found))
+            for is_word, keys, counts in ((True, own, n), (False, *gram_counts(words, n))):
+                for start in range(0, len(keys), 100_000):
+                    part = slice(start, start + 100_000)
+                    size = len(keys[part])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([lang] * size, pa.string()),
+                            pa.array([is_word] * size, pa.bool_()),
+                            pa.array(keys[part].view(np.int64), pa.int64()),
+                            pa.array(counts[part], pa.int64()),
+                        ],
+                        names=["lang", "is_word", "key", "n"],
+                    )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, number = Counts(), {}
+        held: dict[str, dict[int, list]] = {}  # language, hash of the word: [word, count]
+        size = 0
         for batch, texts in text_chunks(batches, 0):
             scan = Scan(texts, lower=True, letters=True)
+            number: dict[str, int] = {}
             lang = np.array([number.setdefault(x, len(number)) for x in batch.column(1).to_pylist()])
-            places = word_places(scan)
-            of = lang[scan.word_doc]
-            for x in np.unique(lang).tolist():
-                counts.add(x, places[of == x])
-            count_grams(scan, lang, counts)
-        names = list(number)
-        for x, found in counts.by_lang.items():
-            seen = np.flatnonzero(found)
-            for start in range(0, len(seen), 100_000):
-                part = seen[start : start + 100_000]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([names[x]] * len(part), pa.string()),
-                        pa.array(part, pa.int64()),
-                        pa.array(found[part], pa.int64()),
-                    ],
-                    names=["lang", "place", "n"],
-                )
-
-    counted = (
-        rows.mapInArrow(run, "lang string, place bigint, n bigint")
-        .groupBy("lang", "place")
-        .agg(F.sum("n").alias("n"))
-        .toArrow()
+            hashes, of = scan.word_hashes(), lang[scan.word_doc]
+            data = scan.data.tobytes()
+            for name, x in number.items():
+                at = np.flatnonzero(of == x)
+                found = held.setdefault(name, {})
+                distinct, one, n = np.unique(hashes[at], return_index=True, return_counts=True)
+                for key, i, c in zip(distinct.tolist(), at[one].tolist(), n.tolist()):
+                    entry = found.get(key)
+                    if entry is None:
+                        word = data[scan.word_start[i] : scan.word_end[i]]
+                        found[key] = [word, c]
+                        size += len(word)
+                    else:
+                        entry[1] += c
+            if size > HELD_BYTES:
+                yield from sent(held)
+                held, size = {}, 0
+        yield from sent(held)
+
+    counted = staged(
+        rows.mapInArrow(run, "lang string, is_word boolean, key bigint, n bigint")
+        .groupBy("lang", "is_word", "key")
+        .agg(F.sum("n").alias("n")),
+        "languages",
     )
-    langs = sorted(set(counted["lang"].to_pylist()))
-    total = np.zeros((GRAM_PLACE + (1 << GRAM_BITS), len(langs)), dtype=np.float32)
-    column = {x: i for i, x in enumerate(langs)}
-    which = counted["lang"].combine_chunks().dictionary_encode() if len(counted) else None
-    if which is not None:
-        to = np.array([column[x] for x in which.dictionary.to_pylist()])
-        total[counted["place"].to_numpy(), to[which.indices.to_numpy()]] = counted["n"].to_numpy()
-    known = total.sum(axis=1) >= KNOWN_COUNT
-    known[GRAM_PLACE:] = total[GRAM_PLACE:].any(axis=1)
-    for part in (slice(0, GRAM_PLACE), slice(GRAM_PLACE, None)):
-        seen = total[part].sum(axis=0)
-        total[part] = np.log((total[part] + SMOOTHING) / (seen + SMOOTHING * len(total[part])))
-    return {"langs": langs, "score": total, "known": known}
-
-
-_memo: dict[int, np.ndarray] = {}
+    seen = {(r[0], r[1]): r[2] for r in counted.groupBy("lang", "is_word").agg(F.sum("n")).collect()}
+    by_key = counted.groupBy("is_word", "key").agg(
+        F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by_lang")
+    )
+    distinct = {r[0]: r[1] for r in counted.groupBy("is_word").agg(F.count_distinct("key")).collect()}
+    langs = sorted({x for x, _ in seen})
+    model = {"langs": langs}
+    for is_word in (True, False):
+        rows = by_key.filter((F.col("is_word") == is_word) & (F.col("total") >= (KNOWN_COUNT if is_word else 1)))
+        table = rows.select("key", F.inline("by_lang")).toArrow()
+        keys = table["key"].to_numpy().view(np.uint64)
+        own = np.unique(keys)
+        score = np.zeros((len(own), len(langs)), dtype=np.float32)
+        which = table["lang"].combine_chunks().dictionary_encode() if len(table) else None
+        if which is not None:
+            to = np.array([langs.index(x) for x in which.dictionary.to_pylist()])
+            score[np.searchsorted(own, keys), to[which.indices.to_numpy()]] = table["n"].to_numpy()
+        all_seen = np.array([seen.get((x, is_word), 0) for x in langs], dtype=np.float64)
+        score += SMOOTHING
+        score /= (all_seen + SMOOTHING * distinct.get(is_word, 0)).astype(np.float32)
+        model["words" if is_word else "grams"] = (own, np.log(score, out=score))
+    return model
+
+
+def looked_up(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, whether it is known) of each hash asked for; ``keys`` are sorted."""
+    if not len(keys):
+        return np.zeros(len(asked), dtype=np.int64), np.zeros(len(asked), dtype=bool)
+    row = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return row, keys[row] == asked
 
 
 def predict(
@@ -193,29 +273,21 @@ def _identified(docs: DataFrame, text_place: int, model: dict, shape: Callable,
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, table, known = (shared.value[k] for k in ("langs", "score", "known"))
+        langs, (keys, table), known_grams = (shared.value[k] for k in ("langs", "words", "grams"))
         names = np.array([*langs, UNKNOWN], dtype=object)
-        _memo.clear()
         for batch, texts in text_chunks(batches, text_place):
             scan = Scan(texts, lower=True, letters=True)
-            places = word_places(scan)
-            points = table[places].astype(np.float64)
-            unseen = np.flatnonzero(~known[places])
+            distinct, one, back = np.unique(scan.word_hashes(), return_index=True, return_inverse=True)
+            rows = np.zeros((len(distinct), len(langs)))
+            place, known = looked_up(keys, distinct)
+            rows[known] = table[place[known]]
+            unseen = np.flatnonzero(~known)
             if len(unseen) and langs:
-                hashes = scan.word_hashes()[unseen]
-                distinct, one, back = np.unique(hashes, return_index=True, return_inverse=True)
                 data = scan.data.tobytes()
-                rows = np.empty((len(distinct), len(langs)))
-                for k, (value, i) in enumerate(zip(distinct.tolist(), unseen[one])):
-                    row = _memo.get(value)
-                    if row is None:
-                        word = data[scan.word_start[i] : scan.word_end[i]]
-                        row = fall_back(word, table, known)
-                        if len(_memo) >= MEMO_WORDS:
-                            _memo.clear()
-                        _memo[value] = row
-                    rows[k] = row
-                points[unseen] = rows[back]
+                words = [data[scan.word_start[i] : scan.word_end[i]] for i in one[unseen]]
+                for part in parts_of(words):
+                    rows[unseen[part]] = fall_back(words[part], *known_grams)
+            points = rows[back]
             n = scan.per_doc(scan.word_doc)
             total = np.stack(
                 [np.bincount(scan.word_doc, weights=points[:, j], minlength=len(texts)) for j in range(len(langs))]
@@ -240,10 +312,19 @@ def _ascii_words(scan: Scan) -> np.ndarray:
     return (scan.data[scan.word_start] < 128) | (scan.data[scan.word_end - 1] < 128)
 
 
-def fall_back(word: bytes, table: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """The mean score of the known n-grams of the greatest length that has any."""
-    for places in reversed(grams(word)):
-        places = places[known[places]]
-        if len(places):
-            return table[places].mean(axis=0)
-    return np.zeros(table.shape[1])
+def fall_back(words: list[bytes], keys: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The mean score of each word's known n-grams of the greatest length that has any."""
+    out = np.zeros((len(words), table.shape[1]))
+    open_ = np.ones(len(words), dtype=bool)
+    for value, word in reversed(list(grams_of(words))):
+        left = open_[word]
+        value, word = value[left], word[left]
+        row, known = looked_up(keys, value)
+        row, word = row[known], word[known]
+        n = np.bincount(word, minlength=len(words))
+        found = n > 0
+        for j in range(table.shape[1]):
+            total = np.bincount(word, weights=table[row, j], minlength=len(words))
+            out[found, j] = total[found] / n[found]
+        open_ &= ~found
+    return out

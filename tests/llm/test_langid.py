@@ -1,3 +1,6 @@
+import random
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -55,6 +58,38 @@ def test_gram_counts_equal_brute_force():
     assert got == want
 
 
+def test_counts_are_exact_however_many_words(spark):
+    rng = random.Random(1)
+    many = [" ".join("".join(rng.choices("abcdefghijklm", k=7)) for _ in range(3000)) for _ in range(40)]
+    rows = [(t, "en") for t in many] + [("abba " * 3, "en"), ("no op pq qr rs st tu uv vw wx xy yz " * 5, "de")]
+    model = langid.learn(spark.createDataFrame(rows, "text string, lang string"), F.lit(True))
+    # None of these shares a word or a long n-gram with a text learned from.
+    asked = ["nopqrst", "uvwxyzn", "pqrstuvw", "stuvwx", "rstuvwxyz"]
+    docs = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string")
+    assert {r.lang_pred for r in langid.predict(docs, model).collect()} == {"de"}
+    counts = Counter(w for t, _ in rows for w in t.split())
+    known = [w for w, n in counts.items() if n >= langid.KNOWN_COUNT]
+    assert len(model["words"][0]) == len(known)
+    grams = {v for w in counts for v, _ in langid.grams_of([w.encode()]) for v in v.tolist()}
+    assert len(model["grams"][0]) == len(grams)
+
+
+def test_grams_by_words_equal_those_of_the_text():
+    words = [b"ab", "\u00fcber".encode(), b"x", b"zz"]
+    n = np.array([3, 1, 2, 5])
+    want = Counter()
+    for w, c in zip(words, n.tolist()):
+        for places in langid.grams(w):
+            want.update({int(p): 0 for p in places.tolist()})
+            for p in places.tolist():
+                want[p] += c
+    keys, counts = langid.gram_counts(words, n)
+    got = Counter()
+    for k, c in zip(keys.tolist(), counts.tolist()):
+        got[(k >> (64 - langid.GRAM_BITS)) + langid.GRAM_PLACE] += c
+    assert got == want
+
+
 def test_held_out_accuracy_of_the_query(spark):
     found = queries.QUERIES["op5_language"](spark, SF).toPandas()
     known = found.merge(spark.read.parquet(f"{SF}/documents.parquet").toPandas()[["doc_id", "lang"]], on="doc_id")
