@@ -6,9 +6,11 @@ payload. Each task attempt writes files of its own name; the returned table list
 those of the attempts that counted, so lost or repeated attempts leave no trace.
 
 ``read`` splits the files into byte ranges. A task looks for the gzip magic from the
-start of its range, takes a place for a member if a WARC header can be decoded there,
-and reads every record that begins inside its range, to its end. The check sum of
-each member is verified; a record that cannot be read to its end is an error.
+start of its range, takes a place for a member if the beginning of a WARC header can be
+decoded there, and reads every record that begins inside its range, to its end; headers
+may be of any length. The check sum of each member is verified; a record that cannot be
+read to its end is an error, and so is a file that holds not as many records as its row
+says.
 
 Archives go through Arrow file systems by URI, so any store they know will do.
 
@@ -25,6 +27,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import posixpath
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -47,7 +50,9 @@ MOST_TASKS = 50_000
 FILE_BYTES = 256 << 20
 READ_BYTES = 1 << 20
 PIECE_BYTES = 64 << 10
-HEADER_BYTES = 64 << 10
+#: The first line of a record, ten bytes.
+VERSION = re.compile(rb"WARC/1\.[0-9]\r\n")
+VERSION_BYTES = 10
 DATE = "2024-01-01T00:00:00Z"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
@@ -188,29 +193,36 @@ class Reader:
         """(header, block, place after the member) if a record begins here."""
         unpack = zlib.decompressobj(31)
         got, place, fields, start = bytearray(), at, None, 0
+        begun = False  # whether this is a record
         while not unpack.eof:
-            # Little is read until the header shows that this is a record.
-            piece = self._read(place, PIECE_BYTES if fields else 4096)
+            # Little is read until the first line shows that this is a record.
+            piece = self._read(place, PIECE_BYTES if begun else 4096)
             if not piece:
-                if fields:
+                if begun:
                     raise ValueError(f"the record at byte {at} is cut off")
                 return None
             try:
-                got += unpack.decompress(piece)
+                more = unpack.decompress(piece)
             except zlib.error:
-                if fields:
+                if begun:
                     raise ValueError(f"the record at byte {at} is damaged") from None
                 return None
+            searched = max(len(got) - 3, 0)
+            got += more
             place += len(piece) - len(unpack.unused_data)
-            if fields is None:
-                start = got.find(b"\r\n\r\n") + 4
-                if not got.startswith(b"WARC/1."[: len(got)]) or (start < 4 and len(got) > HEADER_BYTES):
+            if not begun and len(got) >= VERSION_BYTES:
+                begun = VERSION.match(got) is not None
+                if not begun:
                     return None
+            if begun and fields is None:
+                start = got.find(b"\r\n\r\n", searched) + 4
                 if start >= 4:
                     fields = _header(bytes(got[: start - 4]))
                     if fields is None:
-                        return None
+                        raise ValueError(f"the record at byte {at} has a damaged header")
         if fields is None:
+            if begun:
+                raise ValueError(f"the record at byte {at} has no end of its header")
             return None
         length = int(fields["content-length"])
         if len(got) < start + length:
@@ -246,7 +258,9 @@ def read(files: DataFrame, split_bytes: int = SPLIT_BYTES, with_payload: bool =
     """One row per record of the files (file, bytes).
 
     ``payload_bytes`` and ``payload_digest`` of a response are taken from what was
-    read and checked against the header; those of a revisit are in its header.
+    read and checked against the header; those of a revisit are in its header. If the
+    files have ``records``, the rows are stored and counted; with payloads, which may be
+    too large to store, ``compare_counts`` is left to the caller.
     """
     ship(files.sparkSession)
     starts = F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long"))
@@ -276,7 +290,22 @@ def read(files: DataFrame, split_bytes: int = SPLIT_BYTES, with_payload: bool =
         " payload_bytes bigint, payload_digest string, payload binary"
     )
     found = ranges.mapInArrow(run, schema)
-    return found if with_payload else found.drop("payload")
+    if with_payload:
+        return found
+    found = found.drop("payload")
+    if "records" not in files.columns:
+        return found
+    found = staged(found, "records")
+    compare_counts(files, found)
+    return found
+
+
+def compare_counts(files: DataFrame, found: DataFrame) -> None:
+    """Raise an error if a file (file, records) has more or fewer rows in ``found``."""
+    counted = found.groupBy("file").agg(F.count("*").alias("rows"))
+    both = files.select("file", "records").join(counted, "file", "full").fillna(0, ["records", "rows"])
+    for row in both.filter(F.col("records") != F.col("rows")).take(1):
+        raise ValueError(f"{row['file']} has {row['records']} records, but {row['rows']} were read")
 
 
 def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:

@@ -5,6 +5,7 @@ import io
 import random
 
 import pyarrow as pa
+import pytest
 from compare import connect, differences
 
 from gridtally.llm import queries, warc
@@ -73,3 +74,23 @@ def test_rows(spark, tmp_path):
         assert sorted(got, key=repr) == by_hand(rows, least)
     empty = warc.write(pages.limit(0), str(tmp_path / "none"))
     assert warc.read(empty).count() == 0
+
+
+def test_headers_of_any_length(spark, tmp_path):
+    rng = random.Random(2)
+    urls = ["data:," + rng.randbytes(size).hex() for size in (30_000, 40_000, 400_000)] + ["http://x/" + "a" * 2_000_000, "u"]
+    pages = spark.createDataFrame([(i, u, f"page {i}") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    files = warc.write(pages.repartition(2), str(tmp_path / "long"))
+    for split in (1 << 12, 1 << 24):
+        found = warc.read(files, split_bytes=split)
+        assert {(int(r.record_id), r.url) for r in found.collect()} == set(enumerate(urls)) and found.count() == len(urls)
+    data = warc.member(warc.record(1, urls[2], b"page", None))
+    with pytest.raises(ValueError):
+        list(warc.Reader(pa.PythonFile(io.BytesIO(data[:200_000]), mode="r")).records(0, 200_000))
+
+
+def test_missing_records_are_an_error(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", f"page {i}") for i in range(5)], "page_id long, url string, html string")
+    files = warc.write(pages.coalesce(1), str(tmp_path / "five"))
+    with pytest.raises(ValueError, match="6 records, but 5"):
+        warc.read(files.withColumn("records", files.records + 1))
