@@ -2,8 +2,10 @@
 
 Base spans are assignments, access identifiers and long hexadecimal runs. Three
 more kinds are weak by themselves: names in identifier settings, tokens that look
-random, and endpoints. A scope is a stretch of text without an empty line, and two
-parts of it join if at most ``REACH`` code points lie between their intervals.
+random, and endpoints. A scope is a stretch of text without an empty line. The value of
+a setting (what follows a colon or an equals sign) joins complementary parts of its
+scope at any distance; a part in running text joins those with at most ``REACH`` code
+points between their intervals.
 A weak identifier is reported if a secret joins it, a random token if an identifier
 joins it, an endpoint if an identifier and a secret join it. For each role the
 nearest interval before and after decides, so the join is a search in sorted
@@ -30,7 +32,10 @@ from pyspark.sql import functions as F
 
 from gridtally.llm.tables import ship, slices
 
+#: How far a part that is not the value of a setting reaches.
 REACH = 200
+#: Code points before a part that are looked at for the sign of a setting.
+SIGN_SPACE = 80
 ENTROPY = 3.5
 KINDS = ["assign", "access", "hex", "identifier", "token", "endpoint"]
 BASE = KINDS[:3]
@@ -60,9 +65,16 @@ ENDPOINT = re.compile(
     re.IGNORECASE | re.ASCII,
 )
 
+URI = re.compile(r"[A-Za-z][A-Za-z0-9+.-]{1,20}://")
+
 Span = tuple[int, int, str]
 
 
+def is_setting(text: str, start: int) -> bool:
+    """Whether what begins here is the value of a setting."""
+    return text[max(start - SIGN_SPACE, 0) : start].rstrip(" \t\r\n\"'").endswith((":", "="))
+
+
 def base_spans(text: str, lower: str) -> list[Span]:
     found = []
     if any(word in lower for word in ASSIGN_WORDS):
@@ -95,15 +107,15 @@ class Role:
                 self.starts.append(start)
                 self.ends.append(end)
 
-    def joins(self, span: Span, scopes: list[int]) -> bool:
-        """Whether an interval lies within reach of the span, in the same scope."""
+    def joins(self, span: Span, scopes: list[int], setting: bool) -> bool:
+        """Whether an interval lies in the same scope, and within reach but for settings."""
         start, end, _ = span
         i = bisect_left(self.starts, start)
         for k in (i - 1, i):
             if 0 <= k < len(self.starts):
                 gap = max(self.starts[k] - end, start - self.ends[k])
                 same = bisect_left(scopes, start + 1) == bisect_left(scopes, self.starts[k] + 1)
-                if gap <= REACH and same:
+                if same and (setting or gap <= REACH):
                     return True
         return False
 
@@ -124,13 +136,15 @@ def linked_spans(text: str, lower: str, base: list[Span]) -> list[Span]:
     for m in TOKEN.finditer(text):
         span = (m.start(), m.end(), "token")
         i = bisect_left(taken.starts, span[1]) - 1
-        if (i < 0 or taken.ends[i] <= span[0]) and looks_random(m[0]) and ids.joins(span, scopes):
-            tokens.append(span)
+        if (i < 0 or taken.ends[i] <= span[0]) and looks_random(m[0]):
+            if ids.joins(span, scopes, is_setting(text, span[0])):
+                tokens.append(span)
     keys = Role(secrets + tokens)
-    found = tokens + [s for s in names if keys.joins(s, scopes)]
+    found = tokens + [s for s in names if keys.joins(s, scopes, True)]
     for m in ENDPOINT.finditer(text):
         span = (m.start(), m.end(), "endpoint")
-        if ids.joins(span, scopes) and keys.joins(span, scopes):
+        setting = not URI.match(m[0]) or is_setting(text, span[0])
+        if ids.joins(span, scopes, setting) and keys.joins(span, scopes, setting):
             found.append(span)
     return found
 

@@ -52,6 +52,16 @@ def test_weak_parts_need_their_complement():
     assert kinds(f"{AWS}{' x' * 150} {RANDOM}") == ["access"]  # out of reach
 
 
+def test_settings_join_at_any_distance_in_their_scope():
+    rest = "".join(f'  "field_{i}": "some plain words",\n' for i in range(30))
+    account = '{{\n  "client_id": "robot77",\n{}  "private": "{}",\n{}  "auth_uri": "https://x.example.com/a"\n}}'
+    text = account.format(rest, RANDOM, rest)
+    assert kinds(text) == kinds(text.replace("\n", "")) == ["identifier", "token", "endpoint"]
+    assert RANDOM not in secrets.masked(text) and "robot77" not in secrets.masked(text)
+    assert kinds(f"{AWS}\n{rest}value = {RANDOM}\n{rest}region = eu-west-1") == ["access", "token", "endpoint"]
+    assert kinds(f"{AWS}\n\nvalue = {RANDOM}") == ["access"]
+
+
 def test_many_parts_stay_linear():
     text = f"user: bob77 {RANDOM} " * 3000
     assert len(kinds(text)) == 6000
