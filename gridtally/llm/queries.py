@@ -9,7 +9,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtally.llm import bpe, htmldiff, langid, minhash, mixture, quality, secrets, toxicity, vectors, warc
+from gridtally.llm import (
+    bpe,
+    divergence,
+    fingerprint,
+    htmldiff,
+    infill,
+    langid,
+    minhash,
+    mixture,
+    quality,
+    secrets,
+    toxicity,
+    vectors,
+    warc,
+)
 from gridtally.llm.tables import fold, ship, slices, table
 from gridtally.session import work_path
 
@@ -116,6 +130,39 @@ def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmldiff.extract(table(spark, sf_dir, "pages"))
 
 
+def text_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document, its likeness to its edited text and to the next one."""
+    found = fingerprint.successors(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        fingerprint.as_text(F.col("sketch")).alias("fingerprint"),
+        fingerprint.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprint.likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprint.likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
+
+
+def infill_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and digests of the fill-in-the-middle sample of every document, and of its text restored."""
+    made = infill.transform(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every source from the others of its language, and its leading words."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": quality_lines,
     "op2_mixture": mixed_sources,
@@ -127,8 +174,13 @@ QUERIES = {
     "op8_html": page_texts,
     "op9_bpe": bpe_roundtrip,
     "op10_minhash": minhash_groups,
+    "op11_fingerprint": text_fingerprints,
+    "op12_infill": infill_samples,
+    "op13_divergence": source_divergence,
 }
 ORACLES = {
     "op2_mixture": mixture.ORACLE_SQL,
     "op4_warc": warc.ORACLE_SQL,
+    "op12_infill": infill.ORACLE_SQL,
+    "op13_divergence": divergence.ORACLE_SQL,
 }

@@ -1,0 +1,165 @@
+import hashlib
+import random
+import statistics
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from gridtally.llm import fingerprint, queries
+from gridtally.llm.fingerprint import sketch_texts, threshold
+
+SF = "/root/testdata/sf0.001"
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def words_of(text):
+    for white in "\t\n\x0b\x0c\r":
+        text = text.replace(white, " ")
+    return [w.translate(LOWER) for w in text.split(" ") if w]
+
+
+def shingles(text):
+    words = words_of(text or "")
+    if len(words) < 5:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
+def near(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def order(rows):
+    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0), reverse=True)
+
+
+def random_texts(n, seed, longest=120):
+    rng = random.Random(seed)
+    words = ["alpha", "Beta", "beta", "gamma", "été", "😀x", "d", "e", "f,", "g"]
+    joins = [" ", "  ", "\n", "\t", "\r\n"]
+    return ["".join(rng.choice(words) + rng.choice(joins) for _ in range(rng.randint(0, longest))) for _ in range(n)]
+
+
+def test_sketches_hold_all_hashes_below_the_threshold_or_the_least():
+    texts = ["", " ", "one", "one two", *random_texts(60, 1)]
+    all_hashes = sketch_texts([t.encode() for t in texts], 1)
+    for text, every, kept in zip(texts, all_hashes, sketch_texts([t.encode() for t in texts], 4)):
+        assert len(every) == len(shingles(text))
+        below = every[every < threshold(4)]
+        assert kept.tolist() == (below.tolist() or every[:1].tolist())
+    # with all hashes retained, the estimates are the true values
+    for a, b, x, y in zip(texts, texts[1:], all_hashes, all_hashes[1:]):
+        common, either = len(np.intersect1d(x, y)), len(np.union1d(x, y))
+        assert (common / either if either else 1.0) == near(shingles(a), shingles(b))
+
+
+def test_long_texts_in_pieces_and_chunks():
+    text = (" ".join(random_texts(40, 2)) + "x" * 500).encode()
+    whole = sketch_texts([text], 4)[0].tolist()
+    assert sketch_texts([text], 4, size=50)[0].tolist() == whole
+    assert sketch_texts([b"a b  c"], 4, size=2)[0].tolist() == sketch_texts([b"a b c"], 4)[0].tolist()
+    assert sketch_texts([b" " * 99], 4, size=5)[0].tolist() == []
+
+
+def test_union_of_sketches_is_the_sketch_of_the_union(spark):
+    texts = random_texts(40, 3, 30)
+    rows = spark.createDataFrame([(i, t, i % 3) for i, t in enumerate(texts)], "doc_id long, text string, g int")
+    made = fingerprint.sketches(rows, one_in=4).join(rows.select("doc_id", "g"), "doc_id")
+    got = {}
+    for r in fingerprint.merged(made, "g", one_in=4).collect():
+        got.setdefault(r.group, []).append(r.hash)
+    every = sketch_texts([t.encode() for t in texts], 1)
+    for g in range(3):
+        union = np.unique(np.concatenate(every[g::3]))
+        assert sorted(got[g]) == (union[union < threshold(4)].tolist() or union[:1].tolist())
+    short = spark.createDataFrame([(9, [threshold(4) + 5], 1), (8, [threshold(4) + 7], 1)], "doc_id long, sketch array<long>, g int")
+    assert [tuple(r) for r in fingerprint.merged(short, "g", one_in=4).collect()] == [(1, threshold(4) + 5)]
+
+
+def test_containment_of_unequal_documents(spark):
+    rng = random.Random(4)
+    book = [f"w{rng.randrange(10**6)}" for _ in range(40_000)]
+    part, other = " ".join(book[1000:3000]), " ".join(f"v{i}" for i in range(2000))
+    rows = spark.createDataFrame([(1, " ".join(book)), (2, part), (3, other), (4, "")], "doc_id long, text string")
+    made = fingerprint.sketches(rows)
+    pairs = made.alias("a").join(made.alias("b"), F.col("b.doc_id") == 1).select(
+        F.col("a.doc_id").alias("a"),
+        fingerprint.containment(F.col("a.sketch"), F.col("b.sketch")).alias("inside"),
+        fingerprint.likeness(F.col("a.sketch"), F.col("b.sketch")).alias("near"),
+    )
+    got = {r.a: r for r in pairs.collect()}
+    assert got[2].inside == 1.0 and abs(got[2].near - 0.05) < 0.02
+    assert got[3].inside == 0.0 and got[4].inside == 1.0 and got[1].inside == 1.0
+    groups = fingerprint.merged(made.withColumn("g", F.col("doc_id") % 2), "g")
+    found = {(r.doc_id, r.group): r.containment for r in fingerprint.contained_in(made, groups).collect()}
+    assert found[2, 1] == 1.0 and found[3, 1] == 1.0 and (3, 0) not in found
+    short = spark.createDataFrame([([threshold() + 1], [5, 6])], "a array<long>, b array<long>")
+    assert short.select(fingerprint.containment(F.col("a"), F.col("b"))).first()[0] is None
+
+
+def plain_successors(rows):
+    """(id, n_chars, sha, likeness to edited, likeness to next) with exact likeness, as a sorted list."""
+    out = []
+    for (doc_id, text), (_, after) in zip(rows, rows[1:] + rows[:1]):
+        last = len(text) // 3
+        changed = text[: len(text) - last] + after[:last]
+        out.append((doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest(), near(shingles(text), shingles(changed)), near(shingles(text), shingles(after))))
+    return sorted(out, key=str)
+
+
+def run(df):
+    return sorted(
+        (
+            (r.doc_id, r.n_chars, r.edited_sha256, r.a, r.b)
+            for r in df.select(
+                "*",
+                fingerprint.likeness(F.col("sketch"), F.col("edited_sketch")).alias("a"),
+                fingerprint.likeness(F.col("sketch"), F.col("next_sketch")).alias("b"),
+            ).collect()
+        ),
+        key=str,
+    )
+
+
+@pytest.mark.parametrize("cell_rows", [1000, 3])
+def test_every_text_meets_the_next(spark, monkeypatch, cell_rows):
+    monkeypatch.setattr(fingerprint, "CELL_ROWS", cell_rows)
+    rows = [(i * 7 % 101, t) for i, t in enumerate(random_texts(101, 5))]
+    docs = spark.createDataFrame([(i, t, "c", 1) for i, t in rows], "doc_id long, text string, cell string, times int")
+    want = plain_successors(order(rows))
+    assert run(fingerprint.successors(docs, one_in=1)) == want
+    assert run(fingerprint.successors(docs.repartition(5), one_in=1)) == want
+
+
+def test_null_ids_repeats_and_small_tables(spark, monkeypatch):
+    monkeypatch.setattr(fingerprint, "CELL_ROWS", 4)
+    monkeypatch.setattr(fingerprint, "BLOCK", 7)
+    schema = "doc_id long, text string"
+    same = [(5, "the same words in each of the copies here")] * 30
+    rows = [(9, "first of all the texts that there are"), *same, (2, None), (2, None), (1, "x"), (None, "the last one of them all, without id")]
+    got = run(fingerprint.successors(spark.createDataFrame(rows, schema).repartition(3), one_in=1))
+    assert got == plain_successors([(i, t or "") for i, t in rows])
+    many = [(None, t) for t in random_texts(50, 6)] + [(3, "three")]
+    got = fingerprint.successors(spark.createDataFrame(many, schema), one_in=1).collect()
+    assert sorted(r.n_chars for r in got) == sorted(len(t) for _, t in many)
+    alone = spark.createDataFrame([(1, "a b c d e f g h i")], schema)
+    assert run(fingerprint.successors(alone, one_in=1)) == plain_successors([(1, "a b c d e f g h i")])
+    names = spark.createDataFrame([("b", "one"), ("a", "two"), ("c", "three")], "doc_id string, text string")
+    assert run(fingerprint.successors(names, one_in=1)) == plain_successors([("c", "three"), ("b", "one"), ("a", "two")])
+    assert fingerprint.successors(alone.limit(0)).count() == 0
+
+
+def test_query(spark):
+    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    text = dict(docs)
+    got = {r.doc_id: r for r in queries.QUERIES["op11_fingerprint"](spark, SF).collect()}
+    off = []
+    for doc_id, n, sha, near_edited, near_next in plain_successors(order(docs)):
+        r = got.pop(doc_id)
+        assert (r.n_chars, r.edited_sha256) == (n, sha)
+        kept = sketch_texts([text[doc_id].encode()])[0]
+        assert r.fingerprint == "".join(f"{h:016X}" for h in kept.tolist())
+        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+        off += [abs(r.near_edited - near_edited), abs(r.near_next - near_next)]
+    assert not got and statistics.mean(off) < 0.05
