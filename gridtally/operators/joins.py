@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridtally.functions import times
-from gridtally.operators.keys import all_present, assert_unique
+from gridtally.operators.keys import all_present, require_unique
 
-_FROM, _TO, _CUT, _END, _PART_KEY, _RANK = "__from", "__to", "__cut", "__end", "__part_key", "__rank"
+_FROM, _TO, _CUT, _END = "__from", "__to", "__cut", "__end"
+_PART_KEY, _RANK, _PLACE = "__part_key", "__rank", "__place"
 
 
 def _hinted(df: DataFrame, strategy: str | None) -> DataFrame:
@@ -28,12 +29,13 @@ def lookup_left(
     Spark broadcasts the lookup if its bytes are below the session's threshold and
     shuffles otherwise, where adaptive skew handling splits the readings of a busy
     key. ``strategy`` is a join hint that overrides this. With ``unique`` the job
-    fails if the lookup would multiply readings.
+    fails if the lookup would multiply readings; this check runs beside the join and
+    leaves the lookup's partitioning alone, so that skew handling still applies.
     """
     keys = list(on.values())
     usable = dim.filter(all_present(keys))
     if unique:
-        usable = assert_unique(usable, keys, "lookup")
+        usable = require_unique(usable, keys, "lookup")
     renamed = {k: f"__key_{k}" for k in keys}
     usable = _hinted(usable.withColumnsRenamed(renamed), strategy)
     condition = [F.col(f) == F.col(renamed[k]) for f, k in on.items()]
@@ -59,6 +61,16 @@ def _bounded(dim: DataFrame, intervals: list[tuple[str, str]]) -> DataFrame:
     )
 
 
+def _tree_nodes(low: str, high: str) -> Column:
+    """The nodes (level, number) of a binary tree that together span the places [low, high)."""
+    first = f"shiftright({low} + shiftleft(1L, k) - 1, k)"
+    last = f"shiftright({high}, k)"
+    left = f"if({first} < {last} and {first} % 2 = 1, named_struct('level', k, 'number', {first}), null)"
+    right = f"if({first} < {last} and {last} % 2 = 1, named_struct('level', k, 'number', {last} - 1), null)"
+    levels = f"transform(sequence(0, length(bin({high}))), k -> array({left}, {right}))"
+    return F.expr(f"array_compact(flatten({levels}))")
+
+
 def disjoint_validity(
     dim: DataFrame, key: str, intervals: list[tuple[str, str]], order: list[Column]
 ) -> DataFrame:
@@ -66,25 +78,48 @@ def disjoint_validity(
 
     Where rows overlap, the first one in ``order`` is valid; the columns settle
     what the order leaves open, so the choice does not depend on the input order.
-    Works on the dimension alone, at a cost that grows with the pairs of rows of a
-    key that overlap. The part is in the added bound columns.
+    The part is in the added bound columns.
+
+    Works on the dimension alone. The borders of a key's rows are its places. A row
+    is noted at the few nodes of a binary tree over the places that make up its span,
+    a node keeps its first row, and a place takes the first row of the nodes above it.
+    So n rows of one key cost n log n, also if all of them overlap. Neighbouring parts
+    of one row are put together.
     """
     rows = _bounded(dim, intervals).filter(F.col(key).isNotNull()).distinct()
+    rest = [F.col(c).desc_nulls_last() for c in dim.columns]
+    rows = rows.withColumn(_RANK, F.row_number().over(Window.partitionBy(key).orderBy(*order, *rest)))
     border = F.explode(F.array(F.col(_FROM), F.col(_TO) + 1)).alias(_CUT)
-    cuts = rows.select(F.col(key).alias(_PART_KEY), border).distinct()
-    following = F.lead(_CUT).over(Window.partitionBy(_PART_KEY).orderBy(_CUT)) - 1
-    parts = cuts.withColumn(_END, following).filter(F.col(_END).isNotNull())
-    covered = parts.join(
-        rows,
-        (F.col(_PART_KEY) == F.col(key)) & (F.col(_FROM) <= F.col(_CUT)) & (F.col(_TO) >= F.col(_END)),
+    by_cut = Window.partitionBy(_PART_KEY).orderBy(_CUT)
+    placed = rows.select(F.col(key).alias(_PART_KEY), _RANK, border).withColumn(
+        _PLACE, F.dense_rank().over(by_cut).cast("long") - 1
     )
-    rest = [F.col(c).desc_nulls_last() for c in dim.columns]
-    first = F.row_number().over(Window.partitionBy(_PART_KEY, _CUT).orderBy(*order, *rest))
-    return (
-        covered.withColumn(_RANK, first)
-        .filter(F.col(_RANK) == 1)
-        .select(*dim.columns, F.col(_CUT).alias(_FROM), F.col(_END).alias(_TO))
+    spans = placed.groupBy(_PART_KEY, _RANK).agg(F.min(_PLACE).alias("__low"), F.max(_PLACE).alias("__high"))
+    noted = spans.select(_PART_KEY, _RANK, F.inline(_tree_nodes("__low", "__high")))
+    node = [_PART_KEY, "level", "number"]
+    best = noted.groupBy(*node).agg(F.min(_RANK).alias(_RANK))
+
+    parts = (
+        placed.select(_PART_KEY, _CUT, _PLACE)
+        .distinct()
+        .withColumn(_END, F.lead(_CUT).over(by_cut) - 1)
+        .withColumn("__high", F.max(_PLACE).over(Window.partitionBy(_PART_KEY)))
+        .filter(F.col(_END).isNotNull())
+    )
+    above = parts.withColumn("level", F.explode(F.expr("sequence(0, length(bin(__high)))")))
+    above = above.withColumn("number", F.expr(f"shiftright({_PLACE}, level)"))
+    won = above.join(best, node).groupBy(_PART_KEY, _CUT, _END).agg(F.min(_RANK).alias(_RANK))
+    fresh = (F.lag(_RANK).over(by_cut) != F.col(_RANK)) | (F.lag(_END).over(by_cut) != F.col(_CUT) - 1)
+    whole = (
+        won.withColumn("__fresh", fresh)
+        .withColumn("__run", F.sum(F.coalesce("__fresh", F.lit(True)).cast("int")).over(by_cut))
+        .groupBy(_PART_KEY, _RANK, "__run")
+        .agg(F.min(_CUT).alias(_CUT), F.max(_END).alias(_END))
+        .withColumnRenamed(_RANK, "__won")
     )
+    rows = rows.drop(_FROM, _TO)
+    chosen = rows.join(whole, (F.col(key) == F.col(_PART_KEY)) & (F.col(_RANK) == F.col("__won")))
+    return chosen.select(*dim.columns, F.col(_CUT).alias(_FROM), F.col(_END).alias(_TO))
 
 
 def validity_join(
@@ -106,8 +141,9 @@ def validity_join(
     An equi join on the key with the interval as a further condition. Readings
     are read once and no validity row is copied. Spark broadcasts a small
     dimension by its bytes; otherwise adaptive skew handling splits the readings
-    of a busy device over several tasks, whatever their epochs are. ``strategy``
-    is a join hint that overrides the choice.
+    of a busy device over several tasks, whatever their epochs are: the parts that
+    ``order`` leaves are partitioned by device and row, so the join shuffles both sides.
+    ``strategy`` is a join hint that overrides the choice.
     """
     fact_key, dim_key = on
     if order is None:

@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timezone
 
 import pytest
@@ -244,25 +245,116 @@ def skew_handling(spark):
         spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def test_a_hot_device_spreads_over_tasks(spark, skew_handling):
-    key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("d"), F.col("id") % 5000))
-    # one reading is far off, as from a device with a bad clock
+def task_sizes(df, column):
+    """Rows by task of a join; the counting reads the join's own tasks."""
+    sizes = df.withColumn("task", F.spark_partition_id()).select("task", column)
+    counts = {}
+    for r in sizes.collect():
+        counts[r.task] = counts.get(r.task, 0) + 1
+    return counts, sizes._jdf.queryExecution().executedPlan().toString()
+
+
+def busy_readings(spark, share):
+    """Readings of which every ``share``-th is of one device; one reading is far off, as from a bad clock."""
+    key = F.when(F.col("id") % share == 0, "hot").otherwise(F.concat(F.lit("d"), F.col("id") % 5000))
     at = F.when(F.col("id") == 9, 253370782800).otherwise((F.col("id") * 7919) % 200000)
-    fact = spark.range(0, 60000, 1, 16).select(key.alias("meter"), at.alias("at"), "id")
-    dim = fact.select(F.col("meter").alias("device")).distinct().select(
-        "device", F.lit(0).cast("long").alias("lo"), F.lit(10**12).alias("hi")
+    return spark.range(0, 60000, 1, 16).select(key.alias("meter"), at.alias("at"), "id")
+
+
+@pytest.fixture(scope="module")
+def stored_dims(spark, tmp_path_factory):
+    """A lookup and a validity dimension as stored tables."""
+    base = str(tmp_path_factory.mktemp("dims"))
+    devices = busy_readings(spark, 3).select("meter").distinct()
+    devices.select(F.col("meter").alias("device"), F.length("meter").alias("width")).write.parquet(f"{base}/lookup")
+    halves = F.explode(F.array(F.lit(0), F.lit(1)))
+    rows_ = devices.select(
+        F.col("meter").alias("device"),
+        halves.alias("half"),
+    ).select(
+        "device",
+        (F.col("half") * 100_000).cast("long").alias("lo"),
+        F.when(F.col("half") == 0, 150_000).otherwise(10**12).alias("hi"),
+    )
+    rows_.write.parquet(f"{base}/validity")
+    return spark.read.parquet(f"{base}/lookup"), spark.read.parquet(f"{base}/validity")
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_a_busy_channel_spreads_over_tasks(spark, skew_handling, stored_dims, unique):
+    lookup, _ = stored_dims
+    found = lookup_left(busy_readings(spark, 3), lookup, {"meter": "device"}, unique=unique)
+    counts, plan = task_sizes(found, "id")
+    assert sum(counts.values()) == 60000
+    assert "skew=true" in plan
+    assert max(counts.values()) < 0.15 * 60000
+
+
+@pytest.mark.parametrize("ordered", [False, True])
+def test_a_hot_device_spreads_over_tasks(spark, skew_handling, stored_dims, ordered):
+    _, validity = stored_dims
+    order = newest_first(["lo"]) if ordered else None
+    if not ordered:
+        validity = validity.filter("lo > 0").withColumn("lo", F.lit(0).cast("long"))
+    valid = validity_join(busy_readings(spark, 3), validity, ("meter", "device"), "at", [("lo", "hi")], order=order)
+    counts, plan = task_sizes(valid, "id")
+    assert sum(counts.values()) == 60000
+    assert "skew=true" in plan
+    assert max(counts.values()) < 0.15 * 60000
+
+
+def test_batch_joins_split_a_busy_meter(spark, skew_handling, tmp_path):
+    """The joins as the batch job runs them: unit lookup, then validity with its order."""
+    names = [c for c in config.VALIDITY_COLUMNS if c not in ("mfr_devc_ser_nbr", "co_cd_ownr")]
+    bounds = {"mtr_inst_ts": "2020-01-01 00:00:00", "mtr_rmvl_ts": config.OPEN_END, "acct_turn_on_dt": "2020-01-01", "acct_turn_off_dt": config.OPEN_END}
+    readings = busy_readings(spark, 3).withColumnsRenamed({"meter": "metername"}).withColumns(
+        {"unix_endtime": F.lit(1_700_000_000) + F.col("id"), "channel": F.when(F.col("id") % 3 == 1, "1").otherwise(F.col("id") % 4000), "uom": F.lit("kwh"), "intervallength": F.lit("15")}
     )
-    valid = validity_join(fact, dim, ("meter", "device"), "at", [("lo", "hi")])
-    assert "SortMergeJoin" in valid._jdf.queryExecution().executedPlan().toString()
-    found = lookup_left(fact, dim.drop("hi"), {"meter": "device"})
-    # the writes keep the tasks of the join; reading them back counts their rows
-    for joined in (valid, found):
-        assert joined.count() == 60000
-        sizes = joined.withColumn("task", F.spark_partition_id()).select("task", "id").collect()
-        counts = {}
-        for r in sizes:
-            counts[r.task] = counts.get(r.task, 0) + 1
-        assert max(counts.values()) < 0.15 * 60000
+    readings = readings.withColumn("channel", F.col("channel").cast("string"))
+    dim = readings.select(F.col("metername").alias("mfr_devc_ser_nbr")).distinct()
+    dim = dim.withColumns({"co_cd_ownr": F.lit("07"), **{n: F.lit(bounds.get(n, n)) for n in names}})
+    dim.select(*config.VALIDITY_COLUMNS).write.parquet(f"{tmp_path}/validity")
+    units_ = spark.range(4000).select(
+        F.col("id").cast("string").alias("aep_channel_id"), F.lit("kwh").alias("aep_derived_uom"), F.lit("E").alias("name_register"),
+        F.lit("TOT").alias("aep_srvc_qlty_idntfr"), F.lit("N").alias("value_mltplr_flg"),
+    )
+    units_.write.parquet(f"{tmp_path}/units")
+    stored = views.prepare_validity_dim(spark.read.parquet(f"{tmp_path}/validity"), ("07",))
+    enriched = views.enrich_units(readings, spark.read.parquet(f"{tmp_path}/units"))
+    counts, plan = task_sizes(enriched, "id")
+    assert "skew=true" in plan and max(counts.values()) < 0.15 * 60000
+    counts, plan = task_sizes(views.enrich_premise(enriched, stored), "id")
+    assert sum(counts.values()) == 60000
+    assert plan.count("skew=true") >= 2 and max(counts.values()) < 0.15 * 60000
+
+
+def test_many_overlapping_rows_of_one_device(spark):
+    """Thousands of open-ended rows of a placeholder device stay far from all pairs."""
+    n = 20_000
+    rows_ = spark.range(n).select(
+        F.lit("none").alias("device"), (F.col("id") * 10).alias("lo"), F.lit(10**12).alias("hi"), F.col("id").alias("row")
+    )
+    parts = disjoint_validity(rows_, "device", [("lo", "hi")], newest_first(["lo"]))
+    got = rows(parts.agg(F.count("*"), F.sum(F.col("__to") - F.col("__from") + 1), F.count_if(F.col("__from") == F.col("row") * 10)))
+    assert got == [(n, 10**12 + 1, n)]
+    first = disjoint_validity(rows_, "device", [("lo", "hi")], [F.asc("lo")])
+    assert rows(first.select("row", "__from", "__to")) == [(0, 0, 10**12)]
+
+
+def test_settled_rows_equal_brute_force(spark):
+    rng = random.Random(3)
+    data = []
+    for i in range(150):
+        low = rng.randrange(40)
+        data.append((f"d{rng.randrange(6)}", low, low + rng.randrange(-1, 25), rng.randrange(3), i % 140))
+    dim = spark.createDataFrame(data, "device string, lo long, hi long, grade int, row int")
+    parts = disjoint_validity(dim, "device", [("lo", "hi")], newest_first(["grade"])).collect()
+    for device in {d[0] for d in data}:
+        for at in range(70):
+            valid = {d for d in data if d[0] == device and d[1] <= at <= d[2]}
+            best = max(valid, key=lambda d: (d[3], *[d[i] for i in range(5)]), default=None)
+            hit = [p for p in parts if p.device == device and p["__from"] <= at <= p["__to"]]
+            assert [tuple(p)[:5] for p in hit] == ([best] if best else [])
 
 
 def test_the_dimension_is_not_copied(spark):
