@@ -213,6 +213,8 @@ BUSINESS_KEY = _names(
     "aep_usage_dt aep_meter_bucket serialnumber aep_channel_id aep_raw_uom endtimeperiod"
 )
 CONSUME_PARTITIONS = ["aep_usage_dt"]
+#: Layout of a consume table whose tenants are written at once.
+TENANT_PARTITIONS = ["aep_usage_dt", "aep_opco"]
 INCREMENTAL_PARTITIONS = ["aep_opco", "run_date"]
 AUDIT_COLUMNS = ["hdp_insert_dttm", "hdp_update_dttm"]
 

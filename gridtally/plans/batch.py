@@ -14,7 +14,7 @@ from gridtally.functions import times
 from gridtally.operators.flatten import flatten_readings
 from gridtally.plans import views
 from gridtally.session import drop_path, work_path
-from gridtally.sinks.staging import batch_metrics, stage, write_partitions
+from gridtally.sinks.staging import Watched, batch_metrics, stage_counted, write_partitions
 from gridtally.sinks.tables import publish_incremental, write_merge
 from gridtally.sources.documents import file_count, read_documents
 from gridtally.sources.files import marked_directories, refuse_hidden
@@ -48,9 +48,15 @@ def transform(
     label: str,
 ) -> DataFrame:
     """Raw documents to one output row per business key."""
+    return transform_readings(flatten_readings(documents, label), units, validity, tenant, run_ts)
+
+
+def transform_readings(
+    flat: DataFrame, units: DataFrame, validity: DataFrame, tenant: Tenant, run_ts: datetime
+) -> DataFrame:
+    """Flat readings to one output row per business key; readings without an instant are left out."""
     dim = views.prepare_validity_dim(validity, tenant.company_codes, tenant.dimension_zone)
-    placed = flatten_readings(documents, label).filter(F.col("unix_endtime").isNotNull())
-    readings = views.dedup_readings(placed)
+    readings = views.dedup_readings(flat.filter(F.col("unix_endtime").isNotNull()))
     return views.readings_view(readings, unit_map(units, tenant.code), dim, tenant, run_ts)
 
 
@@ -68,6 +74,8 @@ def run_batch(
     rejected_path: str | None = None,
     days: int = config.RETENTION_DAYS,
     keep_work: bool = False,
+    tenants_apart: bool = False,
+    wait: float = 0.0,
 ) -> BatchResult:
     """Process the directories whose marker landed in [batch_start, batch_end).
 
@@ -77,6 +85,13 @@ def run_batch(
     and the incremental publish both read the latter, and are deleted at the
     end, also of a batch that fails, unless ``keep_work`` is set. Readings without
     an instant are counted and, if ``rejected_path`` is given, stored there by run.
+    Rows are counted while they are written; documents are flattened a second time only
+    if there are readings to reject.
+
+    One batch at a time writes the consume table; another one waits up to ``wait`` seconds
+    for it and then fails. With ``tenants_apart`` the table has a folder per usage date
+    and tenant, and batches of different tenants write at once; keys are then matched
+    within the tenant.
     """
     zone = tenant.dimension_zone
     directories = marked_directories(
@@ -92,20 +107,30 @@ def run_batch(
 
     work = [work_path(spark, name) for name in ("documents", "rejected", "readings")]
     try:
-        documents = stage(scanned, work[0])
-        if documents.isEmpty():
+        documents, n_documents = stage_counted(scanned, work[0])
+        if not n_documents:
             return BatchResult(empty=True, files=files)
         label = times.batch_label(datetime.fromisoformat(batch_end))
-        lost = flatten_readings(documents, label).filter(F.col("unix_endtime").isNull())
-        rejected = stage(lost.withColumn("run_date", F.lit(times.run_date(run_ts))), work[1])
-        if rejected_path is not None:
-            write_partitions(rejected, rejected_path, ["run_date"])
-        output = stage(transform(documents, units, validity, tenant, run_ts, label), work[2])
+        lost = F.col("unix_endtime").isNull()
+        flat = Watched(flatten_readings(documents, label), lost)
+        output, n_readings = stage_counted(
+            transform_readings(flat.df, units, validity, tenant, run_ts), work[2]
+        )
+        n_rejected = 0
+        if flat.any():
+            stamp = F.lit(times.run_date(run_ts))
+            rejects = flatten_readings(documents, label).filter(lost).withColumn("run_date", stamp)
+            rejected, n_rejected = stage_counted(rejects, work[1])
+            if rejected_path is not None:
+                write_partitions(rejected, rejected_path, ["run_date"])
         usage_dates = write_merge(
             views.consume_rows(output),
             consume_path,
             on_update={"hdp_update_user": F.lit(config.UPDATE_USER)},
             on_insert={"hdp_update_user": F.lit(config.INSERT_USER)},
+            partition_by=config.TENANT_PARTITIONS if tenants_apart else config.CONSUME_PARTITIONS,
+            scope=tenant.code if tenants_apart else None,
+            wait=wait,
         )
         expired = publish_incremental(
             views.incremental_rows(output, tenant, run_ts),
@@ -117,9 +142,9 @@ def run_batch(
         return BatchResult(
             empty=False,
             files=files,
-            documents=batch_metrics(documents),
-            readings=batch_metrics(output),
-            rejected=rejected.count(),
+            documents=batch_metrics(documents, n_documents),
+            readings=batch_metrics(output, n_readings),
+            rejected=n_rejected,
             usage_dates=sorted(usage_dates, key=str),
             expired_runs=expired,
         )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridtally.session import shared_folder
@@ -26,6 +26,16 @@ def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     )
 
 
+def _laid_out(df: DataFrame, partition_by: list[str] | None, max_partitions: int | None) -> DataFrame:
+    grouped = by_partition(df, partition_by) if partition_by else df
+    return grouped if max_partitions is None else grouped.coalesce(max_partitions)
+
+
+def _write(rows: DataFrame, like: DataFrame, path: str, partition_by: list[str] | None) -> DataFrame:
+    rows.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
+    return like.sparkSession.read.schema(like.schema).parquet(path).select(*like.columns)
+
+
 def stage(
     df: DataFrame,
     path: str,
@@ -38,10 +48,41 @@ def stage(
     partition has few files; else they are written where they are.
     ``max_partitions`` bounds the number of write tasks.
     """
-    grouped = by_partition(df, partition_by) if partition_by else df
-    bounded = grouped if max_partitions is None else grouped.coalesce(max_partitions)
-    bounded.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    return _write(_laid_out(df, partition_by, max_partitions), df, path, partition_by)
+
+
+def stage_counted(
+    df: DataFrame,
+    path: str,
+    partition_by: list[str] | None = None,
+    max_partitions: int | None = None,
+) -> tuple[DataFrame, int]:
+    """``stage``, and how many rows were written, without a scan of its own.
+
+    The rows are counted where they are written: behind every shuffle, in the tasks
+    of the write, of which Spark counts one successful attempt each. A stage that is
+    repeated after a lost executor therefore counts no row twice.
+    """
+    seen = Observation()
+    rows = _laid_out(df, partition_by, max_partitions).observe(seen, F.count(F.lit(1)).alias("rows"))
+    staged = _write(rows, df, path, partition_by)
+    return staged, int(seen.get["rows"])
+
+
+class Watched:
+    """A frame whose rows that meet a condition are noticed while something else is computed from it.
+
+    Counts before a shuffle may be too high, if Spark repeats a stage, but never miss a
+    row, so ``any`` is certain and a number is not given.
+    """
+
+    def __init__(self, df: DataFrame, condition: Column):
+        self._seen = Observation()
+        self.df = df.observe(self._seen, F.count_if(condition).alias("met"))
+
+    def any(self) -> bool:
+        """Whether a row met the condition; waits for the first action on the frame."""
+        return self._seen.get["met"] > 0
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -52,6 +93,6 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def batch_metrics(df: DataFrame) -> dict[str, int]:
-    """Rows and partitions of a staged frame."""
-    return {"rows": df.count(), "partitions": df.rdd.getNumPartitions()}
+def batch_metrics(df: DataFrame, rows: int | None = None) -> dict[str, int]:
+    """Rows and partitions of a staged frame; the rows are counted unless they are known."""
+    return {"rows": df.count() if rows is None else rows, "partitions": df.rdd.getNumPartitions()}

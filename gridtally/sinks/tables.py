@@ -7,6 +7,7 @@ the row-level commands of a catalog table that supports them.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import reduce
 
@@ -16,10 +17,14 @@ from pyspark.sql import functions as F
 from gridtally import config
 from gridtally.functions import times
 from gridtally.operators.merge import merge_upsert, retention_cutoff
+from gridtally.sinks.folders import Folder, Lease, leased, scope_name
 from gridtally.sinks.staging import by_partition, write_partitions
 from gridtally.sources.files import escaped
 
 _SWAP = "_swap-"
+_BATCH = "_batch-"
+#: Partitions that the driver swaps in at a time.
+SWAP_THREADS = 8
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -38,70 +43,74 @@ def partition_values(df: DataFrame, column: str) -> list:
     return [r[0] for r in df.select(column).distinct().collect()]
 
 
-class _Folder:
-    """A folder of any file system that Spark knows."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self._hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-        self.path = path.rstrip("/")
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        self._system = self._hadoop.Path(self.path).getFileSystem(conf)
+def partition_folder(column: str, value: object) -> str:
+    """The name of a partition's folder."""
+    if value is None or value == "":
+        return f"{column}={NULL_PARTITION}"
+    hostile = set('"#%\'*/:=?\\\x7f{[]^') | {chr(c) for c in range(1, 32)}
+    return f"{column}=" + "".join(f"%{ord(c):02X}" if c in hostile else c for c in str(value))
 
-    def _at(self, name: str):
-        return self._hadoop.Path(f"{self.path}/{name}" if name else self.path)
 
-    def has(self, name: str = "") -> bool:
-        return self._system.exists(self._at(name))
+def _leaves(folder: Folder, name: str) -> list[str]:
+    """The innermost partition folders below a folder, relative to it."""
+    inner = [n for n in folder.names(name) if "=" in n]
+    return [f"{n}/{leaf}" if leaf else n for n in inner for leaf in _leaves(folder, f"{name}/{n}")] or [""]
 
-    def names(self, name: str = "") -> list[str]:
-        if not self.has(name):
-            return []
-        return [entry.getPath().getName() for entry in self._system.listStatus(self._at(name))]
 
-    def delete(self, name: str) -> None:
-        if self.has(name) and not self._system.delete(self._at(name), True):
-            raise OSError(f"could not delete {name} in {self.path}")
+def _swap_in(folder: Folder, scope: str, lease: Lease) -> None:
+    """Put what complete swaps hold into its place, and drop the others.
 
-    def move(self, name: str, to: str) -> None:
-        if not self._system.rename(self._at(name), self._at(to)):
-            raise OSError(f"could not move {name} to {to} in {self.path}")
+    Only the holder of the lease comes here, so a swap without its mark of success
+    belongs to a writer that is gone. Every step can be repeated.
+    """
+    prefix = f"{_SWAP}{scope_name(scope)}-"
+    for swap in sorted(n for n in folder.names() if n.startswith(prefix)):
+        if "_SUCCESS" in folder.names(swap):
+
+            def replace(leaf: str) -> None:
+                lease.check()
+                folder.delete(leaf)
+                folder.move(f"{swap}/{leaf}", leaf)
+
+            leaves = [leaf for leaf in _leaves(folder, swap) if leaf]
+            with ThreadPoolExecutor(SWAP_THREADS) as pool:
+                list(pool.map(replace, leaves))
+            lease.check()
+            stream, _, number = swap.removeprefix(prefix).partition("-")[2].rpartition("-")
+            if stream:
+                folder.write(f"{_BATCH}{stream}", number)
+        lease.check()
+        folder.delete(swap)
 
 
-def partition_folder(column: str, value: object) -> str:
-    """The name of a partition's folder."""
-    if value is None or value == "":
-        return f"{column}={NULL_PARTITION}"
-    hostile = set('"#%\'*/:=?\\\x7f{[]^') | {chr(c) for c in range(1, 32)}
-    return f"{column}=" + "".join(f"%{ord(c):02X}" if c in hostile else c for c in str(value))
+def last_batch(folder: Folder, stream: str) -> int:
+    """The number of the stream's last batch in the table; -1 if there is none."""
+    name = f"{_BATCH}{scope_name(stream)}"
+    return int(folder.read(name)) if folder.has(name) else -1
 
 
-def finish_swaps(spark: SparkSession, path: str) -> None:
+def finish_swaps(spark: SparkSession, path: str, scope: str = "", wait: float = 0.0) -> None:
     """Put complete partitions that an interrupted upsert left aside into their place.
 
-    A set of new partitions counts as complete once its write has succeeded. Every
-    step can be repeated: what is still aside replaces what is in place.
+    A set of new partitions counts as complete once its write has succeeded. Fails while
+    another writer holds the table.
     """
-    folder = _Folder(spark, path)
-    for swap in sorted(n for n in folder.names() if n.startswith(_SWAP)):
-        entries = folder.names(swap)
-        if "_SUCCESS" in entries:
-            for name in entries:
-                if "=" in name:
-                    folder.delete(name)
-                    folder.move(f"{swap}/{name}", name)
-        folder.delete(swap)
+    with leased(spark, path, scope, wait) as lease:
+        _swap_in(lease.folder, scope, lease)
 
 
-def read_partitions(spark: SparkSession, path: str, schema: str, column: str, values: list) -> DataFrame:
-    """The rows of the given partitions; no other folder is listed."""
-    folder = _Folder(spark, path)
-    there = [n for n in dict.fromkeys(partition_folder(column, v) for v in values) if folder.has(n)]
+def read_partitions(
+    spark: SparkSession, path: str, schema: str, columns: list[str], values: list[tuple]
+) -> DataFrame:
+    """The rows of the given partitions, each named by its values; no other folder is listed."""
+    folder = Folder(spark, path)
+    names = ["/".join(partition_folder(c, v) for c, v in zip(columns, place)) for place in values]
+    there = [n for n in dict.fromkeys(names) if folder.has(n)]
     if not there:
         return spark.createDataFrame([], schema)
     reader = spark.read.schema(schema).option("basePath", path)
     stored = reader.parquet(*[escaped(f"{path.rstrip('/')}/{n}") for n in there])
-    names = spark.createDataFrame([], schema).columns
-    return stored.select(*names)
+    return stored.select(*spark.createDataFrame([], schema).columns)
 
 
 def write_merge(
@@ -113,24 +122,46 @@ def write_merge(
     partition_by: list[str] = config.CONSUME_PARTITIONS,
     on_update: dict[str, Column] | None = None,
     on_insert: dict[str, Column] | None = None,
+    scope: str | None = None,
+    wait: float = 0.0,
+    batch: tuple[str, int] | None = None,
 ) -> list:
-    """Upsert ``source`` into a partitioned path and return the touched partitions.
+    """Upsert ``source`` into a partitioned path and return the touched values of its first level.
 
     Only the folders of partitions that occur in the source are listed, read and
-    replaced. The new partitions are written aside first and then swapped in one by
-    one; a run that was interrupted in between is finished by the next one. Pass a
-    staged source: it is read more than once.
+    replaced. The new partitions are written aside first and then swapped in; a run that
+    was interrupted in between is finished by the next one. Pass a staged source: it is
+    read more than once.
+
+    One writer at a time: a second one waits up to ``wait`` seconds and then fails with
+    ``TableBusy``; one that was taken for dead fails with ``LeaseLost`` before it replaces
+    anything. With ``scope`` the lease is that of one value of the last partition level,
+    such as a tenant: writers of different scopes do not meet, and a source with rows
+    of another scope is refused. Keys are then matched within the scope.
+
+    ``batch`` is the name of a stream and the number of its batch. A batch that the table
+    holds already changes nothing; its number is stored with the swap it came in.
     """
     spark = source.sparkSession
-    finish_swaps(spark, path)
-    touched = partition_values(source, partition_by[0])
-    if touched:
-        target = read_partitions(spark, path, schema, partition_by[0], touched)
-        merged = merge_upsert(target, source, keys, update_cols, on_update, on_insert)
-        swap = f"{path.rstrip('/')}/{_SWAP}{uuid.uuid4().hex}"
-        by_partition(merged, partition_by).write.partitionBy(*partition_by).parquet(swap)
-        finish_swaps(spark, path)
-    return touched
+    lease_of = "" if scope is None else scope
+    with leased(spark, path, lease_of, wait) as lease:
+        _swap_in(lease.folder, lease_of, lease)
+        if batch is not None and batch[1] <= last_batch(lease.folder, batch[0]):
+            return []
+        places = [tuple(r) for r in source.select(*partition_by).distinct().collect()]
+        if scope is not None:
+            foreign = sorted({str(p[-1]) for p in places if p[-1] != scope})
+            if foreign:
+                raise ValueError(f"rows of {partition_by[-1]} {foreign[0]} in an upsert of {scope}")
+        if places:
+            target = read_partitions(spark, path, schema, partition_by, places)
+            merged = merge_upsert(target, source, keys, update_cols, on_update, on_insert)
+            swap = f"{path.rstrip('/')}/{_SWAP}{scope_name(lease_of)}-{uuid.uuid4().hex}"
+            if batch is not None:
+                swap += f"-{scope_name(batch[0])}-{batch[1]}"
+            by_partition(merged, partition_by).write.partitionBy(*partition_by).parquet(swap)
+            _swap_in(lease.folder, lease_of, lease)
+    return list(dict.fromkeys(p[0] for p in places))
 
 
 def merge_into_table(

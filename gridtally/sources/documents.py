@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridtally import config
 from gridtally.sources.files import escaped
+from gridtally.sources.listing import listed_by_tasks
 
 
 def read_documents(
@@ -19,18 +20,19 @@ def read_documents(
     """One scan over all given files and directories, with a fixed schema.
 
     Directories are searched in depth for names that contain ``ext``. They are
-    listed once, here: ``file_count`` and every read of the frame see the same
+    listed once, here, by tasks: ``file_count`` and every read of the frame see the same
     files. By default a malformed document fails the job.
     """
     options = {**config.XML_OPTIONS, "rowTag": row_tag, "mode": mode}
-    return (
-        spark.read.format("xml")
-        .options(**options)
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", f"*{ext}*")
-        .schema(schema)
-        .load([escaped(p) for p in paths])
-    )
+    with listed_by_tasks(spark):
+        return (
+            spark.read.format("xml")
+            .options(**options)
+            .option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", f"*{ext}*")
+            .schema(schema)
+            .load([escaped(p) for p in paths])
+        )
 
 
 def file_count(docs: DataFrame) -> int:

@@ -7,7 +7,8 @@ leave out empty files, and markers usually are empty, so for a live store
 directories are then listed once, by the scan that reads them.
 
 Spark skips names that begin with ``_`` or ``.``. Data under such a name would be
-lost without a word, so ``refuse_hidden`` fails on it.
+lost without a word, so ``refuse_hidden`` fails on it; it looks at a listing of its own,
+made by tasks, that has such names too.
 """
 
 from __future__ import annotations
@@ -21,6 +22,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtally import config
+from gridtally.session import work_path
+from gridtally.sinks.staging import stage
+from gridtally.sources.listing import can_open, list_tree
 
 
 def qualified(spark: SparkSession, path: str) -> str:
@@ -46,21 +50,51 @@ def list_files(spark: SparkSession, paths: list[str], name_glob: str = "*") -> D
     )
 
 
-def refuse_hidden(spark: SparkSession, directories: list[str], ext: str = config.DATA_FILE_EXT) -> None:
-    """Fails if a data file below the directories has a name that Spark skips."""
+def _hidden_by_glob(spark: SparkSession, directories: list[str], ext: str) -> list[str]:
+    """Hidden data files below the directories, for file systems that only Spark can open."""
     context = spark.sparkContext
+    found: list[str] = []
+    by_parent: dict[str, list[str]] = {}
     for directory in directories:
-        level = escaped(directory)
+        parent, _, name = directory.rstrip("/").rpartition("/")
+        by_parent.setdefault(parent, []).append(escaped(name))
+    for parent, names in by_parent.items():
+        level = f"{escaped(parent)}/{{{','.join(names)}}}"
         while True:
             pattern = context._jvm.org.apache.hadoop.fs.Path(level + "/*")
             system = pattern.getFileSystem(context._jsc.hadoopConfiguration())
             if not system.globStatus(pattern):
                 break
             hidden = context._jvm.org.apache.hadoop.fs.Path(level + "/{_,.}*" + escaped(ext) + "*")
-            found = system.globStatus(hidden)
-            if found:
-                raise ValueError(f"{len(found)} data files with hidden names, such as {found[0].getPath()}")
+            found += [entry.getPath().toString() for entry in system.globStatus(hidden)]
             level += "/*"
+    return found
+
+
+def _refuse(paths: list[str], n: int) -> None:
+    if n:
+        raise ValueError(f"{n} data files with hidden names, such as {paths[0]}")
+
+
+def _is_data(ext: str) -> Column:
+    return F.contains(F.substring_index("path", "/", -1), F.lit(ext))
+
+
+def refuse_hidden(spark: SparkSession, directories: list[str], ext: str = config.DATA_FILE_EXT) -> None:
+    """Fails if a data file below the directories has a name that Spark skips, or lies in such a folder.
+
+    The directories are listed by tasks. A file system that Arrow cannot open is searched
+    by one pattern for each level instead.
+    """
+    if not directories:
+        return
+    if all(map(can_open, directories)):
+        lost = list_tree(spark, directories).filter(F.col("hidden") & _is_data(ext))
+        seen = lost.agg(F.count("*").alias("n"), F.min("path").alias("path")).first()
+        _refuse([seen["path"]], seen["n"])
+    else:
+        found = _hidden_by_glob(spark, directories, ext)
+        _refuse(sorted(found), len(found))
 
 
 def _below(path: Column, base: str) -> tuple[Column, Column]:
@@ -146,10 +180,16 @@ def delivered_files(
     """Data files (``dir``, ``path``) of the given directories; fails on hidden ones."""
     if not directories:
         return spark.createDataFrame([], "dir string, path string")
-    refuse_hidden(spark, directories, ext)
     directory, _ = _below(F.col("path"), qualified(spark, base))
-    files = list_files(spark, directories, f"*{escaped(ext)}*").filter(F.col("length") > min_size)
-    return files.select(directory.alias("dir"), "path")
+    if not all(map(can_open, directories)):
+        refuse_hidden(spark, directories, ext)
+        files = list_files(spark, directories, f"*{escaped(ext)}*").filter(F.col("length") > min_size)
+        return files.select(directory.alias("dir"), "path")
+    # one listing, which the check and the result both read
+    tree = stage(list_tree(spark, directories).filter(_is_data(ext)), work_path(spark, "listing"))
+    seen = tree.agg(F.count_if("hidden").alias("n"), F.min(F.when(F.col("hidden"), F.col("path"))).alias("path")).first()
+    _refuse([seen["path"]], seen["n"])
+    return tree.filter(F.col("length") > min_size).select(directory.alias("dir"), "path")
 
 
 def limit_files(files: DataFrame, n: int) -> DataFrame:

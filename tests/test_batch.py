@@ -14,7 +14,8 @@ from gridtally.plans import acceptance, views
 from gridtally.plans.batch import run_batch
 from gridtally.session import shared_folder, work_path
 from gridtally.sinks import tables
-from gridtally.sinks.staging import batch_metrics, materialize, stage
+from gridtally.sinks.staging import Watched, batch_metrics, materialize, stage, stage_counted
+from gridtally.sources import files
 from gridtally.sources.documents import file_count, read_documents
 from gridtally.sources.files import (
     delivered_files,
@@ -23,6 +24,7 @@ from gridtally.sources.files import (
     refuse_hidden,
     select_batch_files,
 )
+from gridtally.sources.listing import can_open, list_tree
 from gridtally.sources.tables import read_extract, read_parquet, read_table
 from test_operators import validity_row
 
@@ -293,6 +295,72 @@ def test_odd_names(spark, tmp_path):
         refuse_hidden(spark, directories)
 
 
+def rows_of(tree):
+    return sorted((r.path, r.length, r.hidden) for r in tree.collect())
+
+
+def test_listing_has_hidden_names(spark, tmp_path):
+    root = tmp_path / "in {box}"
+    for name in ("d 1/a.xml", "d 1/_b.xml", "d 1/x/.hid/c.xml", "d2/_part=1/d.xml", "d2/.a.xml.crc", "d2/e.xml._COPYING_", "d3/f.txt"):
+        landed(root / name, "1234", at(10))
+    directories = [f"file:{root}/d 1", f"file:{root}/d2", f"file:{root}/d3", f"file:{root}/none"]
+    (root / "none").mkdir()
+    tree = {r.path.split("box}/")[1]: r for r in list_tree(spark, directories).collect()}
+    assert {name: r.hidden for name, r in tree.items()} == {
+        "d 1/a.xml": False, "d 1/_b.xml": True, "d 1/x/.hid/c.xml": True, "d2/_part=1/d.xml": False,
+        "d2/e.xml._COPYING_": True, "d3/f.txt": False,
+    }
+    one = tree["d 1/a.xml"]
+    assert (one.length, one.dir) == (4, directories[0]) and one.modificationTime.timestamp() == at(10).timestamp()
+    with pytest.raises(ValueError, match="3 data files with hidden names"):
+        refuse_hidden(spark, directories)
+    refuse_hidden(spark, directories[2:])
+    with pytest.raises(ValueError, match="hidden names"):
+        delivered_files(spark, str(root), directories[:1])
+    assert can_open(f"file://{root}/d2") and not can_open("viewfs://in/x")
+    assert rows_of(list_tree(spark, [f"file://{root}/d2"])) == rows_of(list_tree(spark, [f"file:{root}/d2"]))
+    # stores that Arrow cannot open are searched by patterns
+    assert sorted(p.rsplit("/", 1)[1] for p in files._hidden_by_glob(spark, directories, ".xml")) == ["_b.xml"]
+
+
+def test_counts_come_from_the_writes(spark, base, units, tmp_path, monkeypatch):
+    """No row is counted by a job of its own."""
+
+    def refuse(self):
+        raise AssertionError("a count job")
+
+    monkeypatch.setattr(type(spark.range(1)), "count", refuse)
+    monkeypatch.setattr(type(spark.range(1)), "isEmpty", refuse)
+    result = run_batch(
+        spark, base, TENANT, "2026-01-10 00:00:00", "2026-01-11 00:00:00", RUN_1, units,
+        validity(spark), str(tmp_path / "c"), str(tmp_path / "i"),
+    )
+    assert (result.documents["rows"], result.readings["rows"], result.rejected) == (2, 8, 0)
+
+
+def test_staged_rows_are_counted_once(spark):
+    df = spark.range(1000).select(F.col("id"), (F.col("id") % 7).alias("k"))
+    for more in ({}, {"partition_by": ["k"]}, {"max_partitions": 2}):
+        staged, n = stage_counted(df.repartition(5, "k"), work_path(spark, "t"), **more)
+        assert n == 1000 == staged.count()
+    seen = Watched(df, F.col("id") > 998)
+    assert stage_counted(seen.df.groupBy("k").count(), work_path(spark, "t"))[1] == 7 and seen.any()
+    none = Watched(df, F.col("id") < 0)
+    assert stage_counted(none.df.filter("id < 0"), work_path(spark, "t"))[1] == 0 and not none.any()
+
+
+def test_tenants_apart(spark, base, units, tmp_path):
+    other = spark.createDataFrame(units.collect(), units.schema).withColumn("aep_opco", F.lit("ap"))
+    for tenant, map_ in ((TENANT, units), (config.tenant("ap"), other)):
+        run_batch(
+            spark, base, tenant, "2026-01-10 00:00:00", "2026-01-11 00:00:00", RUN_1, map_,
+            validity(spark), str(tmp_path / "c"), str(tmp_path / "i"), tenants_apart=True,
+        )
+    table = read_parquet(spark, str(tmp_path / "c"), config.CONSUME_SCHEMA)
+    assert {r.aep_opco: r["count"] for r in table.groupBy("aep_opco").count().collect()} == {"oh": 8, "ap": 8}
+    assert (tmp_path / "c" / "aep_usage_dt=2026-01-10" / "aep_opco=oh").exists()
+
+
 def test_an_interrupted_swap_is_finished(spark, tmp_path):
     path, schema = tmp_path / "t", "id int, v int, day string"
 
@@ -307,10 +375,10 @@ def test_an_interrupted_swap_is_finished(spark, tmp_path):
 
     write((1, 1, "a"), (2, 2, "b"), (3, 3, "c/d"))
     new = spark.createDataFrame([(1, 9, "a"), (2, 9, "b")], schema)
-    new.write.partitionBy("day").parquet(str(path / "_swap-1"))  # complete, nothing moved yet
+    new.write.partitionBy("day").parquet(str(path / "_swap--1"))  # complete, nothing moved yet
     (path / "day=a").rename(tmp_path / "gone")  # one old partition was already deleted
-    new.write.partitionBy("day").parquet(str(path / "_swap-0"))
-    (path / "_swap-0" / "_SUCCESS").unlink()  # this one was never complete
+    new.write.partitionBy("day").parquet(str(path / "_swap--0"))
+    (path / "_swap--0" / "_SUCCESS").unlink()  # this one was never complete
     write((3, 4, "c/d"))
     assert stored() == [(1, 9, "a"), (2, 9, "b"), (3, 4, "c/d")]
     assert not [p for p in path.iterdir() if p.name.startswith("_swap")]
@@ -320,7 +388,7 @@ def test_an_upsert_lists_only_its_partitions(spark, tmp_path):
     schema = "id int, v int, day string"
     source = spark.createDataFrame([(i, i, f"d{i % 20}") for i in range(100)], schema)
     tables.write_merge(source, str(tmp_path), schema=schema, keys=["day", "id"], update_cols=["v"], partition_by=["day"])
-    read = tables.read_partitions(spark, str(tmp_path), schema, "day", ["d3", "none", None])
+    read = tables.read_partitions(spark, str(tmp_path), schema, ["day"], [("d3",), ("none",), (None,)])
     assert {f.split("day=")[1].split("/")[0] for f in read.inputFiles()} == {"d3"}
     assert read.count() == 5 and read.columns == ["id", "v", "day"]
 
