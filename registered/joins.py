@@ -9,7 +9,7 @@ from gridtally import config
 from gridtally.operators.dedup import dedup_latest
 from gridtally.operators.joins import validity_check, validity_diagnose
 from gridtally.operators.merge import ACTION, merge_preview, merge_upsert
-from gridtally.operators.reconcile import reconcile, reconcile_against, reconcile_key
+from gridtally.operators.reconcile import reconcile, reconcile_against, reconcile_changed, reconcile_key
 from gridtally.plans import views
 from gridtally.sources.tables import unit_map
 from registered import frames
@@ -190,6 +190,13 @@ def reconciled(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile(open_orders, changed, ["o_orderkey"], names=("dev", "prod"))
 
 
+def reconciled_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """The differences of the same tables, found by digests of buckets first."""
+    orders, changed, _ = order_copies(spark, sf)
+    open_orders = orders.filter(F.col("o_orderstatus") != "P")
+    return reconcile_changed(open_orders, changed, ["o_orderkey"], names=("dev", "prod"))
+
+
 RECONCILE_SQL = """
 WITH l AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS c1, o_orderstatus AS c2,
                   o_orderpriority AS c3 FROM orders WHERE o_orderstatus <> 'P'),
@@ -289,5 +296,6 @@ QUERIES = {
     ),
     "reconcile_key": (reconciled_key, THREE_SQL + " WHERE o_orderkey = 7"),
     "reconcile": (reconciled, RECONCILE_SQL),
+    "reconcile_changed": (reconciled_changes, f"SELECT * FROM ({RECONCILE_SQL}) WHERE status <> 'OK'"),
     "reconcile_three_way": (reconciled_three, THREE_SQL),
 }

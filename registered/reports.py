@@ -7,8 +7,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtally.operators import quality
+from gridtally.operators import bitmaps, quality
 from gridtally.plans import acceptance
+from gridtally.session import work_path
+from gridtally.sinks.staging import stage
+from gridtally.sources.tables import read_parquet
 from registered import frames
 
 QUALITY_SELECT = """
@@ -29,6 +32,20 @@ def batch_quality_report(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_report(frames.deduped(spark, sf))
 
 
+def merged_quality_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The same report from partial reports of three batches, stored with their bitmaps."""
+    rows = stage(frames.deduped(spark, sf), work_path(spark, "readings"))
+    path, numbers = work_path(spark, "partials"), {}
+    for third in range(3):
+        batch = rows.filter(F.pmod(F.xxhash64("serialnumber", "endtimeperiod"), F.lit(3)) == third)
+        for column in ("serialnumber", "aep_channel_id"):
+            fresh = bitmaps.assign_numbers(batch.select(column), numbers.get(column))
+            numbers[column] = stage(fresh, work_path(spark, f"numbers-{column}"))
+        part = bitmaps.partial_report(batch, numbers)
+        part.write.mode("append").parquet(path)
+    return bitmaps.merged_report(read_parquet(spark, path, part.schema))
+
+
 def event_quality_report(spark: SparkSession, sf: str) -> DataFrame:
     consume = frames.consume(spark, sf)
     flags = {
@@ -81,6 +98,11 @@ QUERIES = {
         f"""{frames.TO_DEDUPED}
             SELECT aep_usage_dt, {QUALITY_SELECT} FROM output GROUP BY 1 ORDER BY 1""",
     ),
+    "merged_quality_report": (
+        merged_quality_report,
+        f"""{frames.TO_DEDUPED}
+            SELECT aep_usage_dt, {QUALITY_SELECT} FROM output GROUP BY 1 ORDER BY 1""",
+    ),
     "event_quality_report": (
         event_quality_report,
         f"""{frames.FROM_CONSUME}

@@ -12,8 +12,10 @@ from gridtally.operators.merge import ACTION, retain_recent
 from gridtally.session import work_path
 from gridtally.sinks import tables
 from gridtally.sinks.staging import materialize, stage
+from gridtally.sinks.streaming import merge_stream
+from gridtally.sources.partitions import read_latest, stored_extent
 from gridtally.sources.tables import read_parquet
-from registered import frames, joins
+from registered import aggregates, frames, joins
 
 RUN_TS = datetime(2024, 1, 21, 12, 0, 0, tzinfo=timezone.utc)
 
@@ -71,6 +73,50 @@ FROM ({joins.MERGE_SQL})
 """
 
 
+def stream_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """The same table after the two deliveries came as files of a stream."""
+    inbox, path = work_path(spark, "inbox"), work_path(spark, "consume")
+    notes = work_path(spark, "stream")
+    for delivery in joins.deliveries(spark, sf):
+        # what is there when the stream runs is one batch
+        delivery.write.mode("append").parquet(inbox)
+        files = spark.readStream.schema(delivery.schema).parquet(inbox)
+        query = merge_stream(
+            files,
+            path,
+            "deliveries",
+            notes,
+            schema=delivery.schema,
+            keys=joins.MERGE_KEYS,
+            update_cols=joins.MERGE_UPDATES,
+            partition_by=["aep_usage_dt"],
+            on_update={"hdp_update_user": F.lit(config.UPDATE_USER)},
+            on_insert={"hdp_update_user": F.lit(config.INSERT_USER)},
+        )
+        query.awaitTermination()
+    return read_parquet(spark, path, delivery.schema).select(*delivery.columns)
+
+
+def stored_runs(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
+    rows, path = frames.consume(spark, sf).select(*frames.CONSUME_SHOWN), work_path(spark, "runs")
+    tables.append(rows, path, config.INCREMENTAL_PARTITIONS)
+    return rows, path
+
+
+def latest_run_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The latest run of a tenant in a stored table, found by the names of its partitions."""
+    rows, path = stored_runs(spark, sf)
+    latest = read_latest(spark, path, rows.schema, config.INCREMENTAL_PARTITIONS, {"aep_opco": "oh"})
+    return latest.select(*frames.CONSUME_SHOWN)
+
+
+def run_extent_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Oldest and latest run of a tenant, from the names of partitions."""
+    _, path = stored_runs(spark, sf)
+    ends = stored_extent(spark, path, config.INCREMENTAL_PARTITIONS, {"aep_opco": "oh"})
+    return spark.createDataFrame([ends], "oldest_run_date string, latest_run_date string")
+
+
 def materialized(spark: SparkSession, sf: str) -> DataFrame:
     """A reliable checkpoint of an aggregate."""
     sums = frames.table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.count("*").alias("cnt"))
@@ -93,6 +139,9 @@ QUERIES = {
     "incremental_publish": (incremental_publish, PUBLISH_SQL),
     "append_rows": (append_rows, "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders"),
     "write_merge": (write_merge, WRITE_MERGE_SQL),
+    "stream_merge": (stream_merge, WRITE_MERGE_SQL),
+    "latest_run_stored": (latest_run_stored, aggregates.QUERIES["latest_run"][1]),
+    "run_extent_stored": (run_extent_stored, aggregates.QUERIES["run_extent"][1]),
     "materialize": (
         materialized, "SELECT l_suppkey, count(*) AS cnt FROM lineitem GROUP BY 1"
     ),
