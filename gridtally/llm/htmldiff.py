@@ -7,10 +7,11 @@ subsequence, and a page loses the lines it shares: what neighbours repeat is tem
 Differencing alone gives wrong results in three cases, which the page's own marking
 settles. Lines inside the article element are never template: copies and quoted
 passages share them. Lines inside elements marked as menu, header, footer, sidebar,
-notice, advert, form or comments go even if no neighbour repeats them; a class or id
-does not mark html, body, main and article, nor what holds an article element outside
-of any other, nor what holds most of the text, in an article or on a page without one.
-And a neighbour that shares nearly all of a page's text is a copy; the other neighbour
+notice, advert, form or comments go even if no neighbour repeats them. The element's
+name or role marks it, or a class or id all of whose words name boilerplate or layout.
+A class or id does not mark html, body, main and article, nor an inline element, nor
+what holds an article element outside of any other, nor what holds most of the text, in
+an article or on a page without one. Inline elements never part a line. And a neighbour that shares nearly all of a page's text is a copy; the other neighbour
 is asked. All
 other lines are decided by differencing, also on pages that have an article element.
 Only a page without a neighbour to ask loses the lines outside its article element.
@@ -61,6 +62,8 @@ INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp"
     " small span strike strong sub sup time tt u var wbr".split()
 )
+#: Void elements that end a line; the others neither show nor part text.
+BREAKS = set("br hr".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = set("nav aside footer form button dialog menu fieldset".split())
 ROLES = set("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
@@ -70,6 +73,12 @@ NAMES = set(
     " header masthead comment comments disqus reply replies respond share sharing social related recommended"
     " newsletter subscribe signup login popup modal overlay widget pagination pager toc skip".split()
 )
+#: Words that say where or how something is shown; they go with one of ``NAMES``.
+LAYOUT = set(
+    "site page main top bottom left right global primary secondary box block wrapper wrap container list section area"
+    " bar item items inner outer panel pane region column col row content unit slot space zone group button buttons"
+    " link links icon icons form field message text title small large big fixed sticky mobile desktop".split()
+)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.IGNORECASE)
 #: Elements that hold the content whatever their classes and ids.
 CONTENT = set("html body main article".split())
@@ -88,17 +97,21 @@ def _by_tag(name: str, attrs: str, in_article: bool) -> bool:
     )
 
 
+def _unmistakable(word: str) -> bool:
+    """Whether a class or id names boilerplate and nothing else: ``cookie-banner``, not ``share-of-market``."""
+    parts = [p for p in re.split(r"[-_]+", word) if p and not p.isdigit()]
+    return any(p in NAMES for p in parts) and all(p in NAMES or p in LAYOUT for p in parts)
+
+
 def _by_name(name: str, attrs: str, in_article: bool) -> bool:
     """Whether a class or id marks the element."""
     if name in CONTENT:
         return False
     for kind, value in ATTRIBUTE.findall(attrs):
-        words = value.strip("\"'").lower().split()
         if kind.lower() == "role":
             continue
-        for word in words:
-            parts = set(re.split(r"[-_]+", word))
-            if NAMES & parts and not (in_article and word in ("header", "article-header")):
+        for word in value.strip("\"'").lower().split():
+            if _unmistakable(word) and not (in_article and word == "header"):
                 return True
     return False
 
@@ -184,7 +197,7 @@ def lines_of(page: str | None) -> list[Line]:
         if token["name"] is None:
             continue
         name, closes = token["name"].lower(), bool(token["close"])
-        if name in INLINE and name != skipped and (closes or not ATTRIBUTE.search(token["attrs"])):
+        if name in INLINE or name in VOID and name not in BREAKS:
             continue
         end_line()
         if name in VOID or token["attrs"].endswith("/"):

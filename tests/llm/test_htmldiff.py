@@ -158,3 +158,31 @@ def test_articles_of_the_given_pages(spark):
         article = re.search(r"<article>(.*?)(</article>|$)", r.html, re.S)[1]
         article = re.sub(r"</?(b|i|em|a|span)\b[^>]*>", "", article)
         assert found[r.page_id] == " ".join(html.unescape(re.sub(r"<[^>]+>", " ", article)).split())
+
+
+KEPT = [
+    ('<div id="share-of-market"><p>market text</p></div>', "market text"),
+    ('<section class="related-work"><p>work text</p></section>', "work text"),
+    ('<p>an <span class="notice">inline</span> part</p>', "an inline part"),
+    ('<p>with a <span class="side-note">side note</span> in it</p>', "with a side note in it"),
+    ('<p>un<em class="hl">believ</em>able <code id="ad">code</code></p>', "unbelievable code"),
+    ('<p>E=mc<sup class="n">2</sup> and a<img src="x">b, c<wbr>d<br>e</p>', "E=mc2 and ab, cd e"),
+    ('<p><a class="share" href="#">shared <b role="note">link</b></a></p>', "shared link"),
+]
+
+
+@pytest.mark.parametrize("part,words", KEPT)
+def test_articles_lose_nothing_and_words_stay_whole(part, words):
+    rest = "<p>" + "much other text of this article " * 5 + "</p>"
+    body = f"<article>{rest}{part}{rest}</article>"
+    other = page(f"<article><p>{'something else ' * 9}</p></article>", 2)
+    want = " ".join(f"{'much other text of this article ' * 5}{words} {'much other text of this article ' * 5}".split())
+    assert text(page(body), other) == want
+    assert text(page(f"<main>{rest}{part}{rest}</main>"), other) == want
+
+
+def test_what_is_unmistakable_goes_in_an_article_too():
+    marked = "ad ad-1 cookie-banner newsletter-box comment-list related-links sidebar_left share-buttons".split()
+    inner = "".join(f'<div class="{name}"><p>gone {i}</p></div>' for i, name in enumerate(marked))
+    rest = "the article itself has quite some text " * 12
+    assert text(page(f"<article><p>{rest}</p>{inner}</article>")) == " ".join(rest.split())
