@@ -34,8 +34,6 @@ from gridtally.llm.tables import ship, slices
 
 #: How far a part that is not the value of a setting reaches.
 REACH = 200
-#: Code points before a part that are looked at for the sign of a setting.
-SIGN_SPACE = 80
 ENTROPY = 3.5
 KINDS = ["assign", "access", "hex", "identifier", "token", "endpoint"]
 BASE = KINDS[:3]
@@ -71,8 +69,10 @@ Span = tuple[int, int, str]
 
 
 def is_setting(text: str, start: int) -> bool:
-    """Whether what begins here is the value of a setting."""
-    return text[max(start - SIGN_SPACE, 0) : start].rstrip(" \t\r\n\"'").endswith((":", "="))
+    """Whether what begins here is the value of a setting, however many blanks lie before it."""
+    while start and text[start - 1] in " \t\r\n\"'":
+        start -= 1
+    return start > 0 and text[start - 1] in ":="
 
 
 def base_spans(text: str, lower: str) -> list[Span]:

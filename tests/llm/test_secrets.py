@@ -79,3 +79,11 @@ def test_rows(spark):
     assert clean[0].text is None and clean[3].text == secrets.MASK and clean[3].n_chars == len(secrets.MASK)
     assert clean[0].spans == "s"
     assert secrets.find(docs.limit(0)).count() == 0
+
+
+def test_any_number_of_blanks_before_a_value():
+    for blanks in (0, 10, 100, 50_000):
+        text = f"user: bob77{' x' * 150}\nprivate:{' ' * blanks}\"{RANDOM}\""
+        assert kinds(text) == ["identifier", "token"]
+        assert RANDOM not in secrets.masked(text)
+    assert not secrets.is_setting("x " + " " * 500 + RANDOM, 502)
