@@ -47,12 +47,13 @@ def components(edges: DataFrame) -> DataFrame:
     mark = _mark(now)
     while True:
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select("b", "a"))
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        # Written first, so that both sides of the join are shuffled and a hot node can be split.
+        least = staged(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "least")
         large = both.filter(F.col("v") > F.col("u")).join(least, "u").select(
             F.col("v").alias("a"), F.col("m").alias("b")
         )
         large = staged(_pointed(large), "large")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = staged(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(least, "a")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
             least.select("a", F.col("m").alias("b"))

@@ -15,7 +15,9 @@ their rarest shingles: two sets similar enough have one in common before either
 left more behind than it may lack, so a class whose edits are its own meets nobody.
 Pairs of different components that pass must collide often enough as well. All these
 rules leave out only pairs that cannot link or that are linked already, so the
-components are those of all confirmed pairs.
+components are those of all confirmed pairs. Tables of one row for each list are written
+before they are joined with the postings: both sides of such a join are then shuffled,
+and adaptive skew handling splits the postings of a hot list.
 
 A pair of similarity 0.75 agrees in fewer than ``MATCHES`` coordinates with a chance
 of about one in a hundred thousand.
@@ -113,15 +115,16 @@ def sign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 def _full_sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(node, shingles) of the classes, from one text of each."""
-    of = classes.select("node", "least_doc", "set_digest")
-    rows = docs.select(F.col(id_col).alias("text_id"), F.col(text_col).alias("full_text")).join(
-        of, F.col("text_id").eqNullSafe(F.col("least_doc"))
-    )
+    of = classes.select("node", "least_doc", "lead_hash", "set_digest")
+    # By id and text: an id, or a missing one, may stand for many texts.
+    rows = docs.select(
+        F.col(id_col).alias("text_id"), F.xxhash64(text_col).alias("full_hash"), F.col(text_col).alias("full_text")
+    ).join(of, F.col("text_id").eqNullSafe(F.col("least_doc")) & (F.col("full_hash") == F.col("lead_hash")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_chunks(batches, 2):
             shingles, sizes = shingle_sets(texts)
-            # An id may stand for several texts; the digest tells which one is meant.
+            # Two texts of one id may share a hash; the digest tells which one is meant.
             wanted = batch.column(1).to_pylist()
             parts = _split(shingles, sizes)
             good = [i for i, s in enumerate(parts) if len(s) and digest(s) == wanted[i]]
@@ -171,7 +174,7 @@ def _post(classes: DataFrame) -> DataFrame:
         .bitwiseOR(F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
         .alias("key"),
     )
-    lists = postings.groupBy("key").agg(F.count("*").alias("size")).filter(F.col("size") > 1)
+    lists = staged(postings.groupBy("key").agg(F.count("*").alias("size")).filter(F.col("size") > 1), "lists")
     shared = (
         postings.join(lists, "key")
         .groupBy("node")
@@ -200,8 +203,9 @@ def _links(
     center = listed.groupBy("key").agg(
         F.max(F.struct("weight", "node")).alias("center"), F.count("*").alias("size")
     )
+    center = staged(center.filter(F.col("size") > 1), "center")
     star = (
-        listed.join(center.filter(F.col("size") > 1), "key")
+        listed.join(center, "key")
         .select(F.col("node").alias("a"), F.col("center.node").alias("b"))
         .filter(F.col("a") != F.col("b"))
     )
@@ -217,7 +221,7 @@ def _links(
     shingles = sets.join(open_nodes, "node", "left_semi").select(
         "node", F.size("shingles").alias("n"), F.explode("shingles").alias("key")
     )
-    common = shingles.groupBy("key").agg(F.count("*").alias("size")).filter(F.col("size") > 1)
+    common = staged(shingles.groupBy("key").agg(F.count("*").alias("size")).filter(F.col("size") > 1), "common")
     alone = F.col("n") - F.size("shared")
     # Before its first shingle in common with a similar class lies a quarter of a set at most.
     prefix = F.expr("slice(shared, 1, greatest(0, int(n / 4) + 1 - (n - size(shared))))")
@@ -255,6 +259,7 @@ def _open(listed: DataFrame, named: DataFrame) -> DataFrame:
         .filter(F.col("parts") > 1)
         .select("key", F.col("most.component").alias("largest"))
     )
+    split = staged(split, "split")
     return member.join(split, "key")
 
 
@@ -273,11 +278,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         signed.filter(F.col("n_shingles") > 0)
         .groupBy("set_digest")
         .agg(
-            F.min("doc_id").alias("least_doc"),
+            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("lead"),
             F.min("n_shingles").alias("n"),
             F.count("*").alias("n_docs"),
             F.min("signature").alias("signature"),
         )
+        .select(
+            "set_digest",
+            F.col("lead.doc_id").alias("least_doc"),
+            F.col("lead.text_hash").alias("lead_hash"),
+            "n",
+            "n_docs",
+            "signature",
+        )
         # Fixed once written.
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",

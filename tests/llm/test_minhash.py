@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from gridtally.llm import minhash
 from gridtally.llm.groups import components, join_keyed
@@ -87,3 +88,25 @@ def test_join_with_a_hot_key(spark):
     right = left.groupBy("k").count()
     joined = join_keyed(left, right, "k", "count", 90)
     assert sorted(r.v for r in joined.collect()) == list(range(90))
+
+
+def test_many_rows_without_an_id(spark):
+    """Texts meet their classes by id and text, so missing and shared ids make no product."""
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(30)) for _ in range(120)]
+    rows = [(None, t) for t in texts] + [(None, texts[0]), (7, texts[1] + " x"), (None, texts[2] + " y")]
+    rows += [(5, f"{t} z") for t in texts[3:60]]
+    assert result(spark, rows) == by_hand(rows)
+
+
+def test_full_sets_read_one_text_for_each_class(spark):
+    n = 4000
+    docs = spark.range(n).select(
+        F.lit(None).cast("long").alias("doc_id"), F.concat_ws(" ", *[F.hash("id", F.lit(i)) for i in range(6)]).alias("text")
+    )
+    signed = minhash.sign(docs).withColumn("node", F.monotonically_increasing_id())
+    classes = signed.select("node", F.col("doc_id").alias("least_doc"), F.col("text_hash").alias("lead_hash"), "set_digest")
+    joined = minhash._full_sets(docs, classes, "doc_id", "text")
+    assert joined.count() == n
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "xxhash64" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
