@@ -6,31 +6,45 @@ greatest length that has any, from ``LONGEST`` down to one. A text's language is
 the one with the greatest sum; ties go to the least code.
 
 Words and n-grams are counted by their whole 64-bit hash over all training rows, so a
-word that was not seen is taken for unseen however large the corpus is. The table has
-one row for each known word and each n-gram and goes through the driver to all tasks:
-it grows with the distinct words that occur ``KNOWN_COUNT`` times, not with the rows.
+word that was not seen is taken for unseen however large the corpus is. The model is a
+table with one row for each known word and each n-gram. What reaches the driver and
+the tasks is its head, the rows that were seen most often, in at most ``HEAD_BYTES``
+whatever the corpus. If that is the whole model, texts are scored where they are. If
+not, tasks score the words of the head; the distinct other words are joined with the
+model's words, and those it lacks with its n-grams, length by length, and the sums
+go back to the texts. Both ways give the same scores up to rounding.
 
 Defined cases: text that is null or has no letter gives ``und`` and score 0, and so
 does any text if nothing was learned. Rows with a null language or a null id teach
 nothing. Repeated rows repeat their result, an empty table gives an empty table,
-other columns are not read, texts of any length are read whole.
+other columns are not read, texts of any length are read whole. One row for each
+language reaches the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from gridtally.llm.tables import ship, staged
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    BooleanType,
+    DoubleType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
+
+from gridtally.llm.tables import ship, slices, staged
 from gridtally.llm.words import LETTER, Scan, text_chunks
 
-#: The places of ``Counts``.
-WORD_BITS = 19
-GRAM_BITS = 17
 LONGEST = 5
 #: A word is known if it was seen so often in all languages together.
 KNOWN_COUNT = 3
@@ -41,10 +55,9 @@ SURE_WORDS = 10
 HELD_BYTES = 8 << 20
 #: Distinct words whose n-grams are made at a time, in bytes.
 GRAM_BYTES = 1 << 18
-GRAM_PLACE = 1 << WORD_BITS
+#: Bytes of the model's rows that the driver and each task hold at most.
+HEAD_BYTES = 64 << 20
 UNKNOWN = "und"
-
-
 SPACE = 32
 
 
@@ -58,12 +71,6 @@ def gram_hashes(points: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield n, (value + np.uint64(n)) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def gram_places(points: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """``gram_hashes`` cut to the places of ``Counts``."""
-    for n, value in gram_hashes(points):
-        yield n, (value >> np.uint64(64 - GRAM_BITS)).astype(np.int64)
-
-
 def within_words(space: np.ndarray, n: int) -> np.ndarray:
     """Whether the n characters from each one on lie in one word, its borders included."""
     size = len(space) - n + 1
@@ -77,42 +84,6 @@ def points_of(text: bytes) -> np.ndarray:
     return np.frombuffer(text.decode(errors="replace").encode("utf-32-le"), dtype="<u4")
 
 
-def grams(word: bytes) -> list[np.ndarray]:
-    """The places of the n-grams of a word with its borders, for n of 1 and up."""
-    points = points_of(b" " + word + b" ")
-    space = points == SPACE
-    return [
-        place[within_words(space, n)] + GRAM_PLACE for n, place in gram_places(points)
-    ]
-
-
-class Counts:
-    """Counts by place for each language met, 2.5 MB for each."""
-
-    def __init__(self):
-        self.by_lang: dict[int, np.ndarray] = {}
-
-    def add(self, lang: int, places: np.ndarray) -> None:
-        if lang not in self.by_lang:
-            self.by_lang[lang] = np.zeros(GRAM_PLACE + (1 << GRAM_BITS), dtype=np.uint32)
-        np.add.at(self.by_lang[lang], places, np.uint32(1))
-
-
-def count_grams(scan: Scan, lang: np.ndarray, counts: Counts) -> None:
-    """Add the n-grams of all words; ``lang`` has the language number of each text."""
-    letters = np.where(LETTER[scan.data], scan.data, np.uint8(SPACE))
-    points = points_of(b" " + letters.tobytes())
-    first = np.cumsum(scan.data & 0xC0 != 0x80)  # code points up to each byte
-    space = points == SPACE
-    own = np.repeat(lang, np.diff(first[scan.doc_end], prepend=0))
-    own = np.concatenate((own[:1], own))  # for the border before the first word
-    for n, place in gram_places(points):
-        good = within_words(space, n)
-        place, of = place[good] + GRAM_PLACE, own[: len(place)][good]
-        for x in np.unique(lang).tolist():
-            counts.add(x, place[of == x])
-
-
 def grams_of(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(hash, number of its word) of the n-grams of all words, for n of 1 and up."""
     points = points_of(b" " + b" ".join(words) + b" ")
@@ -153,7 +124,18 @@ def gram_counts(words: list[bytes], n: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return summed(np.concatenate(keys), np.concatenate(counts))
 
 
-def learn(docs: DataFrame, use: Column, text_col: str = "text", lang_col: str = "lang") -> dict:
+@dataclass(frozen=True)
+class Model:
+    """What was learned: ``table`` (is_word, key, total, scores) and its head in numpy."""
+
+    langs: list[str]
+    table: DataFrame
+    words: tuple[np.ndarray, np.ndarray]
+    grams: tuple[np.ndarray, np.ndarray]
+    whole: bool  # whether the head is the whole table
+
+
+def learn(docs: DataFrame, use: Column, text_col: str = "text", lang_col: str = "lang") -> Model:
     """Log frequencies by hash and language from the rows where ``use`` is true."""
     ship(docs.sparkSession)
     rows = docs.filter(use & F.col(lang_col).isNotNull()).select(text_col, lang_col)
@@ -215,22 +197,56 @@ def learn(docs: DataFrame, use: Column, text_col: str = "text", lang_col: str =
     )
     distinct = {r[0]: r[1] for r in counted.groupBy("is_word").agg(F.count_distinct("key")).collect()}
     langs = sorted({x for x, _ in seen})
-    model = {"langs": langs}
-    for is_word in (True, False):
-        rows = by_key.filter((F.col("is_word") == is_word) & (F.col("total") >= (KNOWN_COUNT if is_word else 1)))
-        table = rows.select("key", F.inline("by_lang")).toArrow()
-        keys = table["key"].to_numpy().view(np.uint64)
-        own = np.unique(keys)
-        score = np.zeros((len(own), len(langs)), dtype=np.float32)
-        which = table["lang"].combine_chunks().dictionary_encode() if len(table) else None
-        if which is not None:
-            to = np.array([langs.index(x) for x in which.dictionary.to_pylist()])
-            score[np.searchsorted(own, keys), to[which.indices.to_numpy()]] = table["n"].to_numpy()
-        all_seen = np.array([seen.get((x, is_word), 0) for x in langs], dtype=np.float64)
-        score += SMOOTHING
-        score /= (all_seen + SMOOTHING * distinct.get(is_word, 0)).astype(np.float32)
-        model["words" if is_word else "grams"] = (own, np.log(score, out=score))
-    return model
+    known = by_key.filter(~F.col("is_word") | (F.col("total") >= KNOWN_COUNT))
+    # Sums of what was seen, with the smoothing, by kind: n-grams, words.
+    whole = np.array(
+        [[seen.get((x, w), 0) + SMOOTHING * distinct.get(w, 0) for x in langs] for w in (False, True)], dtype=np.float64
+    ).reshape(2, len(langs))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 100_000):
+            lists = batch.column(3)
+            row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy())
+            flat = lists.flatten()
+            which = flat.field("lang").dictionary_encode()
+            to = np.array([langs.index(x) for x in which.dictionary.to_pylist()], dtype=np.int64)
+            out = np.zeros((batch.num_rows, len(langs)), dtype=np.float32)
+            out[row, to[which.indices.to_numpy()]] = flat.field("n").to_numpy()
+            out += SMOOTHING
+            out /= whole[batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)].astype(np.float32)
+            ends = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * len(langs))
+            scores = pa.ListArray.from_arrays(ends, pa.array(np.log(out, out=out).ravel()))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], scores], names=["is_word", "key", "total", "scores"]
+            )
+
+    table = staged(
+        known.select("is_word", "key", "total", "by_lang").mapInArrow(
+            score, "is_word boolean, key bigint, total bigint, scores array<float>"
+        ),
+        "language-model",
+    )
+    # Rows by how often they were seen, in steps of about a fifth: few lines, whatever the corpus.
+    step = F.floor(F.log2("total") * 4).cast("int").alias("step")
+    sizes = {r["step"]: r["count"] for r in table.groupBy(step).count().collect()}
+    left = HEAD_BYTES // (8 + 4 * max(len(langs), 1))
+    least, all_in = None, True
+    for at in sorted(sizes, reverse=True):
+        left -= sizes[at]
+        if left < 0:
+            all_in = False
+            break
+        least = at
+    head = table.filter(F.lit(False) if least is None else step >= least).select("is_word", "key", "scores").toArrow()
+
+    def part(is_word: bool) -> tuple[np.ndarray, np.ndarray]:
+        rows = head.filter(pc.equal(head["is_word"], is_word)).combine_chunks()
+        keys = rows["key"].to_numpy().view(np.uint64)
+        values = rows["scores"].combine_chunks().flatten().to_numpy(zero_copy_only=False) if len(keys) else np.zeros(0)
+        order = np.argsort(keys)
+        return keys[order], values.astype(np.float32).reshape(len(keys), len(langs))[order]
+
+    return Model(langs, table, part(True), part(False), all_in)
 
 
 def looked_up(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -241,70 +257,171 @@ def looked_up(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return row, keys[row] == asked
 
 
+#: What a task finds out about a text beside its columns.
+MEASURES = [
+    StructField("total", ArrayType(DoubleType())),
+    StructField("n", LongType()),
+    StructField("lettered", BooleanType()),
+    StructField("cold", ArrayType(StructType().add("key", LongType()).add("word", BinaryType()).add("n", LongType()))),
+]
+
+
 def predict(
-    docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(id, lang_pred, score) of every row."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"`{id_col}` {kind}, lang_pred string, score double"
+    named = _identified(docs.select(F.struct(id_col).alias("doc"), F.col(text_col).alias("text")), model)
+    return named.select(f"doc.`{id_col}`", "lang_pred", "score")
 
-    def shape(batch: pa.RecordBatch, names: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(names, pa.string()), pa.array(score, pa.float64())],
-            names=[id_col, "lang_pred", "score"],
-        )
 
-    return _identified(docs.select(id_col, text_col), 1, model, shape, schema)
+def keep(docs: DataFrame, model: Model, least_score: float, text_col: str = "text") -> DataFrame:
+    """The rows whose language is known with at least this score; all columns stay."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    named = _identified(docs.select(whole), model, text_col)
+    return named.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("doc.*")
+
+
+def _measure(texts: list[bytes], langs: list[str], words: tuple, grams: tuple, whole: bool) -> tuple:
+    """(sums by language, words, whether there is a letter, unresolved words) of each text."""
+    scan = Scan(texts, lower=True, letters=True)
+    distinct, one, back = np.unique(scan.word_hashes(), return_index=True, return_inverse=True)
+    rows = np.zeros((len(distinct), len(langs)))
+    place, known = looked_up(words[0], distinct)
+    rows[known] = words[1][place[known]]
+    unseen = np.flatnonzero(~known)
+    cold: list[list[dict]] = [[] for _ in texts]
+    if len(unseen) and langs:
+        data = scan.data.tobytes()
+        spelled = [data[scan.word_start[i] : scan.word_end[i]] for i in one[unseen]]
+        if whole:
+            for part in parts_of(spelled):
+                rows[unseen[part]] = fall_back(spelled[part], *grams)
+        else:
+            number = np.cumsum(~known) - 1
+            at = np.flatnonzero(~known[back])
+            pairs, n = np.unique(scan.word_doc[at] * len(unseen) + number[back[at]], return_counts=True)
+            keys = distinct[unseen].view(np.int64).tolist()
+            for pair, often in zip(pairs.tolist(), n.tolist()):
+                k = pair % len(unseen)
+                cold[pair // len(unseen)].append({"key": keys[k], "word": spelled[k], "n": often})
+    points = rows[back]
+    total = np.stack(
+        [np.bincount(scan.word_doc, weights=points[:, j], minlength=len(texts)) for j in range(len(langs))]
+        or [np.zeros(len(texts))],
+        axis=1,
+    )
+    lettered = scan.per_doc(scan.word_doc, _ascii_words(scan)) > 0
+    for i in np.flatnonzero(~lettered):
+        lettered[i] = any(c.isalpha() for c in texts[i].decode())
+    return total, scan.per_doc(scan.word_doc), lettered, cold
 
 
-def keep(docs: DataFrame, model: dict, least_score: float, text_col: str = "text") -> DataFrame:
-    """The rows whose language is known with at least this score; all columns stay."""
+def _verdict(total: np.ndarray, n: np.ndarray, lettered: np.ndarray, langs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(language, score) from the sums of the words' scores."""
+    mean = total / np.maximum(n, 1)[:, None]
+    sure = np.exp((mean - mean.max(axis=1, keepdims=True)) * np.minimum(n, SURE_WORDS)[:, None])
+    best = np.where((n > 0) & lettered & bool(langs), total.argmax(axis=1), len(langs))
+    score = np.where(best == len(langs), 0.0, sure.max(axis=1) / sure.sum(axis=1))
+    return np.array([*langs, UNKNOWN], dtype=object)[best], score
 
-    def shape(batch: pa.RecordBatch, names: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
-        return batch.filter(pa.array((names != UNKNOWN) & (score >= least_score)))
 
-    return _identified(docs, docs.columns.index(text_col), model, shape, docs.schema)
+def _named(doc: pa.Array, names: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [doc, pa.array(names, pa.string()), pa.array(score, pa.float64())], names=["doc", "lang_pred", "score"]
+    )
+
+
+def _with_text(batches: Iterator[pa.RecordBatch], text_col: str | None) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        text = batch.column(1) if text_col is None else batch.column(0).field(text_col)
+        yield pa.RecordBatch.from_arrays([batch.column(0), text], names=["doc", "text"])
 
 
-def _identified(docs: DataFrame, text_place: int, model: dict, shape: Callable, schema) -> DataFrame:
-    """What ``shape`` makes of each batch, its languages and their scores."""
+def _identified(docs: DataFrame, model: Model, text_col: str | None = None) -> DataFrame:
+    """(doc, lang_pred, score) of rows (doc, text), or of rows (doc) with the text in them."""
     spark = docs.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast(model)
+    langs, whole = model.langs, model.whole
+    shared = spark.sparkContext.broadcast((model.words, model.grams))
+    doc = [docs.schema["doc"]]
+    result = StructType(doc + [StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, (keys, table), known_grams = (shared.value[k] for k in ("langs", "words", "grams"))
-        names = np.array([*langs, UNKNOWN], dtype=object)
-        for batch, texts in text_chunks(batches, text_place):
-            scan = Scan(texts, lower=True, letters=True)
-            distinct, one, back = np.unique(scan.word_hashes(), return_index=True, return_inverse=True)
-            rows = np.zeros((len(distinct), len(langs)))
-            place, known = looked_up(keys, distinct)
-            rows[known] = table[place[known]]
-            unseen = np.flatnonzero(~known)
-            if len(unseen) and langs:
-                data = scan.data.tobytes()
-                words = [data[scan.word_start[i] : scan.word_end[i]] for i in one[unseen]]
-                for part in parts_of(words):
-                    rows[unseen[part]] = fall_back(words[part], *known_grams)
-            points = rows[back]
-            n = scan.per_doc(scan.word_doc)
-            total = np.stack(
-                [np.bincount(scan.word_doc, weights=points[:, j], minlength=len(texts)) for j in range(len(langs))]
-                or [np.zeros(len(texts))],
-                axis=1,
+        words, grams = shared.value
+        for batch, texts in text_chunks(_with_text(batches, text_col), 1):
+            total, n, lettered, _ = _measure(texts, langs, words, grams, True)
+            yield _named(batch.column(0), *_verdict(total, n, lettered, langs))
+
+    if whole:
+        return docs.mapInArrow(run, result)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, grams = shared.value
+        kind = pa.list_(pa.struct([("key", pa.int64()), ("word", pa.binary()), ("n", pa.int64())]))
+        for batch, texts in text_chunks(_with_text(batches, text_col), 1):
+            total, n, lettered, cold = _measure(texts, langs, words, grams, False)
+            sums = pa.array(list(total), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), sums, pa.array(n, pa.int64()), pa.array(lettered), pa.array(cold, kind)],
+                names=["doc", "total", "n", "lettered", "cold"],
             )
-            mean = total / np.maximum(n, 1)[:, None]
-            sure = np.exp((mean - mean.max(axis=1, keepdims=True)) * np.minimum(n, SURE_WORDS)[:, None])
-            score = sure.max(axis=1) / sure.sum(axis=1)
-            best = np.where((n > 0) & bool(langs), total.argmax(axis=1), len(langs))
-            for i in np.flatnonzero(scan.per_doc(scan.word_doc, _ascii_words(scan)) == 0):
-                if not any(c.isalpha() for c in texts[i].decode()):
-                    best[i] = len(langs)
-            score = np.where(best == len(langs), 0.0, score)
-            yield shape(batch, names[best], score)
-
-    return docs.mapInArrow(run, schema)
+
+    measures = StructType(doc + MEASURES)
+    measured = docs.mapInArrow(measure, measures)
+    measured = staged(measured.withColumn("row", F.monotonically_increasing_id()), "measured")
+    met = measured.select("row", F.inline("cold"))
+    scores = _cold_scores(met.groupBy("key").agg(F.first("word").alias("word")), model)
+    weighted = [F.sum(F.col("n") * F.col("scores")[j]) for j in range(len(langs))]
+    more = met.select("row", "key", "n").join(scores, "key").groupBy("row").agg(F.array(*weighted).alias("more"))
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            total, rest = (np.array(batch.column(c).to_pylist(), dtype=np.float64) for c in (1, 4))
+            n = batch.column(2).to_numpy()
+            yield _named(
+                batch.column(0), *_verdict(total + rest, n, batch.column(3).to_numpy(zero_copy_only=False), langs)
+            )
+
+    none = F.array(*[F.lit(0.0)] * len(langs))
+    joined = measured.drop("cold").join(more, "row", "left")
+    return joined.select("doc", "total", "n", "lettered", F.coalesce("more", none).alias("more")).mapInArrow(finish, result)
+
+
+def _cold_scores(asked: DataFrame, model: Model) -> DataFrame:
+    """(key, scores) of words outside the model's head: as words, else by their n-grams."""
+    known = model.table.filter("is_word").select("key", "scores")
+    looked = staged(asked.join(known, "key", "left"), "asked")
+    found = looked.filter(F.col("scores").isNotNull()).select("key", F.col("scores").cast("array<double>").alias("scores"))
+    open_ = looked.filter(F.col("scores").isNull()).select("key", "word")
+    table = model.table.filter(~F.col("is_word")).select(
+        F.col("key").alias("gram"), F.col("scores").cast("array<double>").alias("scores")
+    )
+
+    def grams_with(length: int) -> Callable:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, 4096):
+                keys, words = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+                for part in parts_of(words):
+                    for n, (value, word) in enumerate(grams_of(words[part]), 1):
+                        if n == length:
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(keys[part][word]), pa.array(value.view(np.int64))], names=["key", "gram"]
+                            )
+
+        return run
+
+    for length in range(LONGEST, 0, -1):
+        grams = open_.mapInArrow(grams_with(length), "key bigint, gram bigint").groupBy("key", "gram").agg(
+            F.count("*").alias("times")
+        )
+        mean = [F.sum(F.col("times") * F.col("scores")[j]) / F.sum("times") for j in range(len(model.langs))]
+        scored = staged(grams.join(table, "gram").groupBy("key").agg(F.array(*mean).alias("scores")), "by-grams")
+        found = found.unionByName(scored)
+        if length > 1:
+            open_ = staged(open_.join(scored, "key", "left_anti"), "open-words")
+            if open_.isEmpty():
+                break
+    return found
 
 
 def _ascii_words(scan: Scan) -> np.ndarray:

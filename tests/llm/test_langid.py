@@ -1,15 +1,19 @@
+import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from gridtally.llm import langid, queries
-from gridtally.llm.words import Scan
 
 SF = "/root/testdata/sf0.01"
 ENGLISH = ["the cat and the dog were with the others", "this thing is what they wanted"]
 GERMAN = ["der hund und die katze waren mit den anderen", "das ist eine schöne straße über dem fluß"]
+WORD = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 def corpus(spark):
@@ -18,6 +22,100 @@ def corpus(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, lang string, score int")
 
 
+def words_of(text):
+    return [w.translate(LOWER) for w in WORD.findall(text or "")]
+
+
+def grams_of(word):
+    """N-grams by length, of the word with a border on each side; a border alone is none."""
+    framed = f" {word} "
+    return [[g for i in range(len(framed) - n + 1) if (g := framed[i : i + n]) != " "] for n in range(1, 6)]
+
+
+class ByHand:
+    def __init__(self, rows):
+        counts = {True: Counter(), False: Counter()}
+        for text, lang in rows:
+            if lang is None:
+                continue
+            for w in words_of(text):
+                counts[True][lang, w] += 1
+                for grams in grams_of(w):
+                    counts[False].update((lang, g) for g in grams)
+        self.langs = sorted({lang for lang, _ in counts[True]})
+        self.tables = {}
+        for is_word, counter in counts.items():
+            total = Counter()
+            for (_, key), n in counter.items():
+                total[key] += n
+            whole = {x: sum(n for (lang, _), n in counter.items() if lang == x) + 0.5 * len(total) for x in self.langs}
+            self.tables[is_word] = {
+                key: [math.log((counter[x, key] + 0.5) / whole[x]) for x in self.langs]
+                for key, n in total.items()
+                if n >= 3 or not is_word
+            }
+
+    def of_word(self, w):
+        if w in self.tables[True]:
+            return self.tables[True][w]
+        for grams in reversed(grams_of(w)):
+            known = [self.tables[False][g] for g in grams if g in self.tables[False]]
+            if known:
+                return [sum(x) / len(known) for x in zip(*known)]
+        return [0.0] * len(self.langs)
+
+    def of_text(self, text):
+        words = words_of(text)
+        if not self.langs or not any(c.isalpha() for w in words for c in w):
+            return "und", 0.0
+        mean = [sum(x) / len(words) for x in zip(*map(self.of_word, words))]
+        sure = [math.exp((m - max(mean)) * min(len(words), 10)) for m in mean]
+        return self.langs[mean.index(max(mean))], max(sure) / sum(sure)
+
+
+def random_rows(n, seed):
+    rng = random.Random(seed)
+    letters = {"en": "abcdefgh", "de": "defghijkäß", "fr": "ghijklmé", None: "abc"}
+    rows = []
+    for _ in range(n):
+        lang = rng.choice(["en", "de", "fr", "fr", None])
+        words = ["".join(rng.choices(letters[lang], k=rng.randint(1, 7))) for _ in range(rng.randint(0, 25))]
+        rows.append((rng.choice([" ", ", ", "1-", "\n"]).join(w.title() if rng.random() < 0.2 else w for w in words), lang))
+    return rows + [(None, "fr"), ("", "de"), ("— “” 5", "en")]
+
+
+@pytest.mark.parametrize("head", [64 << 20, 0, 4000, 40_000])
+def test_query_equals_brute_force(spark, monkeypatch, head):
+    """With the whole model in the head, with none of it, and with some of it."""
+    monkeypatch.setattr(langid, "HEAD_BYTES", head)
+    rows = random_rows(150, 1)
+    train = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    model = langid.learn(train, F.lit(True))
+    assert model.whole == (head == 64 << 20)
+    assert (8 + 4 * len(model.langs)) * (len(model.words[0]) + len(model.grams[0])) <= head
+    known = ByHand(rows)
+    asked = [t for t, _ in random_rows(120, 2)] + ["zzzz qqq", "a", "ŋ ŋŋ", "12", "Abc" * 3000]
+    docs = spark.createDataFrame([(i % 100, t, 7, "x") for i, t in enumerate(asked)], "doc_id long, text string, total int, cold string")
+    got = sorted((r.doc_id, r.lang_pred, round(r.score, 5)) for r in langid.predict(docs, model).collect())
+    want = sorted((i % 100, lang, round(score, 5)) for i, t in enumerate(asked) for lang, score in [known.of_text(t)])
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert all(abs(g[2] - w[2]) < 1e-3 for g, w in zip(got, want))
+    kept = langid.keep(docs, model, 0.5)
+    assert kept.columns == docs.columns
+    sure = [(i % 100, t, 7, "x") for i, t in enumerate(asked) if known.of_text(t)[0] != "und" and known.of_text(t)[1] >= 0.5]
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted(sure, key=repr)
+    assert langid.predict(docs.limit(0), model).count() == 0
+
+
+def test_head_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(langid, "HEAD_BYTES", 5000)
+    model = langid.learn(spark.createDataFrame(random_rows(300, 3), "text string, lang string"), F.lit(True))
+    rows = len(model.words[0]) + len(model.grams[0])
+    assert 0 < rows * (8 + 4 * len(model.langs)) <= 5000
+    totals = sorted((r.total for r in model.table.collect()), reverse=True)
+    assert rows < len(totals)
+
+
 def test_known_words_then_ngrams(spark):
     docs = corpus(spark)
     model = langid.learn(docs, F.lit(True))
@@ -32,7 +130,6 @@ def test_known_words_then_ngrams(spark):
         assert (found[i].lang_pred, found[i].score) == ("und", 0.0)
     assert found[9].lang_pred in ("en", "de", "fr")
     assert all(0 <= r.score <= 1 for r in found.values())
-    assert langid.predict(asked.limit(0), model).count() == 0
 
 
 def test_nothing_learned(spark):
@@ -41,23 +138,6 @@ def test_nothing_learned(spark):
     assert {(r.lang_pred, r.score) for r in found} == {("und", 0.0)}
 
 
-def test_gram_counts_equal_brute_force():
-    texts = ["Ab é, the—Über x", "", "zz zz  q1w2"]
-    scan = Scan([t.encode() for t in texts], lower=True, letters=True)
-    counts = langid.Counts()
-    langid.count_grams(scan, np.array([0, 1, 1]), counts)
-    got = {(x << 32) + p: n for x, found in counts.by_lang.items() for p, n in enumerate(found.tolist()) if n}
-    want = {}
-    data = scan.data.tobytes()
-    for a, b, d in zip(scan.word_start, scan.word_end, scan.word_doc):
-        # Words are padded by one border on each side; a border is shared by two words.
-        for places in langid.grams(data[a:b]):
-            for p in places:
-                key = (int(d > 0) << 32) + int(p)
-                want[key] = want.get(key, 0) + 1
-    assert got == want
-
-
 def test_counts_are_exact_however_many_words(spark):
     rng = random.Random(1)
     many = [" ".join("".join(rng.choices("abcdefghijklm", k=7)) for _ in range(3000)) for _ in range(40)]
@@ -68,26 +148,20 @@ def test_counts_are_exact_however_many_words(spark):
     docs = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string")
     assert {r.lang_pred for r in langid.predict(docs, model).collect()} == {"de"}
     counts = Counter(w for t, _ in rows for w in t.split())
-    known = [w for w, n in counts.items() if n >= langid.KNOWN_COUNT]
-    assert len(model["words"][0]) == len(known)
-    grams = {v for w in counts for v, _ in langid.grams_of([w.encode()]) for v in v.tolist()}
-    assert len(model["grams"][0]) == len(grams)
+    sizes = {r.is_word: r["count"] for r in model.table.groupBy("is_word").count().collect()}
+    assert sizes[True] == sum(n >= langid.KNOWN_COUNT for n in counts.values())
+    assert sizes[False] == len({g for w in counts for grams in grams_of(w) for g in grams})
 
 
-def test_grams_by_words_equal_those_of_the_text():
-    words = [b"ab", "\u00fcber".encode(), b"x", b"zz"]
-    n = np.array([3, 1, 2, 5])
+def test_gram_counts_equal_brute_force():
+    words, n = ["ab", "über", "x", "zz"], np.array([3, 1, 2, 5])
+    keys, counts = langid.gram_counts([w.encode() for w in words], n)
     want = Counter()
     for w, c in zip(words, n.tolist()):
-        for places in langid.grams(w):
-            want.update({int(p): 0 for p in places.tolist()})
-            for p in places.tolist():
-                want[p] += c
-    keys, counts = langid.gram_counts(words, n)
-    got = Counter()
-    for k, c in zip(keys.tolist(), counts.tolist()):
-        got[(k >> (64 - langid.GRAM_BITS)) + langid.GRAM_PLACE] += c
-    assert got == want
+        for grams in grams_of(w):
+            for g in grams:
+                want[g] += c
+    assert sorted(counts.tolist()) == sorted(want.values()) and len(keys) == len(set(keys.tolist()))
 
 
 def test_held_out_accuracy_of_the_query(spark):
