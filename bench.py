@@ -3,7 +3,9 @@
 The stages run on documents whose usage dates fill thirty daily partitions. A sixth
 of the documents is also written as XML, for the scan and for the whole batch job.
 The upsert brings a delivery of which 60 % of the rows are stored already. ``rates``
-gives rows per second, ``rates_per_core`` the same divided by the cores.
+gives rows per second, ``rates_per_core`` the same divided by the cores. ``yardstick`` is
+the time of one plain aggregate, which no round changes, and ``in_yardsticks`` all times in
+units of it, so that rounds on machines of different speed can be compared.
 """
 
 from __future__ import annotations
@@ -40,6 +42,7 @@ HEADLINE = [
     "validity_check",
     "merge_upsert",
     "reconcile",
+    "reconcile_changed",
     "reconcile_three_way",
     "dedup_latest",
     "dedup_removed",
@@ -48,6 +51,9 @@ HEADLINE = [
     "unit_distribution",
     "distinct_meters",
     "latest_run",
+    "latest_run_stored",
+    "merged_quality_report",
+    "stream_merge",
     "top_meters",
     "retention",
     "interval_times",
@@ -109,6 +115,11 @@ def main() -> None:
         return result
 
     run_through(spark.range(1000))
+    # Core operations only, the same in every round: how fast the machine is.
+    measures = [F.sum(c).alias(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]
+    plain = frames.table(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus", "l_suppkey").agg(*measures)
+    timed("yardstick", lambda: run_through(plain), repeat=7)
+    yardstick = seconds.pop("yardstick")
     # The test table has a single row group, which one task would read alone.
     day = F.pmod(F.date_diff(F.col("l_shipdate").cast("date"), F.lit("1992-01-01").cast("date")), 30)
     month = F.timestamp_add("DAY", day.cast("int"), F.lit("1999-01-01").cast("timestamp_ntz"))
@@ -188,6 +199,8 @@ def main() -> None:
                 "rates": rates,
                 "rates_per_core": {name: round(n / int(cpus)) for name, n in rates.items()},
                 "rows": rows,
+                "yardstick": yardstick,
+                "in_yardsticks": {name: round(s / yardstick, 2) for name, s in seconds.items()},
                 "cpus": int(cpus),
                 "sf": Path(sf).name.removeprefix("sf"),
             }

@@ -32,17 +32,19 @@ def require_unique(df: DataFrame, keys: list[str], what: str) -> DataFrame:
 
 
 def assert_unique(
-    df: DataFrame, keys: list[str], what: str, where: Column | None = None
+    df: DataFrame, keys: list[str], what: str, where: Column | None = None, shown: list[str] | None = None
 ) -> DataFrame:
     """The same rows; the job fails as soon as a key shows up twice, among rows ``where``.
 
+    The message names the columns ``shown`` of the key, or all of them.
+
     The check clusters and sorts by the keys, which a sort-merge join on the
     same keys then reuses, so it adds no shuffle to such a join. That suits joins of
     two sides with unique keys; where the other side may have busy keys, use
     ``require_unique``.
     """
     seen = F.row_number().over(Window.partitionBy(*keys).orderBy(keys[0]))
-    twice = F.raise_error(F.concat(F.lit(f"{what}: more than one row for key "), _shown(keys)))
+    twice = F.raise_error(F.concat(F.lit(f"{what}: more than one row for key "), _shown(shown or keys)))
     again = F.col(_SEEN) > 1 if where is None else (F.col(_SEEN) > 1) & where
     return (
         df.withColumn(_SEEN, seen)

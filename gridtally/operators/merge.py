@@ -17,15 +17,16 @@ ACTION = "merge_action"
 def _packed(df: DataFrame, side: str, keys: list[str], groups: dict[str, list[str]]) -> DataFrame:
     """Keys, a presence marker, and one struct per group of columns that are chosen together.
 
-    ``__apart`` is 0 for complete keys. Rows with a NULL key match nothing; they get
-    a number of their own, so that they are dealt to all tasks of the join.
+    ``__place`` is a hash of the key, by which rows are dealt to tasks and sorted first.
+    Rows with a NULL key match nothing; theirs is a hash of the whole row, so that they are
+    dealt to all tasks of the join.
     """
     loose = F.xxhash64(F.lit(side), *df.columns)
     return df.select(
         *[F.col(k).alias(f"__{side}_{k}") for k in keys],
         *[F.struct(*members).alias(f"__{side}_{name}") for name, members in groups.items()],
         F.lit(True).alias(f"__{side}"),
-        F.when(all_present(keys), F.lit(0).cast("long")).otherwise(loose).alias(f"__{side}_apart"),
+        F.when(all_present(keys), F.xxhash64(*keys)).otherwise(loose).alias(f"__{side}_place"),
     )
 
 
@@ -56,12 +57,13 @@ def merge_upsert(
     groups = {name: members for name, members in groups.items() if members}
 
     known = _packed(target, "old", keys, groups)
-    fresh = _packed(source.select(*columns), "new", keys, groups)
-    fresh = assert_unique(
-        fresh, [*(f"__new_{k}" for k in keys), "__new_apart"], "merge source", F.col("__new_apart") == 0
-    )
-    same = [F.col(f"__old_{k}") == F.col(f"__new_{k}") for k in keys]
-    same.append(F.col("__old_apart") == F.col("__new_apart"))
+    # Keys of one type on both sides, so that equal ones have equal hashes.
+    alike = [F.col(c).cast(target.schema[c].dataType).alias(c) if c in keys else F.col(c) for c in columns]
+    fresh = _packed(source.select(*alike), "new", keys, groups)
+    new_keys = [f"__new_{k}" for k in keys]
+    fresh = assert_unique(fresh, ["__new_place", *new_keys], "merge source", all_present(new_keys), new_keys)
+    same = [F.col("__old_place") == F.col("__new_place")]
+    same += [F.col(f"__old_{k}") == F.col(f"__new_{k}") for k in keys]
     in_target, in_source = F.col("__old").isNotNull(), F.col("__new").isNotNull()
 
     def pick(name: str) -> Column:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -47,6 +49,28 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
 
+_scopes: list[list[str]] = []
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one intermediate table."""
-    return f"{shared_folder(spark)}/gridtally/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/gridtally/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def work_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, the intermediate tables that begin in it.
+
+    Results that read such tables must be written, to a path made before, within the scope.
+    """
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.pop()
+        for path in paths:
+            drop_path(spark, path)
