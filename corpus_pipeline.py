@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from gridtally.llm import bpe, langid, minhash, mixture, secrets
 from gridtally.llm.groups import keep_rows
 from gridtally.llm.queries import BYTE_BPE, tokenizer_path
-from gridtally.llm.tables import fold, staged, table
+from gridtally.llm.tables import fold, table
+from gridtally.session import drop_path, work_path, work_scope
+from gridtally.sinks.staging import stage
 
 #: Texts whose language is less sure than this are rejected.
 SURE = 0.5
@@ -62,7 +64,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    """All stages in turn. What a stage leaves behind is deleted once the next one's is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    for name, function in STAGES[:-1]:
+        path = work_path(spark, f"pipeline-{name}")
+        with work_scope(spark):
+            docs = stage(function(spark, docs, sf_dir), path)
+        if before is not None:
+            drop_path(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
