@@ -19,6 +19,7 @@ vocabulary file demands. Bytes that are no UTF-8 decode to U+FFFD.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import struct
 from collections.abc import Iterator
@@ -276,3 +277,33 @@ def decode(
 
     schema = f"`{id_col}` {_type(coded, id_col)}, ids array<int>, text string"
     return coded.select(id_col, ids_col).mapInArrow(run, schema)
+
+
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256) of every row: encoded and decoded again in one pass.
+
+    The ids are digested as little-endian unsigned 32-bit integers, the text in UTF-8.
+    """
+    spark = docs.sparkSession
+    ship(spark)
+    vocabulary = spark.sparkContext.broadcast(load_vocabulary(path))
+    names = ["n_tokens", "ids_sha256", "decoded_sha256"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _kept(_encoders, Encoder, path, vocabulary)
+        decoder = _kept(_decoders, Decoder, path, vocabulary)
+        for batch in slices(batches):
+            coded = [encoder.encode(t or "") for t in batch.column(1).to_pylist()]
+            texts = (decoder.decode(np.frombuffer(c, dtype="<u4")) for c in coded)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array([len(c) // 4 for c in coded], pa.int64()),
+                    pa.array([hashlib.sha256(c).hexdigest() for c in coded]),
+                    pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts]),
+                ],
+                names=[id_col, *names],
+            )
+
+    schema = f"`{id_col}` {_type(docs, id_col)}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return docs.select(id_col, text_col).mapInArrow(run, schema)

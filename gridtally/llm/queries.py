@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +20,7 @@ from gridtally.llm import (
     vectors,
     warc,
 )
-from gridtally.llm.tables import fold, ship, slices, table
+from gridtally.llm.tables import fold, table
 from gridtally.session import work_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -36,28 +32,9 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        n, ids_sha, text_sha = [], [], []
-        for ids, text in zip(batch.column(1), batch.column(2).to_pylist()):
-            values = ids.values.to_numpy(zero_copy_only=False).astype("<u4")
-            n.append(len(values))
-            ids_sha.append(hashlib.sha256(values.tobytes()).hexdigest())
-            text_sha.append(hashlib.sha256(text.encode()).hexdigest())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(text_sha)],
-            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-        )
-
-
 def bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of the ids and of the decoded text of every document."""
-    ship(spark)
-    path = tokenizer_path(BYTE_BPE)
-    coded = bpe.encode(table(spark, sf_dir, "documents"), path)
-    return bpe.decode(coded, path).mapInArrow(
-        _digests, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    )
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE))
 
 
 def quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,6 +158,8 @@ QUERIES = {
 ORACLES = {
     "op2_mixture": mixture.ORACLE_SQL,
     "op4_warc": warc.ORACLE_SQL,
+    "op7_vectors": vectors.ORACLE_SQL,
+    "op10_minhash": minhash.ORACLE_SQL,
     "op12_infill": infill.ORACLE_SQL,
     "op13_divergence": divergence.ORACLE_SQL,
 }

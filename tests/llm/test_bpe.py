@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import numpy as np
@@ -60,6 +61,18 @@ def test_round_trip_of_rows(spark):
     assert bpe.encode(docs.limit(0), PATH).count() == 0
 
 
+def test_digests_are_those_of_encode_and_decode(spark):
+    texts = [None, "", "plain words", "é<|endoftext|>x", "long " * 20_000, "plain words"]
+    docs = spark.createDataFrame([(i % 5, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, n_tokens int")
+    coded = bpe.decode(bpe.encode(docs, PATH), PATH).collect()
+    want = [
+        (r.doc_id, len(r.ids), hashlib.sha256(np.array(r.ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(r.text.encode()).hexdigest())
+        for r in coded
+    ]
+    assert sorted(tuple(r) for r in bpe.round_trip(docs, PATH).collect()) == sorted(want)
+    assert bpe.round_trip(docs.limit(0), PATH).count() == 0
+
+
 def test_null_ids_and_broken_bytes(spark, vocabulary):
     broken = bpe.Encoder(vocabulary).encode("é")
     ids = np.frombuffer(broken, "<u4").tolist()
