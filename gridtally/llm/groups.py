@@ -71,12 +71,21 @@ def components(edges: DataFrame) -> DataFrame:
 def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``kept`` (doc_id, text_hash) names, repeated rows once.
 
-    Rows are told apart by id and text; columns and their order stay.
+    Rows are told apart by id and text; columns and their order stay. Texts are shuffled
+    once: only names that stand for several rows are looked through for repeats.
     """
     mark = "kept_hash"
     while mark in docs.columns:
         mark += "_"
-    names = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_text")).distinct()
+    names = kept.groupBy(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_text")).agg(
+        F.count("*").alias("kept_rows")
+    )
+    names = staged(names, "kept-names")
     marked = docs.withColumn(mark, F.xxhash64(text_col))
     same = F.col(id_col).eqNullSafe(F.col("kept_id")) & (F.col(mark) == F.col("kept_text"))
-    return marked.join(names, same, "left_semi").dropDuplicates([id_col, mark]).select(docs.columns)
+    several = F.col("kept_rows") > 1
+    once = marked.join(names.filter(~several), same, "left_semi")
+    if names.filter(several).isEmpty():
+        return once.select(docs.columns)
+    again = marked.join(names.filter(several), same, "left_semi").dropDuplicates([id_col, mark])
+    return once.union(again).select(docs.columns)

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridtally.llm.groups import components, join_keyed
-from gridtally.llm.tables import ship, staged
+from gridtally.llm.tables import settled, ship, staged
 from gridtally.llm.words import Scan, mix, text_chunks
 
 WORDS = 5
@@ -210,11 +210,12 @@ def _links(
         .filter(F.col("a") != F.col("b"))
     )
     first = staged(_confirm(_ordered(star), posted, sets), "star")
-    named = staged(
-        posted.select("node")
+    named = settled(
+        docs.sparkSession,
+        "merged",
+        lambda: posted.select("node")
         .join(components(first), "node", "left")
         .select("node", F.coalesce("component", "node").alias("component")),
-        "merged",
     )
     # What a class shares with classes of lists that are open, rarest shingles first.
     open_nodes = _open(listed, named).select("node").distinct()
@@ -295,14 +296,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
-    posted = staged(_post(classes), "posted")
-    links = staged(_links(docs, classes, posted, id_col, text_col), "links")
-    least = _least_docs(components(links), classes)
-    named = staged(
-        classes.join(least, "node", "left").select(
+    spark = docs.sparkSession
+    posted = settled(spark, "posted", lambda: _post(classes))
+    links = settled(spark, "links", lambda: _links(docs, classes, posted, id_col, text_col))
+    named = settled(
+        spark,
+        "named",
+        lambda: classes.join(_least_docs(components(links), classes), "node", "left").select(
             "set_digest", "n_docs", F.coalesce("component_id", "least_doc").alias("component_id")
         ),
-        "named",
     )
     rows = signed.select("doc_id", "text_hash", "n_shingles", "set_digest")
     full = join_keyed(rows.filter(F.col("n_shingles") > 0), named, "set_digest", "n_docs", total)
@@ -313,3 +315,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .unionByName(bare.select(columns))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS shingles
+  FROM words
+), posts AS (
+  SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM posts a JOIN posts b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+), least_ids AS (
+  SELECT x, min(y) AS y FROM reach GROUP BY x
+)
+SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, least(doc_id, coalesce(y, doc_id)) AS component_id,
+       doc_id = least(doc_id, coalesce(y, doc_id)) AS kept
+FROM sets LEFT JOIN least_ids ON x = doc_id
+"""

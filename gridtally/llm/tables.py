@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import shutil
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtally.session import work_path
+from gridtally.session import work_path, work_scope
 from gridtally.sinks.staging import stage
 
 PACKAGE = Path(__file__).resolve().parent.parent
@@ -73,3 +73,10 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read back: later steps survive lost executors."""
     return stage(df, work_path(df.sparkSession, name))
+
+
+def settled(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` gives, written; the tables that were written on the way are deleted."""
+    path = work_path(spark, name)
+    with work_scope(spark):
+        return stage(make(), path)

@@ -2,10 +2,14 @@ import random
 import re
 
 import pytest
+from compare import connect, differences
 from pyspark.sql import functions as F
 
-from gridtally.llm import minhash
-from gridtally.llm.groups import components, join_keyed
+from gridtally.llm import minhash, queries
+from gridtally.llm.groups import components, join_keyed, keep_rows
+
+
+SF = "/root/testdata/sf0.001"
 
 
 def by_hand(rows):
@@ -110,3 +114,23 @@ def test_full_sets_read_one_text_for_each_class(spark):
     assert joined.count() == n
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "xxhash64" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_rows_are_kept_once(spark):
+    docs = spark.createDataFrame(
+        [(1, "a", 0), (1, "a", 1), (1, "b", 2), (None, "c", 3), (None, "c", 4), (2, None, 5), (3, "d", 6), (4, "e", 7)],
+        "doc_id long, text string, kept_rows int",
+    )
+    named = docs.withColumn("text_hash", F.xxhash64("text"))
+    several = keep_rows(docs, named.filter("doc_id is null or doc_id <> 4"))
+    got = sorted(((r.doc_id, r.text) for r in several.filter("doc_id is not null").collect()), key=str)
+    assert got == [(1, "a"), (1, "b"), (2, None), (3, "d")]
+    assert [r.text for r in several.filter("doc_id is null").collect()] == ["c"]
+    assert several.columns == docs.columns
+    alone = keep_rows(docs, named.filter("doc_id in (2, 4)"))
+    assert sorted(r.doc_id for r in alone.collect()) == [2, 4]
+
+
+def test_query_equals_sql(spark):
+    df = queries.QUERIES["op10_minhash"](spark, SF)
+    assert differences(connect(SF), df, queries.ORACLES["op10_minhash"]) is None

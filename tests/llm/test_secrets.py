@@ -87,3 +87,50 @@ def test_any_number_of_blanks_before_a_value():
         assert kinds(text) == ["identifier", "token"]
         assert RANDOM not in secrets.masked(text)
     assert not secrets.is_setting("x " + " " * 500 + RANDOM, 502)
+
+
+def links_by_hand(text):
+    """All spans, from all pairs of parts."""
+    base, _ = secrets.spans_of(text)
+    scope = [0] * (len(text) + 1)
+    breaks = [m.start() for m in re.finditer(r"\n[ \t\r]*\n", text)]
+    for i in range(len(scope)):
+        scope[i] = sum(b <= i for b in breaks)
+    names = [(m.start(), m.end(), "identifier") for m in secrets.NAMED.finditer(text)]
+    taken = base + names
+    tokens = [
+        (m.start(), m.end(), "token")
+        for m in secrets.TOKEN.finditer(text)
+        if secrets.looks_random(m[0]) and not any(a < m.end() and m.start() < b for a, b, _ in taken)
+    ]
+    ends = [(m.start(), m.end(), "endpoint") for m in secrets.ENDPOINT.finditer(text)]
+
+    def setting(span):
+        if span[2] == "endpoint" and not secrets.URI.match(text[span[0] :]):
+            return True
+        return text[: span[0]].rstrip(" \t\r\n\"'").endswith((":", "="))
+
+    def joined(span, others, always=False):
+        return any(
+            scope[span[0]] == scope[o[0]]
+            and (always or setting(span) or max(o[0] - span[1], span[0] - o[1]) <= secrets.REACH)
+            for o in others
+        )
+
+    ids = names + [s for s in base if s[2] == "access"]
+    found = [t for t in tokens if joined(t, ids)]
+    keys = [s for s in base if s[2] != "access"] + found
+    if not ids:
+        return sorted(base)
+    found += [n for n in names if joined(n, keys, True)]
+    found += [e for e in ends if joined(e, ids) and joined(e, keys)]
+    return sorted(base + found)
+
+
+FILLER = [" plain words " * 9, "\n\n", "\n \n", "private: ", "key =\n", "server: host.example.com", "client_id=robot77", " " * 90]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(PARTS + FILLER), max_size=14).map(" ".join))
+def test_links_equal_all_pairs(text):
+    assert sorted(secrets.spans_of(text)[1]) == links_by_hand(text)

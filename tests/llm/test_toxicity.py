@@ -1,5 +1,8 @@
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 from hypothesis import given, settings
@@ -76,6 +79,77 @@ def test_toxic_passages_are_found(spark):
     assert toxicity.assess(docs.limit(0), model).count() == 0
 
 
+WORD = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def keys_by_token(text):
+    """For each token the token itself and its beginnings of so many bytes."""
+    out = []
+    for word in WORD.findall(text or ""):
+        token = word.translate(LOWER).encode()
+        out.append([(0, token)] + [(n, token[:n]) for n in toxicity.STEMS if len(token) > n])
+    return out
+
+
+def odds_by_hand(texts, labelled):
+    """Log-odds of every key, from plain counts of all texts and of the labelled ones."""
+    corpus, clean, toxic = Counter(), Counter(), Counter()
+    for i, text in enumerate(texts):
+        for keys in keys_by_token(text):
+            corpus.update(keys)
+            if i in labelled:
+                (toxic if labelled[i] else clean).update(keys)
+    places = 1 << toxicity.BITS
+    whole = sum(corpus.values()) + 0.01 * places
+    weight = toxicity.PRIOR_SHARE * sum(toxic.values())
+    a_sum, b_sum = sum(toxic.values()) + weight, sum(clean.values()) + weight
+    odds = {}
+    for key, n in corpus.items():
+        prior = weight * (n + 0.01) / whole
+        a, b = toxic[key] + prior, clean[key] + prior
+        value = math.log(a / (a_sum - a)) - math.log(b / (b_sum - b))
+        left = abs(value) - toxicity.ERRORS * math.sqrt(1 / a + 1 / b)
+        odds[key] = math.copysign(max(left, 0.0), value)
+    return odds
+
+
+def measures_by_hand(text, odds, rate, log_k):
+    tokens = keys_by_token(text)
+    score = [max((odds.get(k, 0.0) for k in keys), key=abs) - toxicity.DRIFT for keys in tokens]
+    sums = [sum(score[a:b]) for a, b in maximal(score)]
+    x = [rate * s - log_k - math.log(len(tokens)) for s in sums]
+    found = [v for v in x if v > 0]
+    return [1.0, max([-12.0, *x]), math.log1p(sum(found))], len(found)
+
+
+def test_odds_and_scores_equal_brute_force(spark):
+    docs, labels = made_up(spark, 120)
+    texts = [r.text for r in docs.orderBy("doc_id").collect()]
+    labelled = {i: i % 4 == 0 for i in range(120) if i % 3}
+    model = toxicity.learn(docs, labels, F.col("doc_id") % 3 != 0)
+    odds = odds_by_hand(texts, labelled)
+    for text in texts[:20]:
+        for token, keys in zip(WORD.findall(text), keys_by_token(text)):
+            scan = toxicity.Scan([token.encode()], lower=True, letters=True)
+            got = float(toxicity.token_scores(scan, model["odds"])[0]) + toxicity.DRIFT
+            assert abs(got - max((odds[k] for k in keys), key=abs)) < 1e-3
+    measures = [measures_by_hand(t, odds, model["rate"], model["log_k"]) for t in texts]
+    scored = {r.doc_id: r for r in toxicity.assess(docs, model).collect()}
+    for i, (x, n) in enumerate(measures):
+        z = sum(a * b for a, b in zip(x, model["beta"]))
+        assert abs(scored[i].score - 1 / (1 + math.exp(-z))) < 1e-3 and scored[i].passages == n
+    # the weights are where the penalised likelihood of the labelled texts has no slope
+    sizes = Counter(labelled.values())
+    slope = [0.0] * 3
+    for i, y in labelled.items():
+        x, _ = measures[i]
+        p = 1 / (1 + math.exp(-sum(a * b for a, b in zip(x, model["beta"]))))
+        slope = [s + (y - p) * v for s, v in zip(slope, x)]
+    pull = [1e-6 * model["beta"][0], *model["beta"][1:]]
+    assert sizes[True] and all(abs(s - q) < 0.05 for s, q in zip(slope, pull))
+
+
 def test_without_labels(spark):
     docs, labels = made_up(spark, 20)
     model = toxicity.learn(docs, labels.limit(0), F.lit(True))
