@@ -85,67 +85,56 @@ DIMENSION_ZONE = "America/New_York"
 # --- Fixed values: column layouts -------------------------------------------
 
 
-def _names(text: str) -> list[str]:
-    return text.split()
+UNIT_MAP_COLUMNS = [
+    "aep_channel_id", "aep_derived_uom", "name_register", "aep_srvc_qlty_idntfr", "value_mltplr_flg",
+]
 
-
-UNIT_MAP_COLUMNS = _names(
-    "aep_channel_id aep_derived_uom name_register aep_srvc_qlty_idntfr value_mltplr_flg"
-)
-
-VALIDITY_COLUMNS = _names(
-    """
-    co_cd_ownr prem_nb bill_cnst acct_clas_cd acct_type_cd devc_cd pgm_id_nm
-    tx_mand_data doe_nb serv_deliv_id mfr_devc_ser_nbr
-    mtr_inst_ts mtr_rmvl_ts acct_turn_on_dt acct_turn_off_dt
-    bill_acct_nb mtr_pnt_nb tarf_pnt_nb serv_city_ad serv_zip_ad state_cd
-    """
-)
+VALIDITY_COLUMNS = [
+    "co_cd_ownr", "prem_nb", "bill_cnst", "acct_clas_cd", "acct_type_cd", "devc_cd", "pgm_id_nm",
+    "tx_mand_data", "doe_nb", "serv_deliv_id", "mfr_devc_ser_nbr", "mtr_inst_ts", "mtr_rmvl_ts",
+    "acct_turn_on_dt", "acct_turn_off_dt", "bill_acct_nb", "mtr_pnt_nb", "tarf_pnt_nb", "serv_city_ad",
+    "serv_zip_ad", "state_cd",
+]
 
 VALIDITY_INTERVALS = [
     ("unix_mtr_inst_ts", "unix_mtr_rmvl_ts"),
     ("unix_acct_turn_on_dt", "unix_acct_turn_off_dt"),
 ]
 
-STAGE_COLUMNS = _names(
-    """
-    aep_opco serialnumber utildeviceid macid intervallength blockstarttime blockendtime
-    numberintervals starttime endtime interval_epoch int_gatewaycollectedtime
-    int_blocksequencenumber int_intervalsequencenumber channel aep_raw_value value
-    aep_raw_uom aep_derived_uom name_register aep_srvc_qlty_idntfr aep_premise_nb bill_cnst
-    aep_acct_cls_cd aep_acct_type_cd aep_devicecode aep_meter_program aep_srvc_dlvry_id
-    aep_mtr_pnt_nb aep_tarf_pnt_nb aep_comp_mtr_mltplr aep_mtr_removal_ts aep_mtr_install_ts
-    aep_city aep_zip aep_state hdp_update_user part_date value_mltplr_flg aep_meter_bucket
-    """
-)
-
-STANDARD_COLUMNS = _names(
-    """
-    serialnumber source aep_devicecode isvirtual_meter timezoneoffset aep_premise_nb
-    aep_service_point aep_srvc_dlvry_id name_register isvirtual_register aep_derived_uom
-    aep_raw_uom aep_srvc_qlty_idntfr aep_channel_id aep_sec_per_intrvl aep_meter_alias
-    aep_meter_program aep_usage_type aep_timezone_cd endtimeperiod starttimeperiod value
-    aep_raw_value scalarfloat aep_acct_cls_cd aep_acct_type_cd aep_mtr_pnt_nb aep_tarf_pnt_nb
-    aep_comp_mtr_mltplr aep_endtime_utc aep_mtr_removal_ts aep_mtr_install_ts aep_city aep_zip
-    aep_state hdp_insert_dttm hdp_update_dttm hdp_update_user authority aep_usage_dt data_type
-    aep_opco aep_meter_bucket
-    """
-)
+STAGE_COLUMNS = [
+    "aep_opco", "serialnumber", "utildeviceid", "macid", "intervallength", "blockstarttime", "blockendtime",
+    "numberintervals", "starttime", "endtime", "interval_epoch", "int_gatewaycollectedtime",
+    "int_blocksequencenumber", "int_intervalsequencenumber", "channel", "aep_raw_value", "value",
+    "aep_raw_uom", "aep_derived_uom", "name_register", "aep_srvc_qlty_idntfr", "aep_premise_nb", "bill_cnst",
+    "aep_acct_cls_cd", "aep_acct_type_cd", "aep_devicecode", "aep_meter_program", "aep_srvc_dlvry_id",
+    "aep_mtr_pnt_nb", "aep_tarf_pnt_nb", "aep_comp_mtr_mltplr", "aep_mtr_removal_ts", "aep_mtr_install_ts",
+    "aep_city", "aep_zip", "aep_state", "hdp_update_user", "part_date", "value_mltplr_flg",
+    "aep_meter_bucket",
+]
+
+STANDARD_COLUMNS = [
+    "serialnumber", "source", "aep_devicecode", "isvirtual_meter", "timezoneoffset", "aep_premise_nb",
+    "aep_service_point", "aep_srvc_dlvry_id", "name_register", "isvirtual_register", "aep_derived_uom",
+    "aep_raw_uom", "aep_srvc_qlty_idntfr", "aep_channel_id", "aep_sec_per_intrvl", "aep_meter_alias",
+    "aep_meter_program", "aep_usage_type", "aep_timezone_cd", "endtimeperiod", "starttimeperiod", "value",
+    "aep_raw_value", "scalarfloat", "aep_acct_cls_cd", "aep_acct_type_cd", "aep_mtr_pnt_nb",
+    "aep_tarf_pnt_nb", "aep_comp_mtr_mltplr", "aep_endtime_utc", "aep_mtr_removal_ts", "aep_mtr_install_ts",
+    "aep_city", "aep_zip", "aep_state", "hdp_insert_dttm", "hdp_update_dttm", "hdp_update_user", "authority",
+    "aep_usage_dt", "data_type", "aep_opco", "aep_meter_bucket",
+]
 
 # Output view. Every column not named in OUTPUT_TYPES is a string.
-OUTPUT_COLUMNS = _names(
-    """
-    serialnumber source aep_devicecode isvirtual_meter timezoneoffset aep_premise_nb
-    aep_service_point aep_mtr_install_ts aep_mtr_removal_ts aep_srvc_dlvry_id
-    aep_comp_mtr_mltplr name_register isvirtual_register toutier toutiername
-    aep_srvc_qlty_idntfr aep_channel_id aep_raw_uom aep_sec_per_intrvl aep_meter_alias
-    aep_meter_program aep_billable_ind aep_usage_type aep_timezone_cd endtimeperiod
-    starttimeperiod value aep_raw_value scalarfloat aep_data_quality_cd aep_data_validation
-    aep_acct_cls_cd aep_acct_type_cd aep_mtr_pnt_nb aep_tarf_pnt_nb aep_endtime_utc aep_city
-    aep_zip aep_state hdp_update_user hdp_insert_dttm hdp_update_dttm authority
-    aep_derived_uom data_type aep_opco aep_usage_dt aep_meter_bucket
-    """
-)
+OUTPUT_COLUMNS = [
+    "serialnumber", "source", "aep_devicecode", "isvirtual_meter", "timezoneoffset", "aep_premise_nb",
+    "aep_service_point", "aep_mtr_install_ts", "aep_mtr_removal_ts", "aep_srvc_dlvry_id",
+    "aep_comp_mtr_mltplr", "name_register", "isvirtual_register", "toutier", "toutiername",
+    "aep_srvc_qlty_idntfr", "aep_channel_id", "aep_raw_uom", "aep_sec_per_intrvl", "aep_meter_alias",
+    "aep_meter_program", "aep_billable_ind", "aep_usage_type", "aep_timezone_cd", "endtimeperiod",
+    "starttimeperiod", "value", "aep_raw_value", "scalarfloat", "aep_data_quality_cd", "aep_data_validation",
+    "aep_acct_cls_cd", "aep_acct_type_cd", "aep_mtr_pnt_nb", "aep_tarf_pnt_nb", "aep_endtime_utc", "aep_city",
+    "aep_zip", "aep_state", "hdp_update_user", "hdp_insert_dttm", "hdp_update_dttm", "authority",
+    "aep_derived_uom", "data_type", "aep_opco", "aep_usage_dt", "aep_meter_bucket",
+]
 OUTPUT_TYPES = {
     "aep_comp_mtr_mltplr": "double",
     "aep_sec_per_intrvl": "double",
@@ -156,62 +145,54 @@ OUTPUT_TYPES = {
     "hdp_update_dttm": "timestamp",
 }
 
-CONSUME_COLUMNS = _names(
-    """
-    serialnumber source aep_devicecode isvirtual_meter timezoneoffset aep_premise_nb
-    aep_service_point aep_srvc_dlvry_id name_register isvirtual_register toutier toutiername
-    aep_derived_uom aep_raw_uom aep_srvc_qlty_idntfr aep_channel_id aep_sec_per_intrvl
-    aep_meter_alias aep_meter_program aep_billable_ind aep_usage_type aep_timezone_cd
-    endtimeperiod starttimeperiod value aep_raw_value scalarfloat aep_data_quality_cd
-    aep_data_validation aep_acct_cls_cd aep_acct_type_cd aep_mtr_pnt_nb aep_tarf_pnt_nb
-    aep_comp_mtr_mltplr aep_endtime_utc aep_mtr_removal_ts aep_mtr_install_ts aep_city aep_zip
-    aep_state hdp_update_user hdp_insert_dttm hdp_update_dttm authority aep_opco aep_usage_dt
-    aep_meter_bucket
-    """
-)
+CONSUME_COLUMNS = [
+    "serialnumber", "source", "aep_devicecode", "isvirtual_meter", "timezoneoffset", "aep_premise_nb",
+    "aep_service_point", "aep_srvc_dlvry_id", "name_register", "isvirtual_register", "toutier", "toutiername",
+    "aep_derived_uom", "aep_raw_uom", "aep_srvc_qlty_idntfr", "aep_channel_id", "aep_sec_per_intrvl",
+    "aep_meter_alias", "aep_meter_program", "aep_billable_ind", "aep_usage_type", "aep_timezone_cd",
+    "endtimeperiod", "starttimeperiod", "value", "aep_raw_value", "scalarfloat", "aep_data_quality_cd",
+    "aep_data_validation", "aep_acct_cls_cd", "aep_acct_type_cd", "aep_mtr_pnt_nb", "aep_tarf_pnt_nb",
+    "aep_comp_mtr_mltplr", "aep_endtime_utc", "aep_mtr_removal_ts", "aep_mtr_install_ts", "aep_city",
+    "aep_zip", "aep_state", "hdp_update_user", "hdp_insert_dttm", "hdp_update_dttm", "authority", "aep_opco",
+    "aep_usage_dt", "aep_meter_bucket",
+]
 
 # Columns that a matched merge row takes from the source.
-UPDATE_COLUMNS = _names(
-    """
-    aep_srvc_qlty_idntfr aep_channel_id aep_sec_per_intrvl aep_meter_alias aep_meter_program
-    aep_usage_type aep_timezone_cd endtimeperiod starttimeperiod value aep_raw_value scalarfloat
-    aep_acct_cls_cd aep_acct_type_cd aep_mtr_pnt_nb aep_comp_mtr_mltplr aep_endtime_utc
-    aep_mtr_removal_ts aep_mtr_install_ts aep_city aep_zip aep_state hdp_update_user
-    hdp_update_dttm authority
-    """
-)
-
-INCREMENTAL_COLUMNS = _names(
-    """
-    serialnumber source aep_devicecode isvirtual_meter timezoneoffset aep_premise_nb
-    aep_service_point aep_mtr_install_ts aep_mtr_removal_ts aep_srvc_dlvry_id
-    aep_comp_mtr_mltplr name_register isvirtual_register toutier toutiername
-    aep_srvc_qlty_idntfr aep_channel_id aep_raw_uom aep_sec_per_intrvl aep_meter_alias
-    aep_meter_program aep_billable_ind aep_usage_type aep_timezone_cd endtimeperiod
-    starttimeperiod value aep_raw_value scalarfloat aep_data_quality_cd aep_data_validation
-    aep_acct_cls_cd aep_acct_type_cd aep_mtr_pnt_nb aep_tarf_pnt_nb aep_endtime_utc aep_city
-    aep_zip aep_state hdp_update_user hdp_insert_dttm hdp_update_dttm authority aep_usage_dt
-    aep_derived_uom aep_opco run_date
-    """
-)
+UPDATE_COLUMNS = [
+    "aep_srvc_qlty_idntfr", "aep_channel_id", "aep_sec_per_intrvl", "aep_meter_alias", "aep_meter_program",
+    "aep_usage_type", "aep_timezone_cd", "endtimeperiod", "starttimeperiod", "value", "aep_raw_value",
+    "scalarfloat", "aep_acct_cls_cd", "aep_acct_type_cd", "aep_mtr_pnt_nb", "aep_comp_mtr_mltplr",
+    "aep_endtime_utc", "aep_mtr_removal_ts", "aep_mtr_install_ts", "aep_city", "aep_zip", "aep_state",
+    "hdp_update_user", "hdp_update_dttm", "authority",
+]
+
+INCREMENTAL_COLUMNS = [
+    "serialnumber", "source", "aep_devicecode", "isvirtual_meter", "timezoneoffset", "aep_premise_nb",
+    "aep_service_point", "aep_mtr_install_ts", "aep_mtr_removal_ts", "aep_srvc_dlvry_id",
+    "aep_comp_mtr_mltplr", "name_register", "isvirtual_register", "toutier", "toutiername",
+    "aep_srvc_qlty_idntfr", "aep_channel_id", "aep_raw_uom", "aep_sec_per_intrvl", "aep_meter_alias",
+    "aep_meter_program", "aep_billable_ind", "aep_usage_type", "aep_timezone_cd", "endtimeperiod",
+    "starttimeperiod", "value", "aep_raw_value", "scalarfloat", "aep_data_quality_cd", "aep_data_validation",
+    "aep_acct_cls_cd", "aep_acct_type_cd", "aep_mtr_pnt_nb", "aep_tarf_pnt_nb", "aep_endtime_utc", "aep_city",
+    "aep_zip", "aep_state", "hdp_update_user", "hdp_insert_dttm", "hdp_update_dttm", "authority",
+    "aep_usage_dt", "aep_derived_uom", "aep_opco", "run_date",
+]
 
 # Extract of the consume table used for side-by-side checks.
-EXTRACT_COLUMNS = _names(
-    """
-    serialnumber aep_usage_dt aep_channel_id aep_raw_uom endtimeperiod starttimeperiod value
-    aep_raw_value scalarfloat aep_derived_uom name_register aep_srvc_qlty_idntfr
-    aep_sec_per_intrvl aep_premise_nb aep_service_point aep_srvc_dlvry_id aep_devicecode
-    aep_meter_program aep_acct_cls_cd aep_acct_type_cd aep_mtr_pnt_nb aep_tarf_pnt_nb
-    aep_endtime_utc aep_city aep_zip aep_state authority timezoneoffset aep_meter_bucket
-    hdp_update_user
-    """
-)
+EXTRACT_COLUMNS = [
+    "serialnumber", "aep_usage_dt", "aep_channel_id", "aep_raw_uom", "endtimeperiod", "starttimeperiod",
+    "value", "aep_raw_value", "scalarfloat", "aep_derived_uom", "name_register", "aep_srvc_qlty_idntfr",
+    "aep_sec_per_intrvl", "aep_premise_nb", "aep_service_point", "aep_srvc_dlvry_id", "aep_devicecode",
+    "aep_meter_program", "aep_acct_cls_cd", "aep_acct_type_cd", "aep_mtr_pnt_nb", "aep_tarf_pnt_nb",
+    "aep_endtime_utc", "aep_city", "aep_zip", "aep_state", "authority", "timezoneoffset", "aep_meter_bucket",
+    "hdp_update_user",
+]
 
 # --- Keys --------------------------------------------------------------------
 
-BUSINESS_KEY = _names(
-    "aep_usage_dt aep_meter_bucket serialnumber aep_channel_id aep_raw_uom endtimeperiod"
-)
+BUSINESS_KEY = [
+    "aep_usage_dt", "aep_meter_bucket", "serialnumber", "aep_channel_id", "aep_raw_uom", "endtimeperiod",
+]
 CONSUME_PARTITIONS = ["aep_usage_dt"]
 #: Layout of a consume table whose tenants are written at once.
 TENANT_PARTITIONS = ["aep_usage_dt", "aep_opco"]

@@ -61,19 +61,21 @@ def stage_counted(
 
     The rows are counted where they are written: behind every shuffle, in the tasks
     of the write, of which Spark counts one successful attempt each. A stage that is
-    repeated after a lost executor therefore counts no row twice.
+    repeated after a lost executor therefore counts no row twice. Where Spark drops the
+    counting from its plan, the written rows are counted.
     """
     seen = Observation()
     rows = _laid_out(df, partition_by, max_partitions).observe(seen, F.count(F.lit(1)).alias("rows"))
     staged = _write(rows, df, path, partition_by)
-    return staged, int(seen.get["rows"])
+    n = seen.get.get("rows")
+    return staged, staged.count() if n is None else int(n)
 
 
 class Watched:
     """A frame whose rows that meet a condition are noticed while something else is computed from it.
 
     Counts before a shuffle may be too high, if Spark repeats a stage, but never miss a
-    row, so ``any`` is certain and a number is not given.
+    row, so a "no" is certain and a number is not given.
     """
 
     def __init__(self, df: DataFrame, condition: Column):
@@ -82,7 +84,7 @@ class Watched:
 
     def any(self) -> bool:
         """Whether a row met the condition; waits for the first action on the frame."""
-        return self._seen.get["met"] > 0
+        return self._seen.get.get("met", 1) > 0
 
 
 def materialize(df: DataFrame) -> DataFrame:

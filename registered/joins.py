@@ -83,7 +83,7 @@ def checked(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("mfr_devc_ser_nbr", "prem_nb", "mtr_rmvl_ts", *CHECKS)
 
 
-# First delivery: events before 2024-01-20. Second: events from 2024-01-10 on, values doubled.
+# First delivery: events before 2024-01-20 or without a date. Second: events from 2024-01-10 on, values doubled.
 MERGE_KEYS = config.BUSINESS_KEY
 MERGE_UPDATES = ["value", "run_date", "hdp_update_user"]
 MERGE_COLUMNS = [*MERGE_KEYS, "aep_opco", "value", "run_date", "hdp_update_user", "aep_premise_nb"]
@@ -95,7 +95,7 @@ def deliveries(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     rows = latest.withColumn(
         "endtimeperiod", F.when(F.col("value") > 1, F.col("endtimeperiod"))
     ).withColumn("aep_usage_dt", F.col("aep_usage_dt").cast("string"))
-    first = rows.filter(F.col("aep_usage_dt") < "2024-01-20")
+    first = rows.filter((F.col("aep_usage_dt") < "2024-01-20") | F.col("aep_usage_dt").isNull())
     second = rows.filter(F.col("aep_usage_dt") >= "2024-01-10").withColumns(
         {
             "value": F.col("value") * 2,
@@ -134,7 +134,7 @@ rows_ AS (
          aep_opco, value, run_date, hdp_update_user, aep_premise_nb
   FROM latest
 ),
-target AS (SELECT * FROM rows_ WHERE aep_usage_dt < '2024-01-20'),
+target AS (SELECT * FROM rows_ WHERE aep_usage_dt < '2024-01-20' OR aep_usage_dt IS NULL),
 source AS (
   SELECT * REPLACE ('new' AS aep_opco, value * 2 AS value, '20240201_000000' AS run_date,
                     'info-insert' AS hdp_update_user)
