@@ -42,7 +42,6 @@ HEADLINE = [
     "validity_check",
     "merge_upsert",
     "reconcile",
-    "reconcile_changed",
     "reconcile_three_way",
     "dedup_latest",
     "dedup_removed",
@@ -51,9 +50,6 @@ HEADLINE = [
     "unit_distribution",
     "distinct_meters",
     "latest_run",
-    "latest_run_stored",
-    "merged_quality_report",
-    "stream_merge",
     "top_meters",
     "retention",
     "interval_times",
