@@ -7,18 +7,20 @@ the signed axis nearest to it; ``AXES`` rotations make a bucket of one of ``TABL
 tables. Each vector is also posted under the ``PROBES`` buckets next in likelihood, in
 which one axis is replaced by its runner-up of the least loss.
 
-Buckets of more than ``CROWDED`` vectors are parted by ``PART_AXES`` further axes of
-rotations of their table, again with probes, if that at least halves the pairs to
-compare: to a fifth where vectors have a cosine of 0.83 with each other, to a tenth at
-0.74. Vectors that are alike in every rotation stay together.
-
-Two vectors meet in the first bucket or part, by table and number, that both are posted
-in. These are split in blocks by hash, and each pair of blocks is a group of its own: up
+Two vectors meet in the first bucket, by table and number, that both are posted in,
+however many others are in it: what links two vectors depends on these two alone. Buckets
+are split in blocks by hash, and each pair of blocks is a group of its own: up
 to ``COPIES`` blocks of ``BLOCK`` vectors or more, beyond ``COPIES * WIDEST`` vectors
 blocks of ``WIDEST``. No task holds more than two blocks, however large a bucket is.
 There, candidate pairs are verified by their cosine in double precision. A group
 returns the links of each vector as a count, and a forest that connects what is linked,
-not the pairs.
+not the pairs. The pairs of a bucket grow with the square of its vectors; they are dealt
+to as many tasks as there are pairs of blocks.
+
+On demand only, ``links`` parts buckets of more than ``crowded`` vectors by ``PART_AXES``
+further axes of rotations of their table, again with probes, if that at least halves the
+pairs to compare. Pairs whose vectors fall into different parts are then lost, the more
+crowded the buckets are, so ``near_duplicates`` never asks for it.
 
 Vectors that are equal form one row with a count before all this. With the settings
 below a pair at the very bound is missed with a chance of about one in fifty thousand,
@@ -54,7 +56,6 @@ BLOCK = 1024
 WIDEST = 4096
 #: A vector of a bucket of COPIES * WIDEST vectors or less is sent at most so many times.
 COPIES = 8
-CROWDED = 8192
 PART_AXES = 3
 #: Rows that are multiplied with a block at a time.
 TILE = 512
@@ -336,9 +337,11 @@ def block_count(in_bucket: Column, block: int = BLOCK) -> Column:
     return F.greatest(few, F.ceil(in_bucket / (block * (WIDEST // BLOCK)))).cast("int")
 
 
-def meetings(posted: DataFrame, crowded: int = CROWDED, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+def meetings(
+    posted: DataFrame, crowded: int | None = None, block: int = BLOCK
+) -> tuple[DataFrame, DataFrame]:
     """(node, bucket, own, low, high) of every block pair that a vector goes to, and ``posted``
-    with the parts of crowded buckets."""
+    with the parts of the buckets of more than ``crowded`` vectors; None parts no bucket."""
 
     def counted(rows: DataFrame) -> DataFrame:
         found = memberships(rows).groupBy("bucket").agg(F.count("*").alias("in_bucket"))
@@ -346,8 +349,8 @@ def meetings(posted: DataFrame, crowded: int = CROWDED, block: int = BLOCK) -> t
 
     total = posted.agg(F.coalesce(F.sum(F.size("codes")), F.lit(0))).first()[0]
     full = counted(posted)
-    large = full.filter(F.col("in_bucket") > crowded)
-    if not large.isEmpty():
+    large = None if crowded is None else full.filter(F.col("in_bucket") > crowded)
+    if large is not None and not large.isEmpty():
         posted = staged(part(posted, large, total), "codes-parted")
         full = counted(posted)
     # A block of a bucket meets itself and every other block once.
@@ -361,9 +364,11 @@ def meetings(posted: DataFrame, crowded: int = CROWDED, block: int = BLOCK) -> t
     return members, posted
 
 
-def links(posted: DataFrame, cosine: float = COSINE, crowded: int = CROWDED, block: int = BLOCK) -> DataFrame:
+def links(
+    posted: DataFrame, cosine: float = COSINE, crowded: int | None = None, block: int = BLOCK
+) -> DataFrame:
     """Rows (node, n, other): ``n`` more links of a node, counting equal vectors, or a
-    link to ``other`` in the forest of a group."""
+    link to ``other`` in the forest of a group. With ``crowded`` some links of larger buckets are lost."""
     ship(posted.sparkSession)
     members, posted = meetings(posted, crowded, block)
     members = members.join(posted.select("node", "n", "vector", "codes", "parted", "parts"), "node")

@@ -155,3 +155,19 @@ def test_parting_sends_fewer_rows(spark):
 def test_block_count(spark):
     counts = spark.createDataFrame([(2,), (1024,), (1025,), (8192,), (30_000,), (409_600,)], "n long")
     assert [r[0] for r in counts.select(vectors.block_count(counts.n)).collect()] == [1, 1, 2, 8, 8, 100]
+
+
+def test_no_bucket_is_parted_for_its_size(spark):
+    """One vector has links, or not, whatever number of others its bucket holds."""
+    rng = np.random.default_rng(7)
+    center = rng.normal(size=8)
+    x = np.float32(center + rng.normal(size=(20_000, 8)) * 0.5 * np.linalg.norm(center) / np.sqrt(8))
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    nodes = vectors.staged(vectors.distinct_vectors(df, "vec_id", "embedding", "label"), "test-nodes")
+    posted = vectors.staged(vectors.post(nodes), "test-codes")
+
+    def parted(rows):
+        return rows.filter("exists(parted, p -> p)").count()
+
+    assert parted(vectors.meetings(posted, 8192)[1]) > 0  # parting would change this table
+    assert parted(vectors.meetings(posted)[1]) == 0
