@@ -105,19 +105,21 @@ def as_documents(lineitem: DataFrame) -> DataFrame:
 
 
 def units(spark: SparkSession) -> DataFrame:
-    """A unit map of two tenants with one repeated row; channel 109 of ``oh`` is not mapped."""
-    rows = [
-        ("oh", "101", "kwh", "E-KWH-mtr_ivl_len-TOT", "TOT", "kwh(del)", "Y"),
-        ("oh", "101", "kwh", "E-KWH-mtr_ivl_len-TOT", "TOT", "kwh(del)", "Y"),
-        ("oh", "102", "kwh", "E-KWH-mtr_ivl_len-REC", "REC", "kwh(rec)", "N"),
-        ("oh", "103", "kvarh", "E-KVARH-mtr_ivl_len", "VAR", "kvarh", None),
-        ("ap", "109", "volt", "E-V-mtr_ivl_len", "VOL", "v", "Y"),
-    ]
-    names = (
-        "aep_opco aep_channel_id aep_derived_uom name_register "
-        "aep_srvc_qlty_idntfr aep_raw_uom value_mltplr_flg"
+    """A unit map of two tenants with one repeated row; channel 109 of ``oh`` is not mapped.
+
+    A relation of literals, whose size Spark knows: the lookup is broadcast and readings are not
+    shuffled by their few channels.
+    """
+    return spark.sql(
+        """SELECT * FROM VALUES
+            ('oh', '101', 'kwh', 'E-KWH-mtr_ivl_len-TOT', 'TOT', 'kwh(del)', 'Y'),
+            ('oh', '101', 'kwh', 'E-KWH-mtr_ivl_len-TOT', 'TOT', 'kwh(del)', 'Y'),
+            ('oh', '102', 'kwh', 'E-KWH-mtr_ivl_len-REC', 'REC', 'kwh(rec)', 'N'),
+            ('oh', '103', 'kvarh', 'E-KVARH-mtr_ivl_len', 'VAR', 'kvarh', NULL),
+            ('ap', '109', 'volt', 'E-V-mtr_ivl_len', 'VOL', 'v', 'Y')
+        AS units(aep_opco, aep_channel_id, aep_derived_uom, name_register,
+                 aep_srvc_qlty_idntfr, aep_raw_uom, value_mltplr_flg)"""
     )
-    return spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names.split()))
 
 
 def validity(spark: SparkSession, sf: str) -> DataFrame:
