@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridtally import config
 from gridtally.config import Tenant
 from gridtally.functions import times, values
-from gridtally.operators.dedup import dedup_latest, newest_first
+from gridtally.operators.dedup import dedup_side_by_side, newest_first
 from gridtally.operators.joins import lookup_left, validity_join
 
 
@@ -192,11 +192,8 @@ def dedup_readings(readings: DataFrame) -> DataFrame:
     on the narrow rows, before anything is joined. Collection times compare as
     instants and sequence numbers as numbers; all other columns settle ties.
     """
-    key = {
-        "__day": values.usage_date(F.col("starttime")),
-        "__meter": F.trim("metername"),
-        "__unit": values.clean_unit(F.col("uom")),
-    }
+    meter, end = F.trim("metername"), F.col("endtime")
+    key = [F.col("channel"), values.clean_unit(F.col("uom")), meter, end, values.usage_date(F.col("starttime"))]
     newest = [
         times.epoch_of(F.col("int_gatewaycollectedtime")),
         F.col("int_blocksequencenumber").try_cast("bigint"),
@@ -206,8 +203,7 @@ def dedup_readings(readings: DataFrame) -> DataFrame:
         F.col("rawvalue").try_cast("double"),
     ]
     order = [c.desc_nulls_last() for c in newest] + newest_first(sorted(readings.columns))
-    keyed = readings.withColumns(key)
-    return dedup_latest(keyed, [*key, "channel", "endtime"], order).drop(*key)
+    return dedup_side_by_side(readings, [meter, end], key, order)
 
 
 def readings_view(

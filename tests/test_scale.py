@@ -3,8 +3,11 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 import registered
+import registered.reports
+from gridtally.operators.dedup import dedup_latest, dedup_side_by_side, newest_first
 
 
 @pytest.fixture(scope="module")
@@ -41,3 +44,37 @@ def test_readings_are_not_sent_by_channel(spark, tables, name):
     rows, plan = ran(registered.QUERIES[name](spark, tables))
     assert rows
     assert "hashpartitioning(channel" not in plan
+
+
+@pytest.mark.parametrize("name", ["dedup_readings", "batch_quality_report", "merged_quality_report", "device_detail"])
+def test_readings_are_sent_by_interval(spark, tables, name, monkeypatch):
+    plans = []
+    stage = registered.reports.stage
+
+    def watched(df, path):
+        plans.append(ran(df)[1])
+        return stage(df, path)
+
+    monkeypatch.setattr(registered.reports, "stage", watched)
+    rows, plan = ran(registered.QUERIES[name](spark, tables))
+    plan = plans[0] if plans else plan
+    assert rows
+    assert "hashpartitioning(__place" in plan
+    assert "EmptyRelation Join LeftSemi" in plan  # the way of crowded places, by all of the key, reads nothing
+
+
+def test_crowded_places_keep_the_same_rows(spark):
+    df = spark.range(0, 4000, 1, 8).select(
+        F.when(F.col("id") % 3 != 0, F.col("id") % 50).alias("meter"),
+        F.when(F.col("id") % 4 == 0, -1).when(F.col("id") % 7 != 0, F.col("id") % 11).alias("moment"),
+        F.when(F.col("id") % 13 != 0, F.col("id") % 3).alias("channel"),
+        (F.col("id") * 7919 % 101).alias("value"),
+    )
+    keys, order = [F.col("moment"), F.col("meter"), F.col("channel")], newest_first(["value"])
+    want, _ = ran(dedup_latest(df, keys, order).select(*df.columns))
+    for crowd, split in ((10**6, False), (20, True), (0, True)):
+        found, plan = ran(dedup_side_by_side(df, [F.col("moment"), F.col("meter")], keys, order, crowd).select(*df.columns))
+        assert found == want
+        assert ("EmptyRelation Join LeftSemi" not in plan) == split
+    empty = dedup_side_by_side(df.limit(0), keys[:2], keys, order)
+    assert empty.columns == df.columns and empty.count() == 0
