@@ -139,17 +139,21 @@ def validity_join(
     unless ``order`` says which of them is valid.
 
     An equi join on the key with the interval as a further condition. Readings
-    are read once and no validity row is copied. Spark broadcasts a small
-    dimension by its bytes; otherwise adaptive skew handling splits the readings
-    of a busy device over several tasks, whatever their epochs are: the parts that
+    are read once and no validity row is copied. Adaptive skew handling splits the
+    readings of a busy device over several tasks, whatever their epochs are: the parts that
     ``order`` leaves are partitioned by device and row, so the join shuffles both sides.
-    ``strategy`` is a join hint that overrides the choice.
+    These parts are hashed and readings stream past them, so no reading is sorted,
+    held or spilled; the parts of a task's devices must fit its memory. Without
+    ``order``, Spark broadcasts a small dimension by its bytes and sorts otherwise.
+    ``strategy`` is a join hint that overrides the choice; with ``merge`` both sides are
+    sorted and may spill.
     """
     fact_key, dim_key = on
     if order is None:
         valid = _bounded(dim, intervals).filter(F.col(dim_key).isNotNull())
     else:
         valid = disjoint_validity(dim, dim_key, intervals, order)
+        strategy = strategy or "shuffle_hash"
     valid = _hinted(valid.withColumnRenamed(dim_key, "__dim_key"), strategy)
     inside = F.col(at).between(F.col(_FROM), F.col(_TO))
     same_key = F.col(fact_key) == F.col("__dim_key")

@@ -63,6 +63,25 @@ def test_readings_are_sent_by_interval(spark, tables, name, monkeypatch):
     assert "EmptyRelation Join LeftSemi" in plan  # the way of crowded places, by all of the key, reads nothing
 
 
+@pytest.mark.parametrize("name", ["validity_join", "output_view", "audit_stamps", "batch_quality_report", "merged_quality_report"])
+def test_readings_are_not_sorted_by_device(spark, tables, name, monkeypatch):
+    """They stream past the hashed parts of their devices, so that the join has nothing to spill."""
+    plans = []
+    stage = registered.reports.stage
+
+    def watched(df, path):
+        plans.append(ran(df)[1])
+        return stage(df, path)
+
+    monkeypatch.setattr(registered.reports, "stage", watched)
+    rows, plan = ran(registered.QUERIES[name](spark, tables))
+    plan = plans[0] if plans else plan
+    joins = [line for line in plan.splitlines() if "Join" in line and "LeftOuter" in line and "__dim_key" in line]
+    assert rows and joins
+    assert all("ShuffledHashJoin" in line for line in joins)
+    assert "Sort [metername" not in plan
+
+
 def test_crowded_places_keep_the_same_rows(spark):
     df = spark.range(0, 4000, 1, 8).select(
         F.when(F.col("id") % 3 != 0, F.col("id") % 50).alias("meter"),
