@@ -51,8 +51,14 @@ KNOWN_COUNT = 3
 SMOOTHING = 0.5
 #: The score of a text counts its words as this many at most.
 SURE_WORDS = 10
-#: A task sends on what it has counted when its distinct words have so many bytes.
-HELD_BYTES = 8 << 20
+#: Bytes of text that are looked at together; a longer text is alone.
+TEXT_BYTES = 1 << 19
+#: A task sends on the words that it has counted when they take so many bytes.
+HELD_BYTES = 48 << 20
+#: What Python takes to hold a word beside the word's own bytes, about.
+ENTRY_BYTES = 256
+#: A task sends on the n-grams that it has counted when there are so many.
+HELD_GRAMS = 1 << 19
 #: Distinct words whose n-grams are made at a time, in bytes.
 GRAM_BYTES = 1 << 18
 #: Bytes of the model's rows that the driver and each task hold at most.
@@ -114,14 +120,80 @@ def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def gram_counts(words: list[bytes], n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, count) of the n-grams of words that occur ``n`` times each."""
-    keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+def gram_counts(words: list[bytes], n: np.ndarray, before: tuple | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, count) of the n-grams of words that occur ``n`` times each, with those counted before."""
+    found = before or (np.zeros(0, np.uint64), np.zeros(0, np.int64))
     for part in parts_of(words):
-        for value, word in grams_of(words[part]):
-            for to, x in zip((keys, counts), summed(value, n[part][word])):
-                to.append(x)
-    return summed(np.concatenate(keys), np.concatenate(counts))
+        pieces = [found, *(summed(value, n[part][word]) for value, word in grams_of(words[part]))]
+        found = summed(*(np.concatenate(x) for x in zip(*pieces)))
+    return found
+
+
+def _sent(lang: str, is_word: bool, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for start in range(0, len(keys), 100_000):
+        part = slice(start, start + 100_000)
+        size = len(keys[part])
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([lang] * size, pa.string()),
+                pa.array([is_word] * size, pa.bool_()),
+                pa.array(keys[part].view(np.int64), pa.int64()),
+                pa.array(counts[part], pa.int64()),
+            ],
+            names=["lang", "is_word", "key", "n"],
+        )
+
+
+def task_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(language, whether it is a word, hash, count) of the words and n-grams of rows (text, language).
+
+    Few are held at a time, however many there are; one that was sent on before may come again.
+    """
+    held: dict[str, dict[int, list]] = {}  # language, hash of the word: [word, count]
+    grams: dict[str, tuple[np.ndarray, np.ndarray]] = {}  # language: hashes and counts of the n-grams of sent words
+    size = 0
+
+    def send_words() -> Iterator[pa.RecordBatch]:
+        nonlocal size
+        while held:
+            lang, found = held.popitem()
+            words = [w for w, _ in found.values()]
+            n = np.array([c for _, c in found.values()], dtype=np.int64)
+            own = np.fromiter(found, dtype=np.uint64, count=len(found))
+            found.clear()
+            yield from _sent(lang, True, own, n)
+            grams[lang] = gram_counts(words, n, grams.get(lang))
+        size = 0
+
+    def send_grams() -> Iterator[pa.RecordBatch]:
+        while grams:
+            lang, counted = grams.popitem()
+            yield from _sent(lang, False, *counted)
+
+    for batch, texts in text_chunks(batches, 0, TEXT_BYTES):
+        scan = Scan(texts, lower=True, letters=True)
+        number: dict[str, int] = {}
+        lang = np.array([number.setdefault(x, len(number)) for x in batch.column(1).to_pylist()])
+        hashes, of = scan.word_hashes(), lang[scan.word_doc]
+        data = scan.data.tobytes()
+        for name, x in number.items():
+            at = np.flatnonzero(of == x)
+            found = held.setdefault(name, {})
+            distinct, one, n = np.unique(hashes[at], return_index=True, return_counts=True)
+            for key, i, c in zip(distinct.tolist(), at[one].tolist(), n.tolist()):
+                entry = found.get(key)
+                if entry is None:
+                    word = data[scan.word_start[i] : scan.word_end[i]]
+                    found[key] = [word, c]
+                    size += len(word) + ENTRY_BYTES
+                else:
+                    entry[1] += c
+        if size > HELD_BYTES:
+            yield from send_words()
+            if sum(len(keys) for keys, _ in grams.values()) > HELD_GRAMS:
+                yield from send_grams()
+    yield from send_words()
+    yield from send_grams()
 
 
 @dataclass(frozen=True)
@@ -140,53 +212,8 @@ def learn(docs: DataFrame, use: Column, text_col: str = "text", lang_col: str =
     ship(docs.sparkSession)
     rows = docs.filter(use & F.col(lang_col).isNotNull()).select(text_col, lang_col)
 
-    def sent(held: dict[str, dict[int, list]]) -> Iterator[pa.RecordBatch]:
-        for lang, found in held.items():
-            words = [w for w, _ in found.values()]
-            n = np.array([c for _, c in found.values()], dtype=np.int64)
-            own = np.fromiter(found, dtype=np.uint64, count=len(found))
-            for is_word, keys, counts in ((True, own, n), (False, *gram_counts(words, n))):
-                for start in range(0, len(keys), 100_000):
-                    part = slice(start, start + 100_000)
-                    size = len(keys[part])
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([lang] * size, pa.string()),
-                            pa.array([is_word] * size, pa.bool_()),
-                            pa.array(keys[part].view(np.int64), pa.int64()),
-                            pa.array(counts[part], pa.int64()),
-                        ],
-                        names=["lang", "is_word", "key", "n"],
-                    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, dict[int, list]] = {}  # language, hash of the word: [word, count]
-        size = 0
-        for batch, texts in text_chunks(batches, 0):
-            scan = Scan(texts, lower=True, letters=True)
-            number: dict[str, int] = {}
-            lang = np.array([number.setdefault(x, len(number)) for x in batch.column(1).to_pylist()])
-            hashes, of = scan.word_hashes(), lang[scan.word_doc]
-            data = scan.data.tobytes()
-            for name, x in number.items():
-                at = np.flatnonzero(of == x)
-                found = held.setdefault(name, {})
-                distinct, one, n = np.unique(hashes[at], return_index=True, return_counts=True)
-                for key, i, c in zip(distinct.tolist(), at[one].tolist(), n.tolist()):
-                    entry = found.get(key)
-                    if entry is None:
-                        word = data[scan.word_start[i] : scan.word_end[i]]
-                        found[key] = [word, c]
-                        size += len(word)
-                    else:
-                        entry[1] += c
-            if size > HELD_BYTES:
-                yield from sent(held)
-                held, size = {}, 0
-        yield from sent(held)
-
     counted = staged(
-        rows.mapInArrow(run, "lang string, is_word boolean, key bigint, n bigint")
+        rows.mapInArrow(task_counts, "lang string, is_word boolean, key bigint, n bigint")
         .groupBy("lang", "is_word", "key")
         .agg(F.sum("n").alias("n")),
         "languages",
@@ -348,7 +375,7 @@ def _identified(docs: DataFrame, model: Model, text_col: str | None = None) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, grams = shared.value
-        for batch, texts in text_chunks(_with_text(batches, text_col), 1):
+        for batch, texts in text_chunks(_with_text(batches, text_col), 1, TEXT_BYTES):
             total, n, lettered, _ = _measure(texts, langs, words, grams, True)
             yield _named(batch.column(0), *_verdict(total, n, lettered, langs))
 
@@ -358,7 +385,7 @@ def _identified(docs: DataFrame, model: Model, text_col: str | None = None) -> D
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, grams = shared.value
         kind = pa.list_(pa.struct([("key", pa.int64()), ("word", pa.binary()), ("n", pa.int64())]))
-        for batch, texts in text_chunks(_with_text(batches, text_col), 1):
+        for batch, texts in text_chunks(_with_text(batches, text_col), 1, TEXT_BYTES):
             total, n, lettered, cold = _measure(texts, langs, words, grams, False)
             sums = pa.array(list(total), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays(

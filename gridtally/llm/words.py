@@ -8,7 +8,6 @@ of bytes have equal 64-bit hashes; the hashes are the same in every process.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +15,8 @@ import pyarrow.compute as pc
 
 #: Bytes of text that are scanned at a time; a longer text is scanned alone.
 CHUNK_BYTES = 2 << 20
+#: Powers are kept for so many places; those of farther places are products of two.
+_BLOCK = 1 << 16
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -42,13 +43,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64))
 
 
-@lru_cache(maxsize=2)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The powers of the base and of its inverse modulo 2**64."""
-    up = np.full(size, _BASE)
-    down = np.full(size, _INVERSE)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
+def _powers(base: np.uint64, size: int) -> np.ndarray:
+    """The first powers of the base modulo 2**64, from that of 0."""
+    up = np.full(size, base)
+    up[0] = 1
+    return np.cumprod(up)
+
+
+_UP, _DOWN = _powers(_BASE, _BLOCK), _powers(_INVERSE, _BLOCK)
+_UP_BLOCK, _DOWN_BLOCK = (np.uint64(pow(int(x), _BLOCK, 1 << 64)) for x in (_BASE, _INVERSE))
 
 
 def text_chunks(
@@ -90,14 +93,21 @@ class Scan:
         self.line_end = np.flatnonzero(self.data == 10)
         self.line_start = np.concatenate(([0], self.line_end[:-1] + 1))
         self.line_doc = np.searchsorted(self.doc_end, self.line_end, side="left")
-        power, self._inverse = _powers(1 << max(16, int(len(self.data)).bit_length()))
-        hashed = _BYTE_VALUE[self.data]
-        hashed *= power[: len(self.data)]
-        self._sum = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(hashed)))
+        blocks = len(self.data) // _BLOCK + 1
+        self._inverse = _powers(_DOWN_BLOCK, blocks)
+        self._sum = np.zeros(len(self.data) + 1, dtype=np.uint64)
+        for i, power in enumerate(_powers(_UP_BLOCK, blocks)):
+            part = _BYTE_VALUE[self.data[i * _BLOCK : (i + 1) * _BLOCK]]
+            part *= _UP[: len(part)]
+            part *= power
+            after = self._sum[i * _BLOCK + 1 : i * _BLOCK + 1 + len(part)]
+            np.cumsum(part, out=after)
+            after += self._sum[i * _BLOCK]
 
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """The hashes of the byte ranges, wherever they lie."""
-        return mix((self._sum[end] - self._sum[start]) * self._inverse[start])
+        inverse = _DOWN[start % _BLOCK] * self._inverse[start // _BLOCK]
+        return mix((self._sum[end] - self._sum[start]) * inverse)
 
     def word_hashes(self) -> np.ndarray:
         return self.hashes(self.word_start, self.word_end)

@@ -1,9 +1,11 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -164,6 +166,45 @@ def test_gram_counts_equal_brute_force():
     assert sorted(counts.tolist()) == sorted(want.values()) and len(keys) == len(set(keys.tolist()))
 
 
+def counted(batch):
+    found, words = Counter(), Counter()
+    for out in langid.task_counts(iter([batch])):
+        for lang, is_word, key, n in zip(*(c.to_pylist() for c in out.columns)):
+            found[lang, is_word, key] += n
+            words[lang] += n if is_word else 0
+    return found, words
+
+
+def text_batch(n_words):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefgh", k=8)) for _ in range(n_words)]
+    langs = ["en", "de"] * (n_words // 2000)
+    texts = [" ".join(words[i * 1000 : (i + 1) * 1000]) for i in range(len(langs))]
+    return pa.RecordBatch.from_arrays([pa.array(texts), pa.array(langs)], names=["text", "lang"])
+
+
+def test_counts_do_not_depend_on_what_a_task_holds(monkeypatch):
+    batch = text_batch(20_000)
+    want, words = counted(batch)
+    assert words == {"en": 10_000, "de": 10_000}
+    for name, value in (("TEXT_BYTES", 10_000), ("HELD_BYTES", 50_000), ("HELD_GRAMS", 3000)):
+        monkeypatch.setattr(langid, name, value)
+    assert counted(batch)[0] == want
+    assert sum(out.num_rows for out in langid.task_counts(iter([batch]))) > len(want)
+
+
+def test_memory_of_a_task_that_counts():
+    """Some 600,000 distinct words take 114 MB by this measure if all are held together."""
+    batch = text_batch(600_000)
+    tracemalloc.start()
+    try:
+        rows = sum(out.num_rows for out in langid.task_counts(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows > 500_000 and peak < 85 << 20
+
+
 def test_held_out_accuracy_of_the_query(spark):
     found = queries.QUERIES["op5_language"](spark, SF).toPandas()
     known = found.merge(spark.read.parquet(f"{SF}/documents.parquet").toPandas()[["doc_id", "lang"]], on="doc_id")
